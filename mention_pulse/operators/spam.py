@@ -36,7 +36,8 @@ def flag_spam(
     """
     if count_unit not in ("mention", "post"):
         raise ValueError(f"count_unit {count_unit!r} is neither 'mention' nor 'post'")
-    # count(key) gives 0 for a null key; a filter on the key would clean every text once more
+    # count(key) gives 0 for a null key, and the join below is null-safe: neither makes Spark
+    # test the key for null below the counts, which would clean every text once more there
     rows = posts.groupBy(key).agg(F.count(key).alias("_rows"))
     if count_unit == "post":
         seen = posts.select(key, post_id).distinct().groupBy(key).agg(F.count(key).alias("_seen"))
@@ -46,9 +47,8 @@ def flag_spam(
     repeated = seen.filter(F.col("_seen") > threshold).select(F.col(key).alias("_key"))
     left = slice_rows(posts, key, post_id, hot)
     right = copy_to_slices(repeated, "_key", hot).withColumnRenamed("_slice", "_copy")
-    joined = left.join(
-        right, (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_copy")), "left"
-    )
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_copy"))
+    joined = left.join(right, same, "left")
     return joined.withColumn("possible_spam", F.col("_key").isNotNull()).drop(
         "_key", "_copy", "_slice"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mention_pulse.functions.columns import flatten, resolve_long, with_date_parts, with_original_flag
@@ -16,7 +16,10 @@ from mention_pulse.operators.tags import tag_mentions, top_tickers
 from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TICKER_ROLLUP
 from mention_pulse.sources import files, tables
 
-DAY = F.concat_ws("-", *PARTS[:3])
+
+def day_of() -> Column:
+    """yyyy-MM-dd of a row, from its partition columns alone."""
+    return F.concat_ws("-", *PARTS[:3])
 
 
 # ---- land ----------------------------------------------------------------------------------
@@ -31,6 +34,17 @@ def land_tickers(spark: SparkSession, csv: str, path: str) -> None:
 
 
 # ---- clean ---------------------------------------------------------------------------------
+def clean_mentions(
+    posts: DataFrame, tickers: DataFrame, n_tickers: int = 100, url_mode: str = "greedy"
+) -> DataFrame:
+    """Landed posts to flat mentions with cleaned text and spam key."""
+    flat = with_original_flag(flatten(with_date_parts(posts, "tweet_meta.created_at")))
+    flat = flat.withColumn("author_id", resolve_long(flat, "author_id"))
+    # cleaned once per post, before the fan-out over its tickers
+    cleaned = with_clean_text(flat, url_mode=url_mode)
+    return tag_mentions(cleaned, top_tickers(tickers, n_tickers))
+
+
 def clean_posts(
     posts: DataFrame,
     tickers: DataFrame,
@@ -38,20 +52,29 @@ def clean_posts(
     threshold: int = 1,
     count_unit: str = "mention",
     url_mode: str = "greedy",
+    staged_as: str | None = None,
 ) -> DataFrame:
-    """Landed posts to flat, flagged mentions; see `flag_spam` for `count_unit`."""
-    flat = with_original_flag(flatten(with_date_parts(posts, "tweet_meta.created_at")))
-    flat = flat.withColumn("author_id", resolve_long(flat, "author_id"))
-    # cleaned once per post, before the fan-out over its tickers
-    cleaned = with_clean_text(flat, url_mode=url_mode)
-    mentions = tag_mentions(cleaned, top_tickers(tickers, n_tickers))
+    """Landed posts to flat, flagged mentions; see `flag_spam` for `count_unit`.
+
+    With `staged_as` the cleaned mentions are staged under that name, so that counting and
+    flagging share one pass over the texts.
+    """
+    mentions = clean_mentions(posts, tickers, n_tickers, url_mode)
+    if staged_as is not None:
+        mentions = tables.stage(mentions, staged_as)
     return flag_spam(mentions, threshold, count_unit)
 
 
-def write_clean(mentions: DataFrame, base: str, batch: str) -> tuple[str, str]:
-    """Clean and spam mentions side by side; a batch written twice replaces itself."""
+def write_clean(mentions: DataFrame, base: str, batch: str) -> dict[str, int]:
+    """Clean and spam mentions side by side (see `split_paths`); gives the rows of each.
+
+    A batch written twice replaces itself.
+    """
     stamped = mentions.withColumn("batch", F.lit(batch))
-    return tables.split_write(stamped, base, keys=[*PARTS, "batch"], mode="overwrite")
+    spam = F.count_if(F.col("possible_spam"))
+    watched, seen = tables.counted(stamped, f"clean_{batch}", n_spam=spam)
+    tables.split_write(watched, base, keys=[*PARTS, "batch"], mode="overwrite")
+    return seen.get
 
 
 # ---- aggregate -----------------------------------------------------------------------------
@@ -85,7 +108,7 @@ def new_days(
     spark: SparkSession, mentions: DataFrame, manifest: str, run_date: dt.date | None
 ) -> list[str]:
     """Closed days no committed run has merged yet: a list bounded by the calendar."""
-    days = files.closed_days(mentions, run_date).select(DAY.alias("day")).distinct()
+    days = files.closed_days(mentions, run_date).select(day_of().alias("day")).distinct()
     merged = tables.read_manifest(spark, manifest).select(F.explode("days").alias("day"))
     return sorted(row["day"] for row in days.join(merged, "day", "left_anti").collect())
 
@@ -110,7 +133,7 @@ def aggregate(
     if not days:
         return False
     # text on partition columns only: the scan lists just these days
-    mentions = clean.filter(DAY.isin(days))
+    mentions = clean.filter(day_of().isin(days))
     previous = tables.current_run(spark, out.manifest)
 
     hours = rollup.hour_partials(mentions).persist()
@@ -138,7 +161,7 @@ def rebuild_days(
     """Redo some merged days whose posts were landed again, as a new run of the roll-ups."""
     out = Serving(base)
     previous = tables.current_run(spark, out.manifest)
-    fresh = rollup.ticker_rollup(files.read_table(spark, clean_path).filter(DAY.isin(days)))
+    fresh = rollup.ticker_rollup(files.read_table(spark, clean_path).filter(day_of().isin(days)))
     old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
     tables.write_snapshot(rollup.replace_days(old, fresh, days), out.rollup, run_id)
     rebuilt = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)

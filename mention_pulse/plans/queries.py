@@ -111,8 +111,8 @@ def union_runs(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def replace_days(spark: SparkSession, d: str) -> DataFrame:
     mentions = adapters.mentions(spark, d)
-    landed_half = mentions.filter((jobs.DAY != DAY) | (F.col("tweet_text_sentiment") == "POSITIVE"))
-    fresh = rollup.ticker_rollup(mentions.filter(jobs.DAY == DAY))
+    landed_half = mentions.filter((jobs.day_of() != DAY) | (F.col("tweet_text_sentiment") == "POSITIVE"))
+    fresh = rollup.ticker_rollup(mentions.filter(jobs.day_of() == DAY))
     return rollup.replace_days(rollup.ticker_rollup(landed_half), fresh, [DAY])
 
 

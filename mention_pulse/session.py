@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings, safe to set on a session somebody else built.
@@ -38,14 +36,3 @@ def get_session(app: str = "mention_pulse", master: str | None = None, **conf: s
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
-
-
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's checkpoint directory, which every executor can reach.
-
-    Raises when the session names none: a machine-local folder would lose data on a cluster.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return os.path.join(base, *parts)

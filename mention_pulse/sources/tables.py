@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,13 @@ def write_partitioned(
     df.write.mode(mode).partitionBy(*keys).option("compression", "snappy").parquet(path)
 
 
+def counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The frame with its row count (and further metrics) taken while it is written anyway."""
+    seen = Observation(name)
+    counts = [F.count(F.lit(1)).alias("n_rows"), *(c.alias(n) for n, c in metrics.items())]
+    return df.observe(seen, *counts), seen
+
+
 def split_paths(base: str, flag: str = "possible_spam") -> tuple[str, str]:
     """Where `split_write` puts the rows with a false and with a true flag."""
     return f"{base}/{flag}=false", f"{base}/{flag}=true"
@@ -67,6 +74,21 @@ def write_records(posts: DataFrame, path: str, record_id: str = "recordId") -> N
     encode_records(posts, record_id).write.mode("append").json(path)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """The frame written under the shared folder of `spark.checkpoint.dir` and read back.
+
+    For a costly frame used more than once: later reads take only the columns they need, and no
+    lost executor can undo the work. Without such a folder the frame is given back as it is.
+    """
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        return df
+    path = f"{base.rstrip('/')}/mention_pulse/{spark.sparkContext.applicationId}/{name}"
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ---- runs ----------------------------------------------------------------------------------
 def write_snapshot(df: DataFrame, base: str, run_id: str, files: int | None = None) -> None:
     """One run's rows under RUN_ID=<run>; writing the same run again replaces only that run."""

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from mention_pulse.functions.columns import with_date_parts
 from mention_pulse.functions.keys import PARTS
-from mention_pulse.operators.capture import FAILED, OK, is_relevant, with_status
+from mention_pulse.operators.capture import OK, is_relevant, with_status
 from mention_pulse.operators.sentiment import Lexicon, pack_scores
 from mention_pulse.plans import jobs
 from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED
@@ -37,8 +38,7 @@ def start_ingest(
 ) -> StreamingQuery:
     """Stream JSON posts into Parquet by result, year, month, day and hour.
 
-    `out/result=Ok` holds the scored posts, `out/result=ProcessingFailed` those without a score.
-    With `pace=None` the query takes what is there and ends.
+    Posts without a score land too, marked as failed; `landed` tells them apart. With `pace=None` the query takes what is there and ends.
     """
     scored = score_posts(incremental(spark, src, POSTS_RAW, "json", max_files), scorer)
     parted = with_date_parts(scored, "tweet_meta.created_at")
@@ -53,9 +53,9 @@ def start_ingest(
     return timed.start()
 
 
-def landed(out: str) -> tuple[str, str]:
-    """Where `start_ingest` puts scored posts and failed ones."""
-    return f"{out}/result={OK}", f"{out}/result={FAILED}"
+def landed(spark: SparkSession, out: str, result: str = OK) -> DataFrame:
+    """Posts of one result from where `start_ingest` wrote them: a pruned scan."""
+    return spark.read.parquet(out).filter(F.col("result") == result).drop("result")
 
 
 def run_incremental(
@@ -98,6 +98,7 @@ def clean_new(
         if batch.isEmpty():
             return
         dim = spark.read.parquet(tickers)
-        jobs.write_clean(jobs.clean_posts(batch, dim, **options), base, batch_id)
+        flagged = jobs.clean_posts(batch, dim, staged_as=f"clean/{batch_id}", **options)
+        jobs.write_clean(flagged, base, batch_id)
 
     run_incremental(incremental(spark, src, parted, "parquet"), handle, checkpoint)
