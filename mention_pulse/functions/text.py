@@ -15,7 +15,7 @@ DOTTED_TAG_PATTERN = r"[#|$]([\p{L}\p{N}_]+(?:\.[\p{L}\p{N}_]+)?)"
 URL_TO_LAST_SPACE = r"(http.+) "
 URL_TOKEN = r"https?://\S+"
 TAG_OR_HANDLE = r"[@|#|$]\w+"
-NOT_PLAIN_RUN = r"[^a-zA-Z0-9-]+"
+PLAIN_RUN = r"[a-zA-Z0-9-]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -46,15 +46,16 @@ def union_tags(own: Column | str, parents: Column | str) -> Column:
 def clean_text(text: Column | str, url_mode: str = "greedy") -> Column:
     """Text without URLs, tags, handles and signs, its words parted by single spaces.
 
-    Replacing each sign by a space and then each run of spaces by one is the same as replacing
-    whole runs at once, which halves the passes over the text. For URLs, 'greedy' removes from the first `http` of a line to the line's last space; 'token' removes
-    each URL alone.
+    Turning every other sign into a space, runs of spaces into one, and trimming leaves just the
+    plain runs parted by single spaces, so they are picked out and joined: one pass, several
+    times faster than the replacements. For URLs, 'greedy' removes from the first `http` of a
+    line to the line's last space; 'token' removes each URL alone.
     """
     if url_mode not in ("greedy", "token"):
         raise ValueError(f"url_mode {url_mode!r} is neither 'greedy' nor 'token'")
     out = F.regexp_replace(_col(text), URL_TO_LAST_SPACE if url_mode == "greedy" else URL_TOKEN, " ")
     out = F.regexp_replace(out, TAG_OR_HANDLE, "")
-    return F.trim(F.regexp_replace(out, NOT_PLAIN_RUN, " "))
+    return F.array_join(F.regexp_extract_all(out, F.lit(PLAIN_RUN), F.lit(0)), " ")
 
 
 def prefix_key(clean: Column | str, size: int = 25) -> Column:

@@ -66,18 +66,21 @@ class Lexicon:
     def struct(self, text: Column, alpha: float = ALPHA) -> Column:
         """struct(text, sentiment, total, positive, negative) of a text; null scores of null."""
 
-        def scored(valences: Column) -> Column:
-            fields = _scores(
-                F.aggregate(valences, F.lit(0.0), lambda acc, v: acc + v),
-                F.size(F.filter(valences, lambda v: v > 0)),
-                F.size(F.filter(valences, lambda v: v < 0)),
-                F.size(valences),
-                alpha,
+        def sums(valences: Column) -> Column:
+            return F.struct(
+                F.aggregate(valences, F.lit(0.0), lambda acc, v: acc + v).alias("s"),
+                F.size(F.filter(valences, lambda v: v > 0)).alias("pos"),
+                F.size(F.filter(valences, lambda v: v < 0)).alias("neg"),
+                F.size(valences).alias("n"),
             )
+
+        def scored(found: Column) -> Column:
+            fields = _scores(found["s"], found["pos"], found["neg"], found["n"], alpha)
             return F.struct(text.alias("text"), *(fields[f].alias(f) for f in SCORE_FIELDS))
 
-        # one pass over the words; the array of one value only gives their valences a name
-        named = F.transform(F.array(F.transform(words(text), self.valence)), scored)
+        # an array of one value goes through the steps, so that each step is evaluated once
+        valences = F.array(F.transform(words(text), self.valence))
+        named = F.transform(F.transform(valences, sums), scored)
         return F.when(text.isNotNull(), F.get(named, F.lit(0))).otherwise(unscored(text))
 
 

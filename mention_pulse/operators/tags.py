@@ -50,11 +50,13 @@ def tag_mentions(
     if tracked is None:
         return with_ticker_list(match_tickers(explode_tags(posts, own, parents), tickers))
     known = F.filter(union_tags(own, parents), lambda tag: tag.isin(tracked))
+    # explode_outer: for a plain explode Spark would test the list for emptiness first, making it
+    # twice; the join drops the posts without a ticker anyway
     mentions = (
         posts.withColumn("ticker_ls", F.sort_array(known))
         .drop(own, parents)
         .withColumn("ticker_sz", F.size("ticker_ls"))
-        .withColumn("tag", F.explode("ticker_ls"))
+        .withColumn("tag", F.explode_outer("ticker_ls"))
     )
     return mentions.join(F.broadcast(tickers), F.col("tag") == F.col("ticker"), "inner").drop("tag")
 

@@ -15,6 +15,7 @@ from mention_pulse.operators.tags import tag_mentions, top_tickers
 from mention_pulse.schemas import POSTS_RAW
 
 N_TICKERS = 20
+SPREAD_BELOW = 1_000_000
 
 # Frequent words of the documents, with valences set by hand.
 LEXICON = [
@@ -43,6 +44,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small text table over the cores before costly work on its texts.
+
+    A table of few rows may be a single row group, hence a single task. Larger tables come in
+    many row groups and are left as they lie.
+    """
+    if df.count() >= SPREAD_BELOW:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def tag_of(number: Column) -> Column:
     return F.concat(F.lit("T"), number.cast("string"))
 
@@ -73,8 +85,11 @@ def _with_document(
 ) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = docs.count()
-    picked = docs.select(F.col("doc_id").alias("_doc"), *columns)
-    return events.join(picked, F.col("event_id") % size == F.col("_doc"), "inner").drop("_doc")
+    picked = spread(docs, "doc_id").select(F.col("doc_id").alias("_doc"), *columns)
+    # a sorted merge: both sides grow with the data, and what is computed of a document is
+    # computed before the join, once
+    same = F.col("event_id") % size == F.col("_doc")
+    return events.join(picked.hint("merge"), same, "inner").drop("_doc")
 
 
 def posts(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
@@ -107,7 +122,7 @@ def mentions(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataF
 
 def doc_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts of one tag each."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
         F.col("doc_id").alias("tweet_id"),
         F.col("text").alias("tweet_text_text"),
         F.array(tag_of(F.col("doc_id") % 20)).alias("tweet_meta_hashcashtags"),
