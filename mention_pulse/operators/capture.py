@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mention_pulse.functions.text import all_tags, has_word
-from mention_pulse.operators.skew import small_values
+from mention_pulse.operators.skew import join_dimension, small_values
 
 # The words which exclude a post from capture.
 EXCLUDED_WORDS = ("algo", "software", "alerts")
@@ -40,12 +40,13 @@ def capture_filter(
         rule = rule & ~has_word("text", exclude)
     wanted = posts.filter(rule)
     terms = F.regexp_extract_all(F.upper("text"), F.lit(TERM_PATTERN), F.lit(0))
-    symbols = symbol_terms(tickers).select(F.upper("term").alias("term"))
-    listed = small_values(symbols, "term")
+    symbols = symbol_terms(tickers).select(F.upper("term").alias("symbol")).distinct()
+    listed = small_values(symbols, "symbol")
     if listed is not None:
         return wanted.filter(F.exists(terms, lambda term: term.isin(listed)))
     named = wanted.select(F.col(post_id), F.explode(terms).alias("term"))
-    return wanted.join(named.join(symbols, "term").select(post_id), post_id, "left_semi")
+    hits = join_dimension(named, symbols, "term", "symbol", post_id).select(post_id)
+    return wanted.join(hits, post_id, "left_semi")
 
 
 def record_tags() -> Column:

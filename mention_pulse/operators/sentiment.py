@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mention_pulse.functions.text import label
-from mention_pulse.operators.skew import MAX_DIM_ROWS, is_small
+from mention_pulse.operators.skew import MAX_LITERALS, is_small, join_dimension
 from mention_pulse.schemas import SCORED_TEXT
 
 # Fixed value: the constant of s / sqrt(s*s + alpha), as published with the rule-based scorer
@@ -47,7 +47,7 @@ class Lexicon:
         self.words_by_valence = {v: sorted(set(w)) for v, w in sorted(words_by_valence.items()) if w}
 
     @classmethod
-    def of(cls, table: DataFrame, max_rows: int = MAX_DIM_ROWS) -> Lexicon:
+    def of(cls, table: DataFrame, max_rows: int = MAX_LITERALS) -> Lexicon:
         """From a (token, valence) table; raises if it has more than `max_rows` rows."""
         if not is_small(table, max_rows):
             raise ValueError(f"lexicon has more than {max_rows} rows, use score_by_join")
@@ -103,7 +103,7 @@ def score_sentiment(
 
 
 def score_by_join(
-    df: DataFrame, text: str, lexicon: DataFrame, post_id: str, alpha: float = ALPHA
+    df: DataFrame, text: str, lexicon: DataFrame, post_id: str, alpha: float = ALPHA, **limits: int
 ) -> DataFrame:
     """(post_id, sentiment, total, positive, negative) by joining words to a lexicon of any size.
 
@@ -111,15 +111,14 @@ def score_by_join(
     shuffled at all.
     """
     tokens = df.filter(F.col(text).isNotNull()).select(
-        F.col(post_id), F.explode_outer(words(F.col(text))).alias("token")
+        F.col(post_id), F.explode_outer(words(F.col(text))).alias("word")
     )
-    lex = F.broadcast(lexicon) if is_small(lexicon) else lexicon
-    hits = tokens.join(lex, "token", "left")
+    hits = join_dimension(tokens, lexicon, "word", "token", post_id, "left", **limits)
     sums = hits.groupBy(post_id).agg(
         F.coalesce(F.sum(F.col("valence").cast("double")), F.lit(0.0)).alias("_s"),
         F.count_if(F.col("valence") > 0).alias("_pos"),
         F.count_if(F.col("valence") < 0).alias("_neg"),
-        F.count("token").alias("_n"),
+        F.count("word").alias("_n"),
     )
     fields = _scores(F.col("_s"), F.col("_pos"), F.col("_neg"), F.col("_n"), alpha)
     return sums.select(post_id, *(fields[f].alias(f) for f in SCORE_FIELDS))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key above HOT_ROWS is cut into slices of about that many rows. At most MAX_HOT_KEYS keys are
-# treated so, which bounds the broadcast marker table; the join is exact for all other keys too.
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
+# A key above HOT_ROWS is cut into slices of about that many rows. At most MAX_HOT_KEYS keys (the
+# largest) are treated so, which bounds the broadcast marker table to a few megabytes; the join is
+# exact for all other keys too, and none of them can hold more than 1 / MAX_HOT_KEYS of the rows.
+HOT_ROWS = 500_000
+MAX_HOT_KEYS = 100_000
 NULL_SLICES = 65_536
 # Largest dimension, in rows, that is broadcast, and that is put into a query as literals.
 MAX_DIM_ROWS = 50_000
@@ -20,11 +21,6 @@ def is_small(df: DataFrame, max_rows: int = MAX_DIM_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_DIM_ROWS) -> DataFrame:
-    """Broadcast hint if the row count allows it; else unchanged, for a shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def small_values(df: DataFrame, column: str, max_rows: int = MAX_LITERALS) -> list | None:
     """Values of a dimension column for use as literals, or None if there are too many.
 
@@ -67,3 +63,30 @@ def copy_to_slices(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), last)))
         .drop("_hot", "_slices")
     )
+
+
+def join_dimension(
+    df: DataFrame,
+    dim: DataFrame,
+    key: str,
+    dim_key: str,
+    spread_by: str,
+    how: str = "inner",
+    max_rows: int = MAX_DIM_ROWS,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Join rows to a dimension with one row per key, keeping all columns of both.
+
+    A dimension of checked size is broadcast. A larger one is joined by shuffle, with the rows of
+    frequent keys cut into slices; a stream, whose keys cannot be counted, is joined as it is.
+    """
+    same = F.col(key) == F.col(dim_key)
+    if is_small(dim, max_rows):
+        return df.join(F.broadcast(dim), same, how)
+    if df.isStreaming:
+        return df.join(dim, same, how)
+    hot = hot_keys(df.groupBy(key).agg(F.count(key).alias("_n")), key, "_n", hot_rows)
+    left = slice_rows(df, key, spread_by, hot)
+    right = copy_to_slices(dim, dim_key, hot).withColumnRenamed("_slice", "_copy")
+    joined = left.join(right, same & (F.col("_slice") == F.col("_copy")), how)
+    return joined.drop("_slice", "_copy")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mention_pulse.functions.text import union_tags
-from mention_pulse.operators.skew import small_side, small_values
+from mention_pulse.operators.skew import join_dimension, small_values
 
 OWN, PARENTS = "tweet_meta_hashcashtags", "reference_tweets_hashcashtags"
 
@@ -21,9 +21,11 @@ def explode_tags(posts: DataFrame, own: str = OWN, parents: str = PARENTS) -> Da
     return posts.withColumn("tag", F.explode(union_tags(own, parents))).drop(own, parents)
 
 
-def match_tickers(tags: DataFrame, tickers: DataFrame) -> DataFrame:
+def match_tickers(
+    tags: DataFrame, tickers: DataFrame, post_id: str = "tweet_id", **limits: int
+) -> DataFrame:
     """Keep the rows whose tag is a tracked ticker. Works on a stream of tags as well."""
-    return tags.join(small_side(tickers), F.col("tag") == F.col("ticker"), "inner").drop("tag")
+    return join_dimension(tags, tickers, "tag", "ticker", post_id, **limits).drop("tag")
 
 
 def with_ticker_list(mentions: DataFrame, post_id: str = "tweet_id") -> DataFrame:

@@ -38,6 +38,16 @@ def test_mentions_by_set_and_by_join_agree(tagged, dim, monkeypatch):
     ]
 
 
+def test_large_dimension_joins_in_slices(spark, tagged, dim):
+    exploded = tags.explode_tags(tagged)
+    small = tags.match_tickers(exploded, dim)
+    large = tags.match_tickers(exploded, dim, max_rows=1, hot_rows=2)
+    assert small.columns == large.columns
+    assert rows(small) == rows(large)
+    text = plan(large)
+    assert "_slice" in text and "_copy" in text
+
+
 def test_mentions_need_no_shuffle(tagged, dim):
     text = plan(tags.tag_mentions(tagged, dim))
     assert "BroadcastHashJoin" in text
@@ -255,6 +265,8 @@ def test_scores_by_set_and_by_join_agree(spark):
     by_join = sentiment.score_by_join(df, "text", lex, "tweet_id")
     fields = [F.col(f"s.{f}").alias(f) for f in sentiment.SCORE_FIELDS]
     assert rows(by_set, "tweet_id", *fields) == rows(by_join)
+    by_slices = sentiment.score_by_join(df, "text", lex, "tweet_id", max_rows=1, hot_rows=1)
+    assert rows(by_slices) == rows(by_join)
     got = {r["tweet_id"]: r for r in by_join.collect()}
     assert (got[1]["sentiment"], got[1]["positive"], got[1]["negative"]) == ("POSITIVE", 2 / 3, 1 / 3)
     assert got[1]["total"] == pytest.approx(1 / 16**0.5)
