@@ -131,14 +131,17 @@ def doc_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged_text(kind: Column) -> Column:
-    """Text of a made-up post: views carry no tag."""
-    return F.when(kind == "view", F.concat(F.lit("holding "), "props")).otherwise(
-        F.concat(
-            F.lit("Buy $T"), (F.col("user_id") % 20).cast("string"),
-            F.lit(" #t"), (F.col("event_id") % 30).cast("string"),
-            F.lit(" "), kind, F.lit(" "), "props",
-        )
+    """Text of a made-up post: views carry no tag, purchases start with a number of their own."""
+    buy = F.concat(
+        F.lit("Buy $T"), (F.col("user_id") % 20).cast("string"),
+        F.lit(" #t"), (F.col("event_id") % 30).cast("string"),
+        F.lit(" "), kind, F.lit(" "), "props",
     )
+    return (
+        F.when(kind == "view", F.concat(F.lit("holding "), "props"))
+        .when(kind == "purchase", F.concat(F.col("event_id").cast("string"), F.lit(" "), buy))
+        .otherwise(buy)
+    )
 
 
 def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,7 +109,8 @@ FROM filled"""
 
 TAGS = r"list_distinct([upper(x) for x in regexp_extract_all({0}, '[#|$]([\pL\pN_]+)', 1)])"
 EVENT_TEXT = """CASE WHEN event_type = 'view' THEN 'holding ' || props
-    ELSE 'Buy $T' || (user_id % 20) || ' #t' || (event_id % 30) || ' ' || event_type || ' ' || props
+    ELSE CASE WHEN event_type = 'purchase' THEN event_id || ' ' ELSE '' END
+    || 'Buy $T' || (user_id % 20) || ' #t' || (event_id % 30) || ' ' || event_type || ' ' || props
     END"""
 # own tags in order of first use; the two made-up tags may be the same
 OWN_TAGS = """CASE WHEN event_type = 'view' THEN ''
@@ -153,7 +154,7 @@ flagged AS (
   SELECT event_id AS tweet_id, user_id AS author_id, ticker, CAST(ticker_sz AS INTEGER) AS ticker_sz,
     CASE WHEN score > 0 THEN 'POSITIVE' WHEN score < 0 THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS sentiment,
     clean AS tweet_text_clean, parent_text IS NULL AS is_original,
-    count(k) OVER (PARTITION BY k) > 30 AS possible_spam,
+    count(k) OVER (PARTITION BY k) > 1 AS possible_spam,
     strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month,
     strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour,
     CAST(ts AS VARCHAR) || '.' || right(CAST(event_id AS VARCHAR), 10) AS stamp

@@ -519,7 +519,7 @@ def with_parent(spark: SparkSession, d: str) -> DataFrame:
 def clean_posts(spark: SparkSession, d: str) -> DataFrame:
     lexicon = _event_lexicon()
     scored = sentiment.pack_scores(capture.keep_relevant(adapters.raw_posts(spark, d)), lexicon)
-    flagged = jobs.clean_posts(scored, adapters.tickers(spark, d), 20, threshold=30)
+    flagged = jobs.clean_posts(scored, adapters.tickers(spark, d), 20)
     return flagged.select(
         "tweet_id", "author_id", "ticker", "ticker_sz", "tweet_text_sentiment", "tweet_text_clean",
         "is_original", "possible_spam", "year", "month", "day", "hour",
@@ -530,7 +530,7 @@ def clean_posts(spark: SparkSession, d: str) -> DataFrame:
 def pipeline_rollup(spark: SparkSession, d: str) -> DataFrame:
     lexicon = _event_lexicon()
     scored = sentiment.pack_scores(capture.keep_relevant(adapters.raw_posts(spark, d)), lexicon)
-    flagged = jobs.clean_posts(scored, adapters.tickers(spark, d), 20, threshold=30)
+    flagged = jobs.clean_posts(scored, adapters.tickers(spark, d), 20)
     return rollup.ticker_rollup(flagged.filter(~F.col("possible_spam"))).select(
         "DetailLevel", "TickerDetail", "TIMESTAMP", *COUNTERS
     )

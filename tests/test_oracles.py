@@ -7,8 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from conftest import plan
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+MAY_BE_EMPTY = {"recent_then_ticker"}  # none of the newest rows need be of that ticker
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -28,6 +30,8 @@ def test_every_query_has_a_counterpart():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     got = QUERIES[name](spark, SF_DIR)
+    text = plan(got)
+    assert not any(node in text for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython"))
     wanted = duck.execute(SQL[name])
     names = [column[0] for column in wanted.description]
     assert sorted(got.columns) == sorted(names)
@@ -35,6 +39,7 @@ def test_query_equals_sql(spark, duck, name):
     left = sorted(repr(tuple(row[c] for c in order)) for row in got.collect())
     right = sorted(repr(tuple(row[names.index(c)] for c in order)) for row in wanted.fetchall())
     assert left == right
+    assert left or name in MAY_BE_EMPTY
 
 
 def test_entry(spark):
