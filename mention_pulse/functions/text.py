@@ -47,9 +47,9 @@ def clean_text(text: Column | str, url_mode: str = "greedy") -> Column:
     """Text without URLs, tags, handles and signs, its words parted by single spaces.
 
     Turning every other sign into a space, runs of spaces into one, and trimming leaves just the
-    plain runs parted by single spaces, so they are picked out and joined: one pass, several
-    times faster than the replacements. For URLs, 'greedy' removes from the first `http` of a
-    line to the line's last space; 'token' removes each URL alone.
+    plain runs parted by single spaces, so they are picked out and joined, in one pass.
+    For URLs, 'greedy' removes from the first `http` of a line to the line's last space; 'token'
+    removes each URL alone.
     """
     if url_mode not in ("greedy", "token"):
         raise ValueError(f"url_mode {url_mode!r} is neither 'greedy' nor 'token'")

@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small text table over the cores before costly work on its texts.
+    """Deal a small table over the cores before costly work on each row, texts above all.
 
     A table of few rows may be a single row group, hence a single task. Larger tables come in
     many row groups and are left as they lie.
@@ -155,7 +155,7 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         parent_text.alias("text"),
         extract_tags(parent_text).alias("hashcashtags"),
     )
-    built = table(spark, sf_dir, "events").select(
+    built = spread(table(spark, sf_dir, "events"), "event_id").select(
         F.col("event_id").alias("tweet_id"),
         F.col("user_id").alias("author_id"),
         text.alias("text"),
