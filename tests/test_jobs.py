@@ -76,7 +76,7 @@ def test_paced_ingest_with_own_scorer_keeps_failures_apart(spark, tmp_path):
     drop(tmp_path / "raw", "a.json", FIRST)
     drop(tmp_path / "raw", "b.json", SECOND)
     query = ingest.start_ingest(spark, str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "ck"),
-                                scorer_udf(score), "30 seconds", max_files=1)
+                                scorer_udf(score), "1 second", max_files=1)
     try:
         query.processAllAvailable()
         assert len([p for p in query.recentProgress if p["numInputRows"]]) == 2
