@@ -14,6 +14,7 @@ from mention_pulse.operators import rollup, serve
 from mention_pulse.operators.spam import flag_spam, with_clean_text
 from mention_pulse.operators.tags import tag_mentions, top_tickers
 from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TICKER_ROLLUP
+from mention_pulse.session import configure
 from mention_pulse.sources import files, tables
 
 
@@ -127,6 +128,7 @@ def aggregate(
     its days, comes last. A run that fails before has no effect, and running it again replaces
     what it left.
     """
+    configure(spark)
     out = Serving(base)
     clean = files.read_table(spark, clean_path)
     days = new_days(spark, clean, out.manifest, run_date)
@@ -159,6 +161,7 @@ def rebuild_days(
     spark: SparkSession, clean_path: str, base: str, run_id: str, days: list[str]
 ) -> None:
     """Redo some merged days whose posts were landed again, as a new run of the roll-ups."""
+    configure(spark)
     out = Serving(base)
     previous = tables.current_run(spark, out.manifest)
     fresh = rollup.ticker_rollup(files.read_table(spark, clean_path).filter(day_of().isin(days)))

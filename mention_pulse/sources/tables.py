@@ -42,7 +42,9 @@ def write_partitioned(
     spreads over several tasks; `files` instead narrows a small result to that many.
     """
     df = df.hint("rebalance", *keys) if files is None else df.coalesce(files)
-    df.write.mode(mode).partitionBy(*keys).option("compression", "snappy").parquet(path)
+    # overwriting replaces the partitions that are written, never the whole table
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).option("compression", "snappy").parquet(path)
 
 
 def counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
@@ -78,7 +80,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """The frame written under the shared folder of `spark.checkpoint.dir` and read back.
 
     For a costly frame used more than once: later reads take only the columns they need, and no
-    lost executor can undo the work. Without such a folder the frame is given back as it is.
+    lost executor can undo the work. Without such a folder the frame is given back as it is. The
+    files lie under the application's id and may go once the application has ended.
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)

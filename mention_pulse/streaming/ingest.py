@@ -15,6 +15,7 @@ from mention_pulse.operators.capture import OK, is_relevant, with_status
 from mention_pulse.operators.sentiment import Lexicon, pack_scores
 from mention_pulse.plans import jobs
 from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED
+from mention_pulse.session import configure
 from mention_pulse.sources.files import incremental
 
 # Fixed value: the pace of the capture cycle.
@@ -40,6 +41,7 @@ def start_ingest(
 
     Posts without a score land too, marked as failed; `landed` tells them apart. With `pace=None` the query takes what is there and ends.
     """
+    configure(spark)
     scored = score_posts(incremental(spark, src, POSTS_RAW, "json", max_files), scorer)
     parted = with_date_parts(scored, "tweet_meta.created_at")
     writer = (
@@ -76,6 +78,7 @@ def run_incremental(
 
 def land_new(spark: SparkSession, src: str, out: str, checkpoint: str) -> None:
     """Newly landed scored JSON posts to Parquet by year, month, day and hour."""
+    configure(spark)
     posts = with_date_parts(incremental(spark, src, POSTS_SCORED, "json"), "tweet_meta.created_at")
     query = (
         posts.writeStream.format("parquet")
@@ -92,6 +95,7 @@ def clean_new(
     spark: SparkSession, src: str, tickers: str, base: str, checkpoint: str, **options: object
 ) -> None:
     """Newly landed Parquet posts to clean and spam mentions; the ticker list is read whole."""
+    configure(spark)
     parted = T.StructType([*POSTS_SCORED.fields, *(T.StructField(p, T.StringType()) for p in PARTS)])
 
     def handle(batch: DataFrame, batch_id: str) -> None:
