@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mention_pulse.llm import chat, common, pieces, pii, quality_rules, simhash, token_files
+from mention_pulse.llm import chat, common, lm, pieces, pii, quality_rules, simhash, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,10 @@ PROBE_CONVERSATION = -7
 PROBE_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op2_lm_scores(spark: SparkSession, d: str) -> DataFrame:
+    return lm.held_out_scores(common.documents(spark, d))
+
+
 def op3_simhash_groups(spark: SparkSession, d: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, d))
 
@@ -55,6 +59,7 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """All queries by name."""
     found = (
+        op2_lm_scores,
         op3_simhash_groups,
         op4_token_files,
         op5_personal_data,
