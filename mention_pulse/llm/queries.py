@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mention_pulse.llm import chat, common, lm, pieces, pii, quality_rules, simhash, token_files
+from mention_pulse.llm import (
+    chat,
+    common,
+    decontamination,
+    lm,
+    pieces,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +30,10 @@ PROBE_CONVERSATION = -7
 PROBE_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.leaks(common.documents(spark, d), common.documents(spark, d, "benchmark"))
+
+
 def op2_lm_scores(spark: SparkSession, d: str) -> DataFrame:
     return lm.held_out_scores(common.documents(spark, d))
 
@@ -36,10 +52,18 @@ def op5_personal_data(spark: SparkSession, d: str) -> DataFrame:
     return pii.find_digests(common.documents(spark, d))
 
 
+def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.scores(common.documents(spark, d), common.documents(spark, d, "labels"))
+
+
 def op7_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encode_digests(common.documents(spark, d), public_tokenizers.path(PIECE_BPE))
 
 
+def op8_quality_model(spark: SparkSession, d: str) -> DataFrame:
+    return quality_model.scores(common.documents(spark, d), common.documents(spark, d, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.quality_rules(common.documents(spark, d))
 
@@ -59,11 +83,14 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """All queries by name."""
     found = (
+        op1_decontamination,
         op2_lm_scores,
         op3_simhash_groups,
         op4_token_files,
         op5_personal_data,
+        op6_toxicity,
         op7_pieces,
+        op8_quality_model,
         op9_quality_rules,
         op10_chat_format,
     )
