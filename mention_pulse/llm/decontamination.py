@@ -5,7 +5,8 @@ document frequencies from all documents, and a randomised SVD of the passage mat
 tasks hold, gives a latent space. Windows of every document are folded into it, and those whose cosine
 to a passage reaches `cosine` are candidates. A candidate's words are aligned with the passage by their
 longest common subsequence. A share of `same` or more is a leak; a share of `paraphrase` or more is one
-if the item's answer (its last sentence, or last quarter if there is but one) is found nearby as well.
+if the passage's rarer words are there too (`weighted` of all its words' weight) and the item's answer (its
+last sentence, or last quarter if there is but one) is found nearby.
 
 The benchmark is the stated query set: it is searched in blocks of BLOCK items, one pass over the
 documents each. Words are runs of letters, digits and other scripts, A-Z lower-cased; punctuation does
@@ -46,6 +47,7 @@ class Search:
     cosine: float = 0.5
     same: float = 0.7
     paraphrase: float = 0.5
+    weighted: float = 0.6
     answer: float = 0.6
     min_words: int = 5
 
@@ -185,11 +187,17 @@ class Index:
     vocabulary: np.ndarray
     terms: np.ndarray  # latent vector of each word, weighted; the last is zero
     latent: np.ndarray  # passages, of length 1
+    weight: np.ndarray  # inverse document frequency of each word
 
     def prepared(self) -> "Index":
         self.known = common.Membership(self.vocabulary)
         self.passage_masks = [_masks(w) for _, w in self.passages]
         self.answer_masks = [_masks(i.answer) for i in self.items]
+        self.passage_weights = []
+        for _, words in self.passages:
+            distinct = np.unique(words)
+            weight = self.weight[np.searchsorted(self.vocabulary, distinct)]
+            self.passage_weights.append(dict(zip(distinct.tolist(), (weight / weight.sum()).tolist())))
         return self
 
     def matches(self, column: pa.Array) -> list[dict]:
@@ -222,9 +230,13 @@ class Index:
             low, high = int(at[row]), int(at[row + 1])
             a, b = max(low, start - how.window // 2), min(high, start + how.window + how.window // 2)
             item, words = self.passages[p]
-            share = common_subsequence(self.passage_masks[p], len(words), h[a:b].tolist()) / len(words)
+            region = h[a:b].tolist()
+            share = common_subsequence(self.passage_masks[p], len(words), region) / len(words)
             if share < how.paraphrase:
                 continue
+            there = set(region)
+            if share < how.same and sum(x for word, x in self.passage_weights[p].items() if word in there) < how.weighted:
+                continue
             around = h[max(low, a - 2 * how.window) : min(high, b + 2 * how.window)].tolist()
             answer = len(self.items[item].answer)
             answered = common_subsequence(self.answer_masks[item], answer, around) / answer
@@ -268,7 +280,7 @@ def _indexes(docs: DataFrame, benchmark: DataFrame, how: Search) -> Iterator[Ind
         terms = np.vstack([v * weight[:, None], np.zeros((1, v.shape[1]))]).astype(np.float32)
         latent = np.stack([(v[i] * x[:, None]).sum(axis=0) for i, x in vectors])
         latent /= np.maximum(np.sqrt((latent**2).sum(axis=1)), 1e-12)[:, None]
-        yield Index(how, items, passages, vocabulary, terms, latent.astype(np.float32))
+        yield Index(how, items, passages, vocabulary, terms, latent.astype(np.float32), weight)
 
 
 _KINDS = {"cosine": "double", "lcs_share": "double", "answer_share": "double", "kind": "string", "first_word": "long", "end_word": "long"}
