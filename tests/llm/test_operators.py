@@ -1,0 +1,421 @@
+"""Operators against brute force on small fixtures, with nulls, empty and long texts, ties and repeated rows."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from mention_pulse.llm import (
+    chat,
+    components,
+    decontamination,
+    lm,
+    pieces,
+    pii,
+    quality_model,
+    quality_rules,
+    simhash,
+    token_files,
+    toxicity,
+)
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "one",
+    "Alpha beta gamma delta epsilon zeta eta theta iota kappa",
+    "alpha BETA gamma delta epsilon zeta eta theta iota kappa",
+    "Grüße  aus\tKöln ▁ 日本語 😀 \x1c end",
+    "line one is here\nline one is here\n\n#tag $5 <b> & more",
+    " lead and trail  ",
+    "<|endoftext|> stays text",
+    "word " * 30000,
+    "x" * 50000,
+]
+
+
+def frame(spark, texts=TEXTS):
+    """Documents with repeated rows, a null doc_id and columns with clashing names."""
+    rows = [(i, t, "en" if i % 3 else None, f"s{i}") for i, t in enumerate(texts)]
+    rows += [rows[4], (None, "no id here at all", "en", None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, fp string").withColumnRenamed("fp", "list")
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, list string")
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+
+
+# ---- quality rules ---------------------------------------------------------------------------
+def brute_counts(text):
+    text = text or ""
+    own = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lower = [w.encode().lower() for w in own]
+    windows = Counter(tuple(lower[i : i + 8]) for i in range(len(lower) - 7))
+    marked = {j for i in range(len(lower) - 7) if windows[tuple(lower[i : i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(own), sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(marked)
+    )
+
+
+def test_quality_counts(spark):
+    got = quality_rules.quality_rules(frame(spark)).collect()
+    assert len(got) == len(TEXTS) + 2
+    for r in got:
+        text = "no id here at all" if r["doc_id"] is None else TEXTS[r["doc_id"]]
+        want = brute_counts(text)
+        assert tuple(r[c] for c in quality_rules.COUNTS) == want
+        failed = want[0] < 20 or 100 * want[4] > 30 * want[0]
+        assert r["base_failed"] == failed and not (r["kept"] and failed)
+    assert quality_rules.quality_rules(empty(spark)).count() == 0
+
+
+def test_quality_keeps_usual_texts_and_rejects_shouting(spark):
+    rng = np.random.default_rng(5)
+    common = "the of and to in is that it".split()
+    def text():
+        return " ".join(str(rng.choice(common)) if rng.random() < 0.5 else "".join(rng.choice(list("aeinorst"), 6)) for _ in range(120))
+    docs = [text() for _ in range(60)]
+    odd = [text().upper().replace(" ", "!! ") for _ in range(2)]
+    got = quality_rules.quality_rules(frame(spark, docs + odd)).filter("doc_id IS NOT NULL").collect()
+    assert all(r["kept"] == (r["doc_id"] < 60) for r in got)
+    kept = quality_rules.keep_good(frame(spark, docs + odd))
+    assert kept.columns == ["doc_id", "text", "lang", "list"] and {r["doc_id"] for r in kept.collect()} == set(range(60))
+
+
+def test_distance():
+    p = np.array([[0.5, 0.5, 0.0], [0.2, 0.3, 0.5]])
+    q = np.array([0.2, 0.3, 0.5])
+    m = (p[0] + q) / 2
+    want = sum(a * math.log2(a / c) for a, c in zip(p[0], m) if a) / 2 + sum(b * math.log2(b / c) for b, c in zip(q, m)) / 2
+    assert quality_rules.distance(p, q) == pytest.approx([math.sqrt(want), 0.0], abs=1e-9)
+
+
+# ---- SimHash ---------------------------------------------------------------------------------
+def brute_components(values):
+    values = sorted(set(values))
+    label = {v: v for v in values}
+    moved = True
+    while moved:
+        moved = False
+        for a in values:
+            for b in values:
+                if (a ^ b).bit_count() <= 4 and label[b] < label[a]:
+                    label[a], moved = label[b], True
+    return label
+
+
+@pytest.mark.parametrize("max_list", [4096, 5])
+def test_simhash_links(spark, max_list):
+    rng = np.random.default_rng(2)
+    values = [0]
+    for base in rng.integers(0, 1 << 63, 5).tolist():
+        for _ in range(40):
+            values.append(base ^ sum(1 << int(b) for b in set(rng.integers(0, 63, rng.integers(0, 7)).tolist())))
+    links = simhash.links(spark.createDataFrame([(v,) for v in values], "fp long"), max_list)
+    got = {r["node"]: r["component"] for r in components.components(links).collect()}
+    assert {v: got.get(v, v) for v in values} == brute_components(values)
+
+
+def test_simhash_documents(spark):
+    import xxhash
+
+    def brute(text):
+        own = words(text)
+        if not own:
+            return 0
+        shingles = [own[i : i + 4] for i in range(len(own) - 3)] or [own]
+        h = [xxhash.xxh64_intdigest(b" ".join(s), 42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    got = simhash.near_duplicates(frame(spark)).collect()
+    assert len(got) == len(TEXTS) + 2
+    by_id = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    assert all(r["fingerprint"] == f"{brute(TEXTS[i]):016x}" for i, r in by_id.items())
+    assert by_id[0]["component_id"] == by_id[1]["component_id"] == by_id[2]["component_id"] == 0
+    assert by_id[5]["component_id"] == 4
+    kept = simhash.keep_one(frame(spark))
+    assert kept.columns == ["doc_id", "text", "lang", "list"]
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == [0, *[i for i in range(3, len(TEXTS)) if i != 5]]
+    assert simhash.near_duplicates(empty(spark)).count() == 0
+
+
+# ---- token files -----------------------------------------------------------------------------
+@pytest.mark.parametrize("high", [1, 100, 50256, 1 << 40, (1 << 64) - 1])
+def test_packing(high):
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 255, 256, 257, 3000):
+        ids = rng.integers(0, high, n, dtype=np.uint64, endpoint=True)
+        ids[rng.random(n) < 0.3] = 0
+        packed, first = token_files.pack(ids)
+        assert (token_files.unpack(packed, first, n) == ids).all()
+
+
+def test_token_files(spark):
+    from tokenizers import Tokenizer
+
+    from mention_pulse.llm.common import shared_folder
+
+    library = Tokenizer.from_file(BYTES)
+    files = token_files.write_files(frame(spark), shared_folder(spark, "t"), BYTES)
+    got = sorted(token_files.read_files(spark, files).collect(), key=lambda r: r["start"])
+    texts = {i: t or "" for i, t in enumerate(TEXTS)} | {None: "no id here at all"}
+    start = 0
+    assert [r["doc_id"] for r in got] == sorted([None, *range(len(TEXTS)), 4], key=lambda x: -1 if x is None else x)
+    for r in got:
+        ids = [*library.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 0]
+        assert (r["start"], r["n_tokens"]) == (start, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        start += len(ids)
+    assert token_files.read_files(spark, token_files.write_files(empty(spark), shared_folder(spark, "t"), BYTES)).count() == 0
+
+
+def test_parts_encode_as_whole_texts():
+    import random
+
+    own = token_files.encoder(BYTES)
+    rng = random.Random(4)
+    letters = list("abTH  \n\t é日😀1 .,'!-") + ["'s", "\xa0", "\x85", "<|endoftext|>", "   "]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 20))) for _ in range(5000)]
+    want = [x.ids for x in own.library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in own.encode(texts)] == want
+
+
+# ---- pieces ----------------------------------------------------------------------------------
+def test_pieces_are_the_library_s(spark):
+    import random
+
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    own = pieces.model(PIECES)
+    rng = random.Random(4)
+    letters = list("abcdeth  \n\t▁é日😀1 .,'") + ["the", " in", "    ", "\x00"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(5000)]
+    for text in [*texts, *["a" + " " * n + "x" for n in range(40)], *(t or "" for t in TEXTS)]:
+        ids = [*library.encode(text), 2]
+        assert own.encode(text) == ids and own.decode(ids) == library.decode(ids)
+    got = {r["doc_id"]: r for r in pieces.encode_digests(frame(spark), PIECES).collect()}
+    for i, text in enumerate(TEXTS):
+        ids = [*library.encode(text or ""), 2]
+        assert got[i]["n_tokens"] == len(ids)
+        assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert got[i]["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    full = {r["doc_id"]: r for r in pieces.encode(frame(spark), PIECES).collect()}
+    assert full[6]["ids"] == [*library.encode(TEXTS[6]), 2] and full[6]["decoded"] == library.decode(full[6]["ids"])
+    assert pieces.encode_digests(empty(spark), PIECES).count() == 0
+
+
+# ---- personal data ---------------------------------------------------------------------------
+def brute_base(text):
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn(digits):
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return [(a, b, pii.KINDS[k]) for a, k, b in sorted(found)]
+
+
+def test_base_spans():
+    import random
+
+    rng = random.Random(9)
+    bits = ["a", "b.", "@", "@x.y", "é", " ", "+1 (212) 555-0100", "4111 1111 1111 1111", "10.0.0.1", "300.1.1.1", "-", ".", "7", "+", "0001.2.3.4", "@@"]
+    for _ in range(20000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 9)))
+        assert pii.base_spans(text) == brute_base(text), text
+
+
+def test_contexts_discover_identifiers(spark):
+    seeds = [f"please reach me via handle u{i}x@mail.example.com today" for i in range(8)]
+    hidden = ["please reach me via handle kit42[at]example today", "the number 12345 is via nothing", None, ""]
+    docs = frame(spark, seeds + hidden)
+    got = {r["doc_id"]: r for r in pii.find_digests(docs).collect()}
+    at = hidden[0].index("kit42")
+    assert got[8]["spans"] == f"context:{at}:{at + len('kit42[at]example')}"
+    assert got[9]["spans"] == "" and got[10]["spans"] == "" and got[8]["n_email"] == 0
+    assert got[0]["n_email"] == 1 and got[0]["base_sha256"] == hashlib.sha256(got[0]["spans"].encode()).hexdigest()
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(docs).collect()}
+    assert masked[8] == "please reach me via handle [context] today" and masked[10] is None
+    assert masked[0] == "please reach me via handle [email] today"
+    assert pii.find_digests(empty(spark)).count() == 0
+
+
+# ---- chat ------------------------------------------------------------------------------------
+def test_chat_reads_back(spark):
+    texts = ["\\### Assistant: </turn> ok", "", "### x </turn>\n\\", "plain: text", "#### ### </turn></turn>", "é" * 3000]
+    rows = [(c, t, r, texts[(c + t) % 6]) for c in (-7, 0, 1) for t, r in enumerate(["system", "user", "assistant", "user", "assistant"])]
+    rows += [(None, None, None, None), (5, 1, "assistant", "b"), (5, 1, "assistant", "a"), (5, None, "a:b\\", "first")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("output", pa_lit())
+    got = {r["conv_id"]: r for r in chat.format_digests(turns).collect()}
+    for conv in (-7, 0, 1, None, 5):
+        own = sorted(((t is not None, t, r or "", x or "") for c, t, r, x in rows if c == conv))
+        text = "".join(f"{r}\n{x}\n" for _, _, r, x in own)
+        loss = "".join(x for _, _, r, x in own if r == "assistant")
+        assert got[conv]["n_turns"] == len(own)
+        assert got[conv]["turns_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert got[conv]["formatted_chars"] == len(chat.marked_turns([(r, x) for _, _, r, x in own]))
+    whole = sorted((r for r in chat.format_turns(turns).collect() if r["conv_id"] == 0), key=lambda r: r["begin"])
+    assert "".join(r["output"] for r in whole) == chat.marked_turns([(r, x) for c, _, r, x in rows if c == 0])
+    assert chat.format_digests(turns.limit(0)).count() == 0
+
+
+def pa_lit():
+    from pyspark.sql import functions as F
+
+    return F.lit("clash")
+
+
+def test_chat_detects_rewriting():
+    forgets = chat.Renderer(lambda turns: "".join(x for _, x in turns[-1:]))
+    forgets.add("user", "one")
+    assert forgets.add("user", "two") is None and forgets.rewrites
+    keeps = chat.Renderer(chat.marked_turns)
+    piece = keeps.add("assistant", "a</turn>b")
+    assert chat.unescape(piece.output[piece.begin : piece.end]) == "a</turn>b"
+
+
+# ---- language model --------------------------------------------------------------------------
+def test_elias_fano():
+    rng = np.random.default_rng(1)
+    for n, universe in ((1, 10), (1000, 1 << 40), (5000, 300), (1, 1 << 62), (20000, 1 << 33)):
+        values = np.sort(rng.integers(0, universe, n)).astype(np.uint64)
+        arrays, shift = lm.EliasFano.build(values, universe, "x")
+        own = lm.EliasFano(arrays, "x", shift, n)
+        assert (own.at(np.arange(n)) == values.astype(np.int64)).all()
+        asked = np.concatenate([values, rng.integers(0, universe, 500).astype(np.uint64)])
+        place, equal = own.successor(asked)
+        assert (place == np.searchsorted(values, asked)).all() and (equal == np.isin(asked, values)).all()
+
+
+@pytest.mark.parametrize("shard_tokens", [1_000_000, 50])
+def test_language_model(spark, shard_tokens):
+    rng = np.random.default_rng(8)
+    vocabulary = [f"W{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(vocabulary, int(rng.integers(0, 60)), p=np.arange(40, 0, -1) / 820)) for _ in range(30)]
+    texts += [None, "", "unseen words W1 only here", "W0 " * 400]
+    docs = frame(spark, texts)
+    own = docs.withColumn("held_out", lm.fold(7) == 2)
+    model = lm.train(own.filter("NOT held_out"), 3, shard_tokens)
+    got = lm.score(own, model, ("held_out",)).collect()
+    all_texts = {i: t for i, t in enumerate(texts)} | {None: "no id here at all"}
+    counts = [Counter(), Counter(), Counter()]
+    for i in [*range(len(texts)), 4, None]:
+        if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2:
+            w = [*words(all_texts[i]), None]
+            s = [None, *w]
+            counts[0].update(w)
+            counts[1].update(zip(s, s[1:]))
+            counts[2].update(zip(s, s[1:], s[2:]))
+    n, v = sum(counts[0].values()), len(counts[0])
+    behind = [Counter(), Counter(), Counter()]
+    distinct = [Counter(), Counter(), Counter()]
+    discount = [0.0] * 3
+    for k in (1, 2):
+        for key, c in counts[k].items():
+            behind[k][key[:-1]] += c
+            distinct[k][key[:-1]] += 1
+        one, two = (sum(c == x for c in counts[k].values()) for x in (1, 2))
+        discount[k] = min(0.95, max(0.05, one / (one + 2 * two)))
+    assert len(got) == len(texts) + 2
+    for r in got:
+        w = [*words(all_texts[r["doc_id"]]), None]
+        past = [None, *w]
+        base = score = 0.0
+        for i, x in enumerate(w):
+            p = (counts[0][x] + 1) / (n + v + 1)
+            base += math.log10(p)
+            for k, context in ((1, past[i : i + 1]), (2, past[i - 1 : i + 1] if i else None)):
+                context = tuple(context) if context is not None else None
+                if context is not None and behind[k][context]:
+                    c = counts[k][(*context, x)]
+                    p = (max(0, c - discount[k]) + discount[k] * distinct[k][context] * p) / behind[k][context]
+            score += math.log10(p)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(w), sum(counts[0][x] > 0 for x in w), n)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] == pytest.approx(score, abs=3e-4 * len(w))
+    assert lm.held_out_scores(empty(spark)).count() == 0
+
+
+# ---- decontamination -------------------------------------------------------------------------
+def test_leaks(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(3000)]
+
+    def text(n):
+        return " ".join(rng.choice(vocabulary, n))
+
+    items = [f"{text(30)}. {text(8)}." for _ in range(10)] + [None, "", "too short"]
+    changed = items[3].split()
+    for i in range(2, 28, 4):
+        changed[i] = "other"
+    docs = [text(200) for _ in range(30)]
+    docs += [f"{text(45)} {items[0].upper()} {text(70)}", f"{text(5)} {' '.join(changed)} {text(90)}", items[7], None, "", text(4000)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").withColumn("cosine", pa_lit())
+    got = decontamination.leaks(frame(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(30, 0), (31, 3), (32, 7)}
+    assert next(r for r in got if r["doc_id"] == 30)["lcs_share"] == 1.0
+    kept = decontamination.without_leaks(frame(spark, docs), bench)
+    assert {r["doc_id"] for r in kept.collect()} == {None, *range(30), 33, 34, 35} and kept.columns == ["doc_id", "text", "lang", "list"]
+    assert decontamination.leaks(frame(spark, docs), bench.limit(0)).count() == 0
+    assert decontamination.leaks(empty(spark), bench).count() == 0
+
+
+def test_common_subsequence():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        a, b = rng.integers(0, 5, rng.integers(1, 40)).tolist(), rng.integers(0, 5, rng.integers(0, 60)).tolist()
+        best = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(best[j] + 1 if x == y else max(best[j + 1], row[-1]))
+            best = row
+        masks = decontamination._masks(np.array(a))
+        assert decontamination.common_subsequence(masks, len(a), b) == best[-1]
+
+
+# ---- classifiers -----------------------------------------------------------------------------
+@pytest.mark.parametrize("module, label, bad", [(toxicity, "toxic", "you zorgon fool"), (quality_model, "quality", "!!! %%% LOUD")])
+def test_classifiers(spark, module, label, bad):
+    rng = np.random.default_rng(6)
+    def text(i):
+        own = ["".join(rng.choice(list("abcdefg"), 4)) for _ in range(40)]
+        return " ".join([*own, *([bad] * 3 if i % 2 else [])])
+    texts = [text(i) for i in range(400)] + [None, "", text(1)]
+    labels = [(i, i % 2) for i in range(400)] + [(None, 1), (5, None), (7, 1)]
+    table = spark.createDataFrame(labels, f"doc_id long, {label} long")
+    got = module.scores(frame(spark, texts), table).collect()
+    assert len(got) == len(texts) + 2 and all(0 <= r["score"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] is not None and r["doc_id"] < 400]
+    assert held and np.mean([r["predicted"] == r["doc_id"] % 2 for r in held]) > 0.95
+    none = module.scores(frame(spark, texts[:20]), table.limit(0)).collect()
+    assert len(none) == 22 and {r["score"] for r in none} == {0.0}
+    assert module.scores(empty(spark), table).count() == 0
+
+
+def test_random_index_buckets():
+    got, at = quality_model.buckets(pa.array(["The the THE!!", None, "", "a1"]))
+    assert np.diff(at).tolist() == [4, 0, 0, 2] and len(set(got[:3].tolist())) == 3
