@@ -2,8 +2,9 @@
 
 Benchmark items are cut into passages of at most `window` words. Passages are weighted by TF-IDF, with
 document frequencies from all documents, and a randomised SVD of the passage matrix, whose rows Spark
-tasks hold, gives a latent space. Windows of every document are folded into it, and those whose cosine
-to a passage reaches `cosine` are candidates. A candidate's words are aligned with the passage by their
+tasks hold, gives a latent space. Windows of every document are folded into it. Those whose cosine to a
+passage reaches `cosine`, and that hold `contained` of the passage's own length in its direction (windows of
+a few common words point anywhere, but are short), are candidates. A candidate's words are aligned with the passage by their
 longest common subsequence. A share of `same` or more is a leak; a share of `paraphrase` or more is one
 if the passage's rarer words are there too (`weighted` of all its words' weight) and the item's answer (its
 last sentence, or last quarter if there is but one) is found nearby.
@@ -45,6 +46,7 @@ class Search:
     oversample: int = 16
     power_rounds: int = 2
     cosine: float = 0.5
+    contained: float = 0.4
     same: float = 0.7
     paraphrase: float = 0.5
     weighted: float = 0.6
@@ -187,6 +189,7 @@ class Index:
     vocabulary: np.ndarray
     terms: np.ndarray  # latent vector of each word, weighted; the last is zero
     latent: np.ndarray  # passages, of length 1
+    length: np.ndarray  # of the passages in the latent space before that
     weight: np.ndarray  # inverse document frequency of each word
 
     def prepared(self) -> "Index":
@@ -206,7 +209,7 @@ class Index:
         h, at = common.word_hashes(column, common.NOT_PLAIN)
         if not len(h):
             return []
-        rows = self.terms[self.known.index(h)]
+        rows = self.terms[self.known.index(h)]  # -1, the zero row, for words the benchmark has not
         lengths = np.diff(at)
         blocks = -(-lengths // STRIDE)
         first_block = np.append(0, np.cumsum(blocks))
@@ -222,9 +225,11 @@ class Index:
         whole = (np.arange(len(owner)) + span <= first_block[owner + 1]) | (np.arange(len(owner)) == first_block[owner])
         windows = np.flatnonzero(whole)
         norm = np.sqrt((vectors[windows] ** 2).sum(axis=1))
-        near = (vectors[windows] @ self.latent.T) / np.maximum(norm, 1e-9)[:, None]
+        near = vectors[windows] @ self.latent.T
+        hits = np.nonzero(near >= np.maximum(how.cosine * norm[:, None], how.contained * self.length))
+        cosines = near[hits] / np.maximum(norm[hits[0]], 1e-9)
         best: dict[tuple[int, int], dict] = {}
-        for w, p in zip(*(x.tolist() for x in np.nonzero(near >= how.cosine))):
+        for w, p, cosine in zip(*(x.tolist() for x in (*hits, cosines))):
             block = int(windows[w])
             row, start = int(owner[block]), int(begin[block])
             low, high = int(at[row]), int(at[row + 1])
@@ -245,7 +250,7 @@ class Index:
             found = {
                 "row": row,
                 "item": item,
-                "cosine": float(near[w, p]),
+                "cosine": cosine,
                 "lcs_share": share,
                 "answer_share": answered,
                 "kind": "same" if share >= how.same else "paraphrase",
@@ -279,8 +284,10 @@ def _indexes(docs: DataFrame, benchmark: DataFrame, how: Search) -> Iterator[Ind
         v = latent_terms(rows, len(vocabulary), how)
         terms = np.vstack([v * weight[:, None], np.zeros((1, v.shape[1]))]).astype(np.float32)
         latent = np.stack([(v[i] * x[:, None]).sum(axis=0) for i, x in vectors])
-        latent /= np.maximum(np.sqrt((latent**2).sum(axis=1)), 1e-12)[:, None]
-        yield Index(how, items, passages, vocabulary, terms, latent.astype(np.float32), weight)
+        share = np.maximum(np.sqrt((latent**2).sum(axis=1)), 1e-12)
+        full = [np.sqrt(((np.unique(w, return_counts=True)[1] * weight[i]) ** 2).sum()) for (_, w), (i, _) in zip(passages, vectors)]
+        latent = (latent / share[:, None]).astype(np.float32)
+        yield Index(how, items, passages, vocabulary, terms, latent, (share * full).astype(np.float32), weight)
 
 
 _KINDS = {"cosine": "double", "lcs_share": "double", "answer_share": "double", "kind": "string", "first_word": "long", "end_word": "long"}
