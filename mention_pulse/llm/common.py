@@ -32,15 +32,15 @@ for _first, _last in ((48, 57), (65, 90), (97, 122)):
     NOT_PLAIN[_first : _last + 1] = False
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of each batch with about SLICE_BYTES of text, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of each batch with about `size` bytes of text, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch[text]), 0), dtype=np.int64))
         at = done = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+            to = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
             yield batch.slice(at, to - at)
             at, done = to, int(ends[to - 1])
 

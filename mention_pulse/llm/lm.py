@@ -49,6 +49,7 @@ from mention_pulse.llm import common
 END = np.uint64(0x5BD1E995A5A5F00D)  # stands for the end of a text among the words
 SHARD_TOKENS = 6_000_000
 FLUSH = 3_000_000
+SLICE_BYTES = 1 << 21  # many look-ups at once share the work of a shard
 FLOOR = -16.0  # of quantised values
 _STEP = -FLOOR / 65535
 
@@ -282,12 +283,20 @@ def _find(model: Model, level: int, context: np.ndarray, word: np.ndarray) -> tu
             continue
         key = local.astype(np.uint64) * np.uint64(model.n_words) + word[mine].astype(np.uint64)
         order = np.argsort(key)  # in order, neighbours read the same parts of the file
-        mine, local, key = mine[order], local[order], key[order]
+        mine, key = mine[order], key[order]
+        first = np.append(True, key[1:] != key[:-1])  # each n-gram is looked up once
+        local, once = local[order][first], key[first]
         new = np.append(True, local[1:] != local[:-1])
         pointers = EliasFano(arrays, "pointers", meta["pointer_shift"], meta["contexts"] + 1)
         begin, end = (pointers.at(local[new] + i)[np.cumsum(new) - 1] for i in (0, 1))
         children = EliasFano(arrays, "children", meta["shift"], meta["n"])
-        at, equal = children.successor(key, begin, end)
+        at, equal = np.zeros(len(once), dtype=np.int64), np.zeros(len(once), dtype=bool)
+        single, more = np.flatnonzero(end - begin == 1), np.flatnonzero(end - begin > 1)
+        at[single] = begin[single]  # an only child is read, others are searched
+        equal[single] = children.at(begin[single]) == once[single].astype(np.int64)
+        at[more], equal[more] = children.successor(once[more], begin[more], end[more])
+        back = np.cumsum(first) - 1
+        at, equal = at[back], equal[back]
         mine, at = mine[equal], at[equal]
         place[mine] = int(shards.starts[k]) + at
         prob[mine] = _value(scores["prob"][at])
@@ -444,7 +453,7 @@ def _counted_words(docs: DataFrame, bits: int) -> DataFrame:
             shard = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
             yield from _parts(shard, keys, n)
 
-        for part in common.slices(batches):
+        for part in common.slices(batches, size=SLICE_BYTES):
             fresh.append(Tokens.of(part["text"]).h)
             if sum(map(len, fresh)) >= FLUSH:
                 fold()
@@ -542,7 +551,7 @@ def _counted_ngrams(docs: DataFrame, model: Model, level: int, shards: Shards) -
             begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])))
             yield from _parts(shard[begin], key[begin], np.diff(np.append(begin, len(key))))
 
-        for part in common.slices(batches):
+        for part in common.slices(batches, size=SLICE_BYTES):
             tokens = Tokens.of(part["text"])
             ids, _ = word_ids(model, tokens.h)
             place = ids
@@ -683,7 +692,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFram
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for part in common.slices(batches):
+        for part in common.slices(batches, size=SLICE_BYTES):
             tokens = Tokens.of(part["text"])
             by_model, base, counts = _scores(model, tokens)
             begin = tokens.starts[:-1]
