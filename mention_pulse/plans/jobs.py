@@ -114,6 +114,12 @@ def new_days(
     return sorted(row["day"] for row in days.join(merged, "day", "left_anti").collect())
 
 
+def refuse_committed(spark: SparkSession, manifest: str, run_id: str) -> None:
+    """A run id names one run: writing under a committed one would undo what it serves."""
+    if not tables.read_manifest(spark, manifest).filter(F.col("run_id") == run_id).isEmpty():
+        raise ValueError(f"run {run_id} is committed already")
+
+
 def aggregate(
     spark: SparkSession,
     clean_path: str,
@@ -134,6 +140,7 @@ def aggregate(
     days = new_days(spark, clean, out.manifest, run_date)
     if not days:
         return False
+    refuse_committed(spark, out.manifest, run_id)
     # text on partition columns only: the scan lists just these days
     mentions = clean.filter(day_of().isin(days))
     previous = tables.current_run(spark, out.manifest)
@@ -158,19 +165,29 @@ def aggregate(
 
 
 def rebuild_days(
-    spark: SparkSession, clean_path: str, base: str, run_id: str, days: list[str]
+    spark: SparkSession, clean_path: str, base: str, run_id: str, days: list[str], n_keys: int = 5
 ) -> None:
-    """Redo some merged days whose posts were landed again, as a new run of the roll-ups."""
+    """Redo some days whose posts were landed again, merged before or not, as a new run.
+
+    The run owns the days, so no later run merges them again; their posts that no run serves yet are
+    added to the recent posts.
+    """
     configure(spark)
     out = Serving(base)
+    refuse_committed(spark, out.manifest, run_id)
     previous = tables.current_run(spark, out.manifest)
-    fresh = rollup.ticker_rollup(files.read_table(spark, clean_path).filter(day_of().isin(days)))
+    mentions = files.read_table(spark, clean_path).filter(day_of().isin(days))
+    fresh = rollup.ticker_rollup(mentions)
     old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
     tables.write_snapshot(rollup.replace_days(old, fresh, days), out.rollup, run_id)
     rebuilt = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
     tables.write_snapshot(rollup.metrics_of_rollup(rebuilt), out.metrics, run_id)
+    served = read_recent(spark, base).select("TIMESTAMP", "TICKER", "ID")
+    late = serve.recent_table(mentions, n_keys).join(served, ["TIMESTAMP", "TICKER", "ID"], "left_anti")
+    recent = late.select("PARTITION", "TIMESTAMP", "ID", "TICKER", "SENTIMENT", "TEXT", "CLEANTEXT")
+    tables.write_snapshot(tables.recency_layout(recent), out.recent, run_id)
     tables.write_index(rebuilt.drop(tables.RUN), out.index(run_id))
-    tables.commit_run(spark, out.manifest, run_id)
+    tables.commit_run(spark, out.manifest, run_id, days)
 
 
 # ---- serving reads -------------------------------------------------------------------------

@@ -14,8 +14,8 @@ def one(spark, value, column, kind="string"):
 
 
 def test_tags_of_any_script_upper_distinct(spark):
-    got = one(spark, "#v_tree $V #방탄소년단뷔 |btsv #V end#", text.extract_tags("c"))
-    assert got == ["V_TREE", "V", "방탄소년단뷔", "BTSV"]
+    got = one(spark, "#blue_sky $Q rises #наука with |data #Q done#", text.extract_tags("c"))
+    assert got == ["BLUE_SKY", "Q", "НАУКА", "DATA"]
 
 
 def test_dotted_ticker_needs_the_option(spark):

@@ -173,6 +173,18 @@ def test_rebuild_of_a_day_landed_again(spark, tmp_path, pipeline):
     jobs.rebuild_days(spark, clean, base, "r2", ["2022-10-29"])
     merged = files.closed_days(files.read_table(spark, clean), dt.date(2022, 10, 30))
     assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(merged, "r2"))
+    # the late post is served, and days that were rebuilt before any run merged them are not merged again
+    served = rows(jobs.read_recent(spark, base), "ID", "TICKER")
+    assert len(served) == len(set(served)) and {i for i, _ in served} >= {
+        str(r["tweet_id"]) for r in merged.filter("day = '29'").select("tweet_id").collect()
+    }
+    open_days = sorted({f"{r['year']}-{r['month']}-{r['day']}" for r in files.read_table(spark, clean).collect()})
+    jobs.rebuild_days(spark, clean, base, "r3", open_days)
+    before = rows(jobs.read_rollup(spark, base).drop("RUN_ID"))
+    assert not jobs.aggregate(spark, clean, base, "r4", dt.date(2022, 12, 1))
+    assert rows(jobs.read_rollup(spark, base).drop("RUN_ID")) == before
+    with pytest.raises(ValueError, match="committed"):
+        jobs.rebuild_days(spark, clean, base, "r3", open_days)
 
 
 def test_stage_counts_come_with_the_write(spark, tmp_path):

@@ -11,10 +11,10 @@ from mention_pulse.plans import jobs
 from mention_pulse.schemas import LEVEL_METRICS, POSTS_SCORED, RECORDS, TICKER_ROLLUP
 from mention_pulse.sources import files, records, tables
 
-META = {"created_at": 1666915198.0, "tweet_type": "original", "sensitive": False, "hashcashtags": ["V", "방탄소년단뷔"]}
+META = {"created_at": 1666915198.0, "tweet_type": "original", "sensitive": False, "hashcashtags": ["Q", "наука"]}
 POSTS = [
-    {"tweet_id": 1, "author_id": 34354334, "text": "very good", "tweet_meta": META},
-    {"tweet_id": 2, "author_id": 34354334, "text": "very good", "tweet_meta": {**META, "sensitive": True}},
+    {"tweet_id": 1, "author_id": 808, "text": "very good", "tweet_meta": META},
+    {"tweet_id": 2, "author_id": 808, "text": "very good", "tweet_meta": {**META, "sensitive": True}},
     {"tweet_id": 3, "author_id": 2**40, "text": "very bad", "tweet_meta": {**META, "tweet_type": "replied_to", "sensitive": None},
      "reference_tweets": {"tweet_id": "x", "tweet_type": "original", "text": "ref good", "hashcashtags": ["TSLA"]}},
     {"tweet_id": 4, "author_id": 5, "text": "no tags", "tweet_meta": {**META, "hashcashtags": []}},
@@ -34,7 +34,7 @@ def posts_dir(tmp_path):
 def test_read_posts_and_corrupt_lines(spark, posts_dir):
     df = files.read_posts(spark, posts_dir)
     assert rows(df.filter("tweet_id IS NOT NULL"), "tweet_id", "author_id", "reference_tweets.tweet_id") == [
-        (1, 34354334, None), (2, 34354334, None), (3, 2**40, "x"), (4, 5, None),
+        (1, 808, None), (2, 808, None), (3, 2**40, "x"), (4, 5, None),
     ]
     kept = files.read_posts(spark, posts_dir, keep_corrupt=True).filter("_corrupt_record IS NOT NULL")
     assert rows(kept, "tweet_id", "_corrupt_record") == [(None, "{not json")]
