@@ -33,7 +33,8 @@ def capture_filter(
     """Posts (with `text`, `lang`, `tweet_type`) that the capture rule lets in.
 
     Not a repost, in the language, free of the excluded words, and naming a tracked ticker as $X
-    or #X; naming one implies having a tag.
+    or #X; naming one implies having a tag. Each post is judged by its own text, ids need not be
+    distinct.
     """
     rule = (F.col("tweet_type") != "retweeted") & (F.col("lang") == lang)
     if exclude:
@@ -44,9 +45,12 @@ def capture_filter(
     listed = small_values(symbols, "symbol")
     if listed is not None:
         return wanted.filter(F.exists(terms, lambda term: term.isin(listed)))
-    named = wanted.select(F.col(post_id), F.explode(terms).alias("term"))
-    hits = join_dimension(named, symbols, "term", "symbol", post_id).select(post_id)
-    return wanted.join(hits, post_id, "left_semi")
+    # the verdict follows from the terms, so posts alike in id and terms share it
+    termed = wanted.withColumn("_terms", F.array_distinct(terms))
+    named = termed.select(F.col(post_id).alias("_id"), "_terms", F.explode("_terms").alias("term"))
+    hits = join_dimension(named, symbols, "term", "symbol", "_id").select("_id", F.col("_terms").alias("_hit"))
+    same = F.col(post_id).eqNullSafe(F.col("_id")) & (F.col("_terms") == F.col("_hit"))
+    return termed.join(hits, same, "left_semi").drop("_terms")
 
 
 def record_tags() -> Column:

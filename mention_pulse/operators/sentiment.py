@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -15,13 +17,15 @@ from mention_pulse.schemas import SCORED_TEXT
 # Fixed value: the constant of s / sqrt(s*s + alpha), as published with the rule-based scorer
 # whose score range this follows.
 ALPHA = 15.0
-WORD = r"[a-z]+"
+WORD = r"[\p{L}\p{M}]+"
+# Words of a lexicon literal that share one small map, on average.
+WORDS_PER_MAP = 4
 
 SCORE_FIELDS = ("sentiment", "total", "positive", "negative")
 
 
 def words(text: Column) -> Column:
-    """Lower-case ASCII words of a text."""
+    """Lower-case words of a text: runs of letters, and marks on them, of any script."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
@@ -36,32 +40,46 @@ def _scores(valence: Column, pos: Column, neg: Column, n: Column, alpha: float)
     }
 
 
+def one_valence(table: DataFrame) -> DataFrame:
+    """(token, valence) with each token once: the largest of its valences; nulls are no entries."""
+    valence = F.col("valence").cast("double")
+    known = table.filter(F.col("token").isNotNull() & valence.isNotNull())
+    return known.groupBy("token").agg(F.max(valence).alias("valence"))
+
+
 class Lexicon:
     """A word list of checked size, ready to be used inside expressions.
 
-    The words of one valence become one set literal, so looking a word up is a hash probe in the
-    row itself: scoring needs no shuffle and works on a stream.
+    The words become one literal, an array of small maps with a word's map found by its checksum,
+    so looking a word up costs a few comparisons in the row itself, whatever the number of words
+    and valences: scoring needs no shuffle and works on a stream. A word under several valences
+    has the largest.
     """
 
     def __init__(self, words_by_valence: dict[float, Sequence[str]]):
-        self.words_by_valence = {v: sorted(set(w)) for v, w in sorted(words_by_valence.items()) if w}
+        self.words = {w: float(v) for v, listed in sorted(words_by_valence.items()) for w in listed}
 
     @classmethod
     def of(cls, table: DataFrame, max_rows: int = MAX_LITERALS) -> Lexicon:
         """From a (token, valence) table; raises if it has more than `max_rows` rows."""
         if not is_small(table, max_rows):
             raise ValueError(f"lexicon has more than {max_rows} rows, use score_by_join")
-        groups = table.groupBy("valence").agg(F.collect_set("token").alias("tokens")).collect()
-        return cls({row["valence"]: row["tokens"] for row in groups})
+        lexicon = cls({})
+        lexicon.words = {row["token"]: row["valence"] for row in one_valence(table).collect()}
+        return lexicon
+
+    def _maps(self) -> tuple[Column, int]:
+        """The literal, which Spark parses once while planning, and the number of its maps."""
+        maps: list[dict[str, float]] = [{} for _ in range(len(self.words) // WORDS_PER_MAP + 1)]
+        for word, value in self.words.items():
+            maps[zlib.crc32(word.encode()) % len(maps)][word] = value
+        return F.from_json(F.lit(json.dumps(maps)), "array<map<string,double>>"), len(maps)
 
     def valence(self, word: Column) -> Column:
         """Valence of a word, 0 for a word not listed."""
-        out = F.lit(0.0)
-        for value, listed in self.words_by_valence.items():
-            out = F.when(word.isin(listed), F.lit(float(value))).otherwise(out)
-        # most words are not listed: one probe decides that
-        every = [w for listed in self.words_by_valence.values() for w in listed]
-        return F.when(word.isin(every), out).otherwise(F.lit(0.0))
+        maps, n = self._maps()
+        near = F.get(maps, (F.crc32(word) % F.lit(n)).cast("int"))
+        return F.coalesce(F.try_element_at(near, word), F.lit(0.0))
 
     def struct(self, text: Column, alpha: float = ALPHA) -> Column:
         """struct(text, sentiment, total, positive, negative) of a text; null scores of null."""
@@ -107,21 +125,29 @@ def score_by_join(
 ) -> DataFrame:
     """(post_id, sentiment, total, positive, negative) by joining words to a lexicon of any size.
 
-    Words and hits of a post are combined before they are shuffled by its id; texts are not
-    shuffled at all.
+    One row per row of `df`, with the scores `score_sentiment` gives it: null for a null text, and
+    each text on its own where posts share an id (texts are told apart by their SHA-256). Words
+    and hits of a post are combined before they are shuffled by its id; texts are not shuffled at
+    all.
     """
-    tokens = df.filter(F.col(text).isNotNull()).select(
-        F.col(post_id), F.explode_outer(words(F.col(text))).alias("word")
+    keyed = df.select(F.col(post_id), F.col(text), F.sha2(F.col(text), 256).alias("_text"))
+    tokens = keyed.filter(F.col(text).isNotNull()).select(
+        F.col(post_id).alias("_id"), "_text", F.posexplode_outer(words(F.col(text))).alias("_at", "word")
     )
-    hits = join_dimension(tokens, lexicon, "word", "token", post_id, "left", **limits)
-    sums = hits.groupBy(post_id).agg(
-        F.coalesce(F.sum(F.col("valence").cast("double")), F.lit(0.0)).alias("_s"),
+    hits = join_dimension(tokens, one_valence(lexicon), "word", "token", "_id", "left", **limits)
+    sums = hits.groupBy("_id", "_text").agg(
+        F.coalesce(F.sum("valence"), F.lit(0.0)).alias("_s"),
         F.count_if(F.col("valence") > 0).alias("_pos"),
         F.count_if(F.col("valence") < 0).alias("_neg"),
         F.count("word").alias("_n"),
+        F.count_if(F.coalesce(F.col("_at"), F.lit(0)) == 0).alias("_copies"),
     )
-    fields = _scores(F.col("_s"), F.col("_pos"), F.col("_neg"), F.col("_n"), alpha)
-    return sums.select(post_id, *(fields[f].alias(f) for f in SCORE_FIELDS))
+    # copies of a post add up alike: shares stay as they are, the sum is divided
+    valence = F.col("_s") / F.col("_copies")
+    fields = _scores(valence, F.col("_pos"), F.col("_neg"), F.col("_n"), alpha)
+    scored = sums.select("_id", F.col("_text").alias("_scored"), *(fields[f].alias(f) for f in SCORE_FIELDS))
+    same = F.col(post_id).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_scored"))
+    return keyed.drop(text).join(scored, same, "left").select(post_id, *SCORE_FIELDS)
 
 
 Scorer = Callable[[str], tuple[str, float, float, float]]
@@ -130,13 +156,17 @@ Scorer = Callable[[str], tuple[str, float, float, float]]
 def scorer_udf(score: Scorer) -> Callable[[Column], Column]:
     """An Arrow-batched column function of a scorer text -> (label, total, positive, negative).
 
-    A text on which the scorer raises gets null scores, so one bad record fails alone.
+    A text on which the scorer raises gets null scores, so one bad record fails alone; it is never
+    called on a null text.
     """
 
     @F.pandas_udf(SCORED_TEXT)
     def scored(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
+            if text is None:
+                rows.append((None,) * len(SCORED_TEXT))
+                continue
             try:
                 rows.append((text, *score(text)))
             except Exception:  # noqa: BLE001 - whatever the caller's scorer raises

@@ -28,9 +28,12 @@ def match_tickers(
     return join_dimension(tags, tickers, "tag", "ticker", post_id, **limits).drop("tag")
 
 
-def with_ticker_list(mentions: DataFrame, post_id: str = "tweet_id") -> DataFrame:
-    """All tickers of a post beside each of its mentions, and their number."""
-    tickers = F.array_sort(F.collect_list("ticker").over(Window.partitionBy(post_id)))
+def with_ticker_list(mentions: DataFrame, *by: str) -> DataFrame:
+    """All distinct tickers of a post beside each of its mentions, and their number.
+
+    `by` tells posts apart (the id alone by default).
+    """
+    tickers = F.array_sort(F.collect_set("ticker").over(Window.partitionBy(*(by or ("tweet_id",)))))
     return mentions.withColumn("ticker_ls", tickers).withColumn("ticker_sz", F.size("ticker_ls"))
 
 
@@ -44,13 +47,16 @@ def tag_mentions(
 ) -> DataFrame:
     """Posts to mentions with `ticker`, `ticker_name`, `ticker_ls` and `ticker_sz`.
 
-    The symbols of a dimension of checked size travel inside the query as a set, so the list of a
-    post's tickers is made in its own row and nothing is shuffled. A larger dimension is joined,
-    and the lists are gathered per post afterwards. Both ways agree for posts with distinct ids.
+    The list holds the distinct tickers of the post's own row, also where posts share an id or the
+    dimension repeats a ticker. The symbols of a dimension of checked size travel inside the query
+    as a set, so nothing is shuffled. A larger dimension is joined, and the lists are gathered by
+    post id and tags: a list follows from the tags, so rows alike in both have the same one.
     """
     tracked = small_values(tickers, "ticker")
     if tracked is None:
-        return with_ticker_list(match_tickers(explode_tags(posts, own, parents), tickers))
+        tagged = posts.withColumn("_tags", F.sort_array(union_tags(own, parents)))
+        matched = match_tickers(explode_tags(tagged, own, parents), tickers)
+        return with_ticker_list(matched, "tweet_id", "_tags").drop("_tags")
     known = F.filter(union_tags(own, parents), lambda tag: tag.isin(tracked))
     # explode_outer: for a plain explode Spark would test the list for emptiness first, making it
     # twice; the join drops the posts without a ticker anyway

@@ -13,16 +13,25 @@ from mention_pulse.functions.keys import PARTS
 from mention_pulse.operators import rollup, serve
 from mention_pulse.operators.spam import flag_spam, with_clean_text
 from mention_pulse.operators.tags import tag_mentions, top_tickers
-from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TICKER_ROLLUP
+from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TABLE_KEYS, TICKER_ROLLUP
 from mention_pulse.session import configure
 from mention_pulse.sources import files, tables
 
 
+BATCH = "batch"
+
+
 def day_of() -> Column:
     """yyyy-MM-dd of a row, from its partition columns alone."""
     return F.concat_ws("-", *PARTS[:3])
 
 
+def part_of(clean: DataFrame) -> Column:
+    """yyyy-MM-dd/batch of a clean mention, from its partition columns; no batch counts as ''."""
+    batch = F.col(BATCH) if BATCH in clean.columns else F.lit("")
+    return F.concat_ws("/", day_of(), F.coalesce(batch, F.lit("")))
+
+
 # ---- land ----------------------------------------------------------------------------------
 def land_posts(posts: DataFrame, path: str, mode: str = "append") -> None:
     """Scored posts as Parquet by year, month, day and hour (taken from created_at if absent)."""
@@ -71,13 +80,17 @@ def write_clean(mentions: DataFrame, base: str, batch: str) -> dict[str, int]:
 
     A batch written twice replaces itself.
     """
-    stamped = mentions.withColumn("batch", F.lit(batch))
+    stamped = mentions.withColumn(BATCH, F.lit(batch))
     spam = F.count_if(F.col("possible_spam"))
     watched, seen = tables.counted(stamped, f"clean_{batch}", n_spam=spam)
-    tables.split_write(watched, base, keys=[*PARTS, "batch"], mode="overwrite")
+    tables.split_write(watched, base, keys=[*PARTS, BATCH], mode="overwrite")
     return seen.get
 
 
+# one row per post and ticker: TABLE_KEYS and the whole id, of which the time key holds ten digits
+RECENT_KEYS = [*TABLE_KEYS["recent_posts"], "ID"]
+
+
 # ---- aggregate -----------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Serving:
@@ -105,13 +118,16 @@ class Serving:
         return f"{self.base}/runs"
 
 
-def new_days(
+def new_parts(
     spark: SparkSession, mentions: DataFrame, manifest: str, run_date: dt.date | None
 ) -> list[str]:
-    """Closed days no committed run has merged yet: a list bounded by the calendar."""
-    days = files.closed_days(mentions, run_date).select(day_of().alias("day")).distinct()
-    merged = tables.read_manifest(spark, manifest).select(F.explode("days").alias("day"))
-    return sorted(row["day"] for row in days.join(merged, "day", "left_anti").collect())
+    """Batches of closed days no committed run has merged yet, late ones of merged days included.
+
+    The list is bounded by the batches landed since the last run, times their days.
+    """
+    parts = files.closed_days(mentions, run_date).select(part_of(mentions).alias("part")).distinct()
+    merged = tables.read_manifest(spark, manifest).select(F.explode("parts").alias("part"))
+    return sorted(row["part"] for row in parts.join(merged, "part", "left_anti").collect())
 
 
 def refuse_committed(spark: SparkSession, manifest: str, run_id: str) -> None:
@@ -128,21 +144,22 @@ def aggregate(
     run_date: dt.date | None = None,
     n_keys: int = 5,
 ) -> bool:
-    """Merge the closed days that are new into the serving tables; False if there are none.
+    """Merge the new batches of closed days into the serving tables; False if there are none.
 
-    All tables are written under the new run id first; the manifest row, which names the run and
-    its days, comes last. A run that fails before has no effect, and running it again replaces
+    A post that lands late for a merged day comes in a batch of its own, and so joins its day. All
+    tables are written under the new run id first; the manifest row, which names the run and what
+    it merged, comes last. A run that fails before has no effect, and running it again replaces
     what it left.
     """
     configure(spark)
     out = Serving(base)
     clean = files.read_table(spark, clean_path)
-    days = new_days(spark, clean, out.manifest, run_date)
-    if not days:
+    parts = new_parts(spark, clean, out.manifest, run_date)
+    if not parts:
         return False
     refuse_committed(spark, out.manifest, run_id)
-    # text on partition columns only: the scan lists just these days
-    mentions = clean.filter(day_of().isin(days))
+    # text on partition columns only: the scan lists just these days and batches
+    mentions = clean.filter(part_of(clean).isin(parts))
     previous = tables.current_run(spark, out.manifest)
 
     hours = rollup.hour_partials(mentions).persist()
@@ -155,12 +172,12 @@ def aggregate(
         tables.write_snapshot(merged, out.metrics, run_id)
     finally:
         hours.unpersist()
-    # recent posts are append-only: a run adds its own rows, and readers take all runs together
+    # a run adds its own recent posts; readers take all runs together, the last write of a key winning
     recent = tables.recency_layout(serve.recent_table(mentions, n_keys))
     tables.write_snapshot(recent, out.recent, run_id)
     merged = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
     tables.write_index(merged.drop(tables.RUN), out.index(run_id))
-    tables.commit_run(spark, out.manifest, run_id, days)
+    tables.commit_run(spark, out.manifest, run_id, parts)
     return True
 
 
@@ -169,25 +186,28 @@ def rebuild_days(
 ) -> None:
     """Redo some days whose posts were landed again, merged before or not, as a new run.
 
-    The run owns the days, so no later run merges them again; their posts that no run serves yet are
-    added to the recent posts.
+    The run owns what the days hold now, so no later run merges it again; batches that land for
+    them afterwards are merged as usual. Recent posts of the days are written anew and replace
+    those of earlier runs by key.
     """
     configure(spark)
     out = Serving(base)
     refuse_committed(spark, out.manifest, run_id)
     previous = tables.current_run(spark, out.manifest)
-    mentions = files.read_table(spark, clean_path).filter(day_of().isin(days))
+    clean = files.read_table(spark, clean_path)
+    mentions = clean.filter(day_of().isin(days))
+    parts = sorted(row["part"] for row in mentions.select(part_of(clean).alias("part")).distinct().collect())
+    # exactly what is committed is read, should more batches land meanwhile
+    mentions = clean.filter(part_of(clean).isin(parts))
     fresh = rollup.ticker_rollup(mentions)
     old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
     tables.write_snapshot(rollup.replace_days(old, fresh, days), out.rollup, run_id)
     rebuilt = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
     tables.write_snapshot(rollup.metrics_of_rollup(rebuilt), out.metrics, run_id)
-    served = read_recent(spark, base).select("TIMESTAMP", "TICKER", "ID")
-    late = serve.recent_table(mentions, n_keys).join(served, ["TIMESTAMP", "TICKER", "ID"], "left_anti")
-    recent = late.select("PARTITION", "TIMESTAMP", "ID", "TICKER", "SENTIMENT", "TEXT", "CLEANTEXT")
-    tables.write_snapshot(tables.recency_layout(recent), out.recent, run_id)
+    recent = tables.recency_layout(serve.recent_table(mentions, n_keys))
+    tables.write_snapshot(recent, out.recent, run_id)
     tables.write_index(rebuilt.drop(tables.RUN), out.index(run_id))
-    tables.commit_run(spark, out.manifest, run_id, days)
+    tables.commit_run(spark, out.manifest, run_id, parts)
 
 
 # ---- serving reads -------------------------------------------------------------------------
@@ -205,8 +225,6 @@ def read_metrics(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_recent(spark: SparkSession, base: str) -> DataFrame:
-    """Recent posts of all committed runs."""
+    """Recent posts of all committed runs; a post delivered again is shown as it came last."""
     out = Serving(base)
-    runs = [r["run_id"] for r in tables.read_manifest(spark, out.manifest).select("run_id").collect()]
-    current = tables.current_run(spark, out.manifest)
-    return tables.read_runs(spark, out.recent, runs, RECENT_POSTS, current or "")
+    return tables.read_runs(spark, out.recent, out.manifest, RECENT_POSTS, RECENT_KEYS)

@@ -93,8 +93,8 @@ turn_mentions AS (SELECT * FROM turns WHERE ticker IN (
   SELECT 'T' || n_nationkey FROM nation WHERE n_nationkey + 1 <= {N_TICKERS}))"""
 
 LEX = ", ".join(f"('{word}', CAST({value} AS DOUBLE))" for word, value in LEXICON)
-SCORES = f"""WITH lex(token, valence) AS (VALUES {LEX}),
-tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents),
+SCORES = rf"""WITH lex(token, valence) AS (VALUES {LEX}),
+tokens AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\pL\pM]+')) AS token FROM documents),
 sums AS (SELECT doc_id, sum(coalesce(valence, 0)) AS s, count(*) AS n,
     count(*) FILTER (WHERE valence > 0) AS pos, count(*) FILTER (WHERE valence < 0) AS neg
   FROM tokens LEFT JOIN lex USING (token) GROUP BY doc_id),

@@ -36,6 +36,7 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table(spark: SparkSession, name: str, where: Column | str | None = None) -> DataFrame:
     """A catalog table, or Parquet at a path; `where` on partition columns prunes the scan."""
+    # a one-part name is a table unless it has a scheme or a slash; write ./name for a relative path
     is_path = "/" in name
     df = spark.read.parquet(name) if is_path else spark.table(name)
     return df if where is None else df.filter(where)
@@ -64,9 +65,15 @@ def incremental(
     schema: T.StructType,
     fmt: str = "json",
     max_files: int | None = None,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Stream of the files under a path; with a checkpoint each file is seen by one run only."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    """Stream of the files under a path; with a checkpoint each file is seen by one run only.
+
+    With `keep_corrupt` a bad line of JSON is kept as text in `_corrupt_record`.
+    """
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).format(fmt).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

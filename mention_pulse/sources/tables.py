@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ MANIFEST = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
-        T.StructField("days", T.ArrayType(T.StringType())),
+        T.StructField("parts", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -80,14 +81,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """The frame written under the shared folder of `spark.checkpoint.dir` and read back.
 
     For a costly frame used more than once: later reads take only the columns they need, and no
-    lost executor can undo the work. Without such a folder the frame is given back as it is. The
-    files lie under the application's id and may go once the application has ended.
+    lost executor can undo the work. Without such a folder the frame is given back as it is. Every
+    call has a path of its own, under the application's id; the files may go once the application
+    has ended.
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         return df
-    path = f"{base.rstrip('/')}/mention_pulse/{spark.sparkContext.applicationId}/{name}"
+    path = f"{base.rstrip('/')}/mention_pulse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -111,10 +113,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST)
 
 
-def commit_run(spark: SparkSession, path: str, run_id: str, days: Sequence[str] = ()) -> None:
+def commit_run(spark: SparkSession, path: str, run_id: str, parts: Sequence[str] = ()) -> None:
     """Make a run the current one. Call it after all of its tables are written."""
-    row = spark.createDataFrame([(run_id, list(days))], "run_id string, days array<string>")
-    row = row.select("run_id", F.current_timestamp().alias("committed_at"), "days")
+    row = spark.createDataFrame([(run_id, list(parts))], "run_id string, parts array<string>")
+    row = row.select("run_id", F.current_timestamp().alias("committed_at"), "parts")
     row.coalesce(1).write.mode("append").parquet(path)
 
 
@@ -134,13 +136,21 @@ def read_snapshot(
 
 
 def read_runs(
-    spark: SparkSession, base: str, runs: Sequence[str], schema: T.StructType, run_id: str
+    spark: SparkSession, base: str, manifest: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
-    """Rows of several append-only runs together, stamped with the latest."""
-    if not runs:
+    """Rows of all committed runs together, stamped with the latest run.
+
+    A key that several runs wrote has its rows of the latest of them. Filters on the keys still
+    reach the scan, and the manifest, one row a run, is joined rather than listed.
+    """
+    latest = current_run(spark, manifest)
+    if latest is None:
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(base).filter(F.col(RUN).isin(list(runs)))
-    return rows.withColumn(RUN, F.lit(run_id))
+    runs = read_manifest(spark, manifest).select(F.col("run_id").alias(RUN), "committed_at")
+    rows = spark.read.schema(schema).parquet(base).join(runs, RUN)
+    by_run = Window.partitionBy(*keys).orderBy(F.desc("committed_at"), F.xxhash64(*schema.fieldNames()))
+    kept = rows.withColumn("_nth", F.row_number().over(by_run)).filter("_nth = 1")
+    return kept.drop("_nth", "committed_at").withColumn(RUN, F.lit(latest)).select(*schema.fieldNames())
 
 
 # ---- keyed tables --------------------------------------------------------------------------

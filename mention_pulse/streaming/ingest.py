@@ -11,21 +11,30 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mention_pulse.functions.columns import with_date_parts
 from mention_pulse.functions.keys import PARTS
-from mention_pulse.operators.capture import OK, is_relevant, with_status
+from mention_pulse.operators.capture import FAILED, OK, is_relevant, with_status
 from mention_pulse.operators.sentiment import Lexicon, pack_scores
 from mention_pulse.plans import jobs
 from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED
 from mention_pulse.session import configure
-from mention_pulse.sources.files import incremental
+from mention_pulse.sources.files import CORRUPT, incremental
 
 # Fixed value: the pace of the capture cycle.
 PACE = "30 seconds"
 
 
 def score_posts(posts: DataFrame, scorer: Lexicon | Callable[[Column], Column]) -> DataFrame:
-    """Relevant posts, scored, with their `result`: row by row, so fit for a stream."""
-    scored = pack_scores(posts.filter(is_relevant()), scorer)
-    return with_status(scored).select(*POSTS_SCORED.fieldNames(), "result")
+    """Relevant posts, scored, with their `result`: row by row, so fit for a stream.
+
+    Where the source keeps bad lines (`_corrupt_record`), they and posts without an id stay, as
+    failed, with the line.
+    """
+    if CORRUPT not in posts.columns:
+        scored = pack_scores(posts.filter(is_relevant()), scorer)
+        return with_status(scored).select(*POSTS_SCORED.fieldNames(), "result")
+    unread = F.col(CORRUPT).isNotNull() | F.col("tweet_id").isNull()
+    scored = with_status(pack_scores(posts.filter(unread | is_relevant()), scorer, when=~unread))
+    result = F.when(unread, FAILED).otherwise(F.col("result")).alias("result")
+    return scored.select(*POSTS_SCORED.fieldNames(), CORRUPT, result)
 
 
 def start_ingest(
@@ -39,10 +48,11 @@ def start_ingest(
 ) -> StreamingQuery:
     """Stream JSON posts into Parquet by result, year, month, day and hour.
 
-    Posts without a score land too, marked as failed; `landed` tells them apart. With `pace=None` the query takes what is there and ends.
+    Posts without a score and lines that cannot be read land too, marked as failed; `landed` tells
+    them apart. With `pace=None` the query takes what is there and ends.
     """
     configure(spark)
-    scored = score_posts(incremental(spark, src, POSTS_RAW, "json", max_files), scorer)
+    scored = score_posts(incremental(spark, src, POSTS_RAW, "json", max_files, True), scorer)
     parted = with_date_parts(scored, "tweet_meta.created_at")
     writer = (
         parted.writeStream.format("parquet")
@@ -56,8 +66,12 @@ def start_ingest(
 
 
 def landed(spark: SparkSession, out: str, result: str = OK) -> DataFrame:
-    """Posts of one result from where `start_ingest` wrote them: a pruned scan."""
-    return spark.read.parquet(out).filter(F.col("result") == result).drop("result")
+    """Posts of one result from where `start_ingest` wrote them: a pruned scan.
+
+    Failed ones have their unreadable line, if that was the reason, in `_corrupt_record`.
+    """
+    rows = spark.read.parquet(out).filter(F.col("result") == result).drop("result")
+    return rows.drop(CORRUPT) if result == OK else rows
 
 
 def run_incremental(
@@ -76,10 +90,16 @@ def run_incremental(
     query.awaitTermination()
 
 
-def land_new(spark: SparkSession, src: str, out: str, checkpoint: str) -> None:
-    """Newly landed scored JSON posts to Parquet by year, month, day and hour."""
+def land_new(
+    spark: SparkSession, src: str, out: str, checkpoint: str, max_files: int | None = None
+) -> None:
+    """Newly landed scored JSON posts to Parquet by year, month, day and hour.
+
+    A line that cannot be read lands as a row of nulls with the line in `_corrupt_record`.
+    """
     configure(spark)
-    posts = with_date_parts(incremental(spark, src, POSTS_SCORED, "json"), "tweet_meta.created_at")
+    stream = incremental(spark, src, POSTS_SCORED, "json", max_files, keep_corrupt=True)
+    posts = with_date_parts(stream, "tweet_meta.created_at")
     query = (
         posts.writeStream.format("parquet")
         .option("path", out)
@@ -92,7 +112,13 @@ def land_new(spark: SparkSession, src: str, out: str, checkpoint: str) -> None:
 
 
 def clean_new(
-    spark: SparkSession, src: str, tickers: str, base: str, checkpoint: str, **options: object
+    spark: SparkSession,
+    src: str,
+    tickers: str,
+    base: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    **options: object,
 ) -> None:
     """Newly landed Parquet posts to clean and spam mentions; the ticker list is read whole."""
     configure(spark)
@@ -105,4 +131,4 @@ def clean_new(
         flagged = jobs.clean_posts(batch, dim, staged_as=f"clean/{batch_id}", **options)
         jobs.write_clean(flagged, base, batch_id)
 
-    run_incremental(incremental(spark, src, parted, "parquet"), handle, checkpoint)
+    run_incremental(incremental(spark, src, parted, "parquet", max_files), handle, checkpoint)

@@ -153,6 +153,49 @@ def test_runs_merge_closed_days_once(spark, tmp_path, pipeline):
     assert index.count() == jobs.read_rollup(spark, base).count()
 
 
+def test_late_posts_join_their_merged_day(spark, tmp_path, pipeline):
+    base = str(tmp_path / "serving")
+    clean = pipeline("a.json", FIRST)
+    assert jobs.aggregate(spark, clean, base, "r1", dt.date(2022, 10, 30))
+    pipeline("b.json", [post(11, "late good words", ["A"]), post(12, "another late one", ["B"], 1)])
+    # a day rebuilt before the late batch is merged owns it; the other late batch is merged afterwards
+    jobs.rebuild_days(spark, clean, base, "r2", ["2022-10-28"])
+    assert jobs.aggregate(spark, clean, base, "r3", dt.date(2022, 10, 30))
+    assert not jobs.aggregate(spark, clean, base, "r4", dt.date(2022, 10, 30))
+    whole = files.read_table(spark, clean)
+    assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(whole, "r3"))
+    metrics = rollup.with_previous(rollup.level_metrics(whole, "r3"))
+    assert rows(jobs.read_metrics(spark, base).select(*metrics.columns)) == rows(metrics)
+    recent = jobs.read_recent(spark, base)
+    assert rows(recent) == rows(serve.recent_table(whole, 5, "r3").select(*recent.columns))
+    with pytest.raises(ValueError, match="committed"):
+        pipeline("c.json", [post(13, "later still", ["C"])])
+        jobs.aggregate(spark, clean, base, "r3", dt.date(2022, 10, 30))
+
+
+def test_a_post_delivered_again_is_served_once(spark, tmp_path, pipeline):
+    base = str(tmp_path / "serving")
+    clean = pipeline("a.json", FIRST)
+    jobs.aggregate(spark, clean, base, "r1", dt.date(2022, 10, 30))
+    pipeline("b.json", [post(1, "edited since then", ["A"])])
+    jobs.aggregate(spark, clean, base, "r2", dt.date(2022, 10, 30))
+    served = rows(jobs.read_recent(spark, base).filter("TICKER = 'A'"), "ID", "TEXT", "RUN_ID")
+    assert served == [("1", "edited since then", "r2")]
+
+
+def test_unreadable_lines_are_kept_as_failed(spark, tmp_path):
+    drop(tmp_path / "raw", "a.json", FIRST[:2])
+    (tmp_path / "raw" / "b.json").write_text('{"tweet_id": 20, "text": \n\n{"text": "no id"}')
+    take_in(spark, tmp_path)
+    assert rows(ingest.landed(spark, str(tmp_path / "landed")), "tweet_id") == [(1,), (2,)]
+    failed = ingest.landed(spark, str(tmp_path / "landed"), "ProcessingFailed")
+    assert rows(failed, "tweet_id", files.CORRUPT) == [(None, '{"tweet_id": 20, "text": '), (None, None)]
+    (tmp_path / "scored").mkdir()
+    (tmp_path / "scored" / "a.json").write_text('{"tweet_id": 21}\nnot json')
+    ingest.land_new(spark, str(tmp_path / "scored"), str(tmp_path / "stage1"), str(tmp_path / "ck"))
+    assert rows(spark.read.parquet(str(tmp_path / "stage1")), "tweet_id", files.CORRUPT) == [(21, None), (None, "not json")]
+
+
 def test_a_run_that_never_committed_has_no_effect(spark, tmp_path, pipeline, monkeypatch):
     base = str(tmp_path / "serving")
     clean = pipeline("a.json", FIRST)

@@ -38,6 +38,19 @@ def test_mentions_by_set_and_by_join_agree(tagged, dim, monkeypatch):
     ]
 
 
+def test_ticker_lists_of_shared_ids_and_repeated_tickers(spark, monkeypatch):
+    posts = spark.createDataFrame(
+        [(1, "x", ["A"], None), (1, "y", ["B", "C"], ["A"]), (1, "y", ["B", "C"], ["A"]), (None, "z", ["C"], None), (2, "n", None, None)],
+        "tweet_id int, text string, tweet_meta_hashcashtags array<string>, reference_tweets_hashcashtags array<string>",
+    )
+    twice = spark.createDataFrame([("A", "a"), ("A", "aa"), ("B", "b"), ("C", "c")], "ticker string, ticker_name string")
+    columns = ["tweet_id", "text", "ticker", "ticker_name", "ticker_ls", "ticker_sz"]
+    by_set = rows(tags.tag_mentions(posts, twice), *columns)
+    monkeypatch.setattr(tags, "small_values", lambda *_: None)
+    assert rows(tags.tag_mentions(posts, twice), *columns) == by_set
+    assert sorted((t, n) for _, t, _, _, _, n in by_set) == [("x", 1)] * 2 + [("y", 3)] * 8 + [("z", 1)]
+
+
 def test_large_dimension_joins_in_slices(spark, tagged, dim):
     exploded = tags.explode_tags(tagged)
     small = tags.match_tickers(exploded, dim)
@@ -261,7 +274,7 @@ LEX = [("good", 2.0), ("bad", -3.0)]
 def test_scores_by_set_and_by_join_agree(spark):
     df = spark.createDataFrame(TEXTS, "tweet_id bigint, text string")
     lex = spark.createDataFrame(LEX, "token string, valence double")
-    by_set = sentiment.score_sentiment(df, "text", lex, "s").filter("text IS NOT NULL")
+    by_set = sentiment.score_sentiment(df, "text", lex, "s")
     by_join = sentiment.score_by_join(df, "text", lex, "tweet_id")
     fields = [F.col(f"s.{f}").alias(f) for f in sentiment.SCORE_FIELDS]
     assert rows(by_set, "tweet_id", *fields) == rows(by_join)
@@ -273,6 +286,29 @@ def test_scores_by_set_and_by_join_agree(spark):
     assert (got[2]["sentiment"], got[4]["sentiment"], got[5]["sentiment"]) == ("NEUTRAL", "NEUTRAL", "NEGATIVE")
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    posts=st.lists(st.tuples(st.sampled_from([1, 2, None]), st.sampled_from([None, "", "good bad good", "été мир", "bad", "x y"])), max_size=8),
+    lex=st.lists(st.tuples(st.sampled_from(["good", "bad", "été", "мир", None]), st.sampled_from([2.0, -3.0, 0.5, 0.0, None])), max_size=6),
+)
+def test_both_ways_score_shared_ids_nulls_and_repeated_tokens_alike(spark, posts, lex):
+    df = spark.createDataFrame(posts, "tweet_id int, text string")
+    words = spark.createDataFrame(lex, "token string, valence double")
+    fields = [F.col(f"s.{f}").alias(f) for f in sentiment.SCORE_FIELDS]
+    by_set = sentiment.score_sentiment(df, "text", words, "s").select("tweet_id", *fields)
+    by_join = sentiment.score_by_join(df, "text", words, "tweet_id")
+    near = [F.round(f, 12).alias(f) if f != "sentiment" else f for f in sentiment.SCORE_FIELDS]
+    assert rows(by_join, "tweet_id", *near) == rows(by_set, "tweet_id", *near)
+
+
+def test_lexicon_of_many_valences_and_scripts(spark):
+    many = {(-1) ** i * (i + 1) / 100: [f"word{chr(97 + i % 26)}{'abcdefghij'[i // 26 % 10]}{'abcdefghijklmnopqrst'[i // 260]}"] for i in range(5000)}
+    df = spark.createDataFrame([("wordaaa wordbaa",), ("Été",), ("мир",)], "text string")
+    got = sentiment.score_sentiment(df, "text", sentiment.Lexicon(many | {9.0: ["été"], -9.0: ["мир"]}), "s").collect()
+    assert [r["s"]["sentiment"] for r in got] == ["NEGATIVE", "POSITIVE", "NEGATIVE"]
+    assert got[0]["s"]["positive"] == got[0]["s"]["negative"] == 0.5
+
+
 def test_null_text_has_no_scores(spark):
     df = spark.createDataFrame(TEXTS, "tweet_id bigint, text string").filter("tweet_id = 3")
     got = sentiment.score_sentiment(df, "text", sentiment.Lexicon({2.0: ["good"]}), "s").first()["s"]
@@ -304,8 +340,12 @@ def test_capture_rule(spark, dim, monkeypatch):
         "tweet_id bigint, text string, lang string, tweet_type string",
     )
     assert rows(capture.capture_filter(posts, dim), "tweet_id") == [(1,), (2,)]
+    shared = posts.withColumn("tweet_id", F.when(F.col("tweet_id") < 7, 1))
+    judged = rows(capture.capture_filter(shared, dim), "tweet_id", "text")
+    assert judged == [(1, "go #B x"), (1, "go $a")]
     monkeypatch.setattr(capture, "small_values", lambda *_: None)
     assert rows(capture.capture_filter(posts, dim), "tweet_id") == [(1,), (2,)]
+    assert rows(capture.capture_filter(shared, dim), "tweet_id", "text") == judged
 
 
 def test_status(spark):

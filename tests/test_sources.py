@@ -155,8 +155,10 @@ def test_snapshots_and_pointer(spark, tmp_path):
     assert "RUN_ID" in plan(got).split("PartitionFilters")[1].split("]")[0]
     tables.commit_run(spark, manifest, "r2")
     assert tables.current_run(spark, manifest) == "r2"
-    both = tables.read_runs(spark, base, ["r1", "r2"], LEVEL_METRICS, "r2")
+    both = tables.read_runs(spark, base, manifest, LEVEL_METRICS, ["DetailLevel", "NUM_MENTIONS"])
     assert rows(both, "NUM_MENTIONS", "RUN_ID") == [(2, "r2"), (3, "r2")]
+    last = tables.read_runs(spark, base, manifest, LEVEL_METRICS, ["DetailLevel"])
+    assert rows(last, "NUM_MENTIONS", "RUN_ID") == [(2, "r2")]
 
 
 def test_upsert_is_last_write_wins_and_idempotent(spark):
