@@ -92,6 +92,16 @@ def _with_document(
     return events.join(picked.hint("merge"), same, "inner").drop("_doc")
 
 
+def with_texts(spark: SparkSession, sf_dir: str, recent: DataFrame) -> DataFrame:
+    """Rows of the recent-posts table, chosen by key, with the text of their posts put in."""
+    docs = table(spark, sf_dir, "documents")
+    size = docs.count()
+    keyed = recent.drop("TEXT", "CLEANTEXT")
+    same = F.col("ID").cast("bigint") % size == F.col("_doc")
+    found = keyed.join(docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("TEXT")), same)
+    return found.drop("_doc").withColumn("CLEANTEXT", clean_text("TEXT"))
+
+
 def posts(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
     """Events as flat, scored posts with two tag lists; most have no parent."""
     events = table(spark, sf_dir, "events")

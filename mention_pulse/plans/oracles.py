@@ -73,9 +73,6 @@ RECENT = f"""{MENTIONS}, recent AS (
     {_clean("text")} AS CLEANTEXT
   FROM mentions m JOIN documents ON doc_id = tweet_id % (SELECT count(*) FROM documents))"""
 NEWEST = "ORDER BY TIMESTAMP DESC, TICKER DESC, ID DESC"
-SHAPED = """SELECT CAST(tweet_id % 5 AS VARCHAR) AS PARTITION, stamp AS TIMESTAMP,
-    CAST(tweet_id AS VARCHAR) AS ID, ticker AS TICKER, sentiment AS SENTIMENT,
-    ticker_name AS TEXT, lower(ticker_name) AS CLEANTEXT"""
 
 KEY = "tweet_text_clean_sub25"
 DOC_CLEAN = f"""doc_clean AS (
@@ -236,7 +233,10 @@ def oracle_sql() -> dict[str, str]:
         "compare": f"""WITH {ROLLUP} SELECT DetailLevel, {compare} FROM rollup_
             WHERE {_of(TICKER, "DAILY")} OR {_of(OTHER, "DAILY")} GROUP BY DetailLevel""",
         # recent posts
-        "recent_table": f"WITH {MENTIONS} {SHAPED}, 'run1' AS RUN_ID FROM mentions",
+        "recent_table": f"WITH {RECENT} SELECT *, 'run1' AS RUN_ID FROM recent",
+        "aggregate_late": f"WITH {ROLLUP} SELECT *, 'run3' AS RUN_ID FROM rollup_",
+        "rebuild_days": f"WITH {ROLLUP} SELECT *, 'run3' AS RUN_ID FROM rollup_",
+        "read_recent": f"WITH {RECENT} SELECT *, 'run3' AS RUN_ID FROM recent",
         "recent_posts": f"""WITH {RECENT} SELECT * FROM recent
             WHERE TIMESTAMP BETWEEN '{START}' AND '{END}' {NEWEST} LIMIT {TOP_RECENT}""",
         "recent_then_ticker": f"""WITH {RECENT}, top_ AS (
@@ -247,8 +247,8 @@ def oracle_sql() -> dict[str, str]:
         "recent_per_ticker": f"""WITH {RECENT}, ranked AS (SELECT *, CAST(row_number() OVER (
             PARTITION BY TICKER {NEWEST}) AS INTEGER) AS RANK FROM recent)
             SELECT * FROM ranked WHERE RANK <= 10""",
-        "append_recent": f"""WITH {MENTIONS}
-            {SHAPED}, CASE WHEN {BEFORE_MID} THEN 'run1' ELSE 'run2' END AS RUN_ID FROM mentions""",
+        "append_recent": f"""WITH {RECENT} SELECT *,
+            CASE WHEN TIMESTAMP < '2024-01-16' THEN 'run1' ELSE 'run2' END AS RUN_ID FROM recent""",
         "class_counts": f"""WITH {RECENT} SELECT SENTIMENT, count(*) AS n_posts FROM recent
             WHERE TIMESTAMP BETWEEN '{START}' AND '{END}' GROUP BY SENTIMENT""",
         "class_totals": f"""WITH {RECENT}, top_ AS (SELECT * FROM recent
@@ -284,6 +284,9 @@ def oracle_sql() -> dict[str, str]:
         "term_counts_top": f"{terms} ORDER BY n DESC, term LIMIT 25",
         "score_sentiment": SCORES,
         "score_by_join": SCORES,
+        "sentiment_by_lang": f"""SELECT lang, sentiment, count(*) AS n_docs,
+            round(avg(positive), 9) AS avg_positive
+            FROM ({SCORES}) JOIN documents ON doc_id = tweet_id GROUP BY lang, sentiment""",
         # capture and records
         "extract_tags": f"""WITH {RAW}, t AS (SELECT *,
               {TAGS.format("text")} AS found FROM raw)

@@ -46,12 +46,15 @@ def _metrics(spark: SparkSession, d: str) -> DataFrame:
     return rollup.level_metrics(adapters.mentions(spark, d))
 
 
-def _recent(spark: SparkSession, d: str) -> DataFrame:
-    return serve.recent_table(adapters.mentions(spark, d, with_text=True))
+def _recent_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The recent-posts table without texts, for choosing and counting rows."""
+    no_text = F.lit(None).cast("string")
+    shape = {"tweet_text_text": no_text, "tweet_text_clean": no_text}
+    return serve.recent_table(adapters.mentions(spark, d).withColumns(shape))
 
 
-def _halves(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    mentions = adapters.mentions(spark, d)
+def _halves(spark: SparkSession, d: str, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    mentions = adapters.mentions(spark, d, with_text)
     before = files.is_before_day(MID_MONTH)
     return mentions.filter(before), mentions.filter(~before)
 
@@ -195,53 +198,85 @@ def compare(spark: SparkSession, d: str) -> DataFrame:
 # ---- recent posts --------------------------------------------------------------------------
 @_query
 def recent_table(spark: SparkSession, d: str) -> DataFrame:
-    mentions = adapters.mentions(spark, d).withColumns(
-        {"tweet_text_text": F.col("ticker_name"), "tweet_text_clean": F.lower("ticker_name")}
-    )
+    mentions = adapters.mentions(spark, d, with_text=True)
     return tables.recency_layout(serve.recent_table(mentions, 5, "run1"))
 
 
 @_query
 def recent_posts(spark: SparkSession, d: str) -> DataFrame:
-    return serve.recent_posts(_recent(spark, d), TOP_RECENT, START, END)
+    return adapters.with_texts(spark, d, serve.recent_posts(_recent_keys(spark, d), TOP_RECENT, START, END))
 
 
 @_query
 def recent_then_ticker(spark: SparkSession, d: str) -> DataFrame:
-    return serve.recent_then_ticker(_recent(spark, d), TOP_RECENT, TICKER)
+    return adapters.with_texts(spark, d, serve.recent_then_ticker(_recent_keys(spark, d), TOP_RECENT, TICKER))
 
 
 @_query
 def recent_for_ticker(spark: SparkSession, d: str) -> DataFrame:
-    return serve.recent_for_ticker(_recent(spark, d), TOP_RECENT, TICKER)
+    return adapters.with_texts(spark, d, serve.recent_for_ticker(_recent_keys(spark, d), TOP_RECENT, TICKER))
 
 
 @_query
 def recent_per_ticker(spark: SparkSession, d: str) -> DataFrame:
-    return serve.recent_per_ticker(_recent(spark, d), 10)
+    return adapters.with_texts(spark, d, serve.recent_per_ticker(_recent_keys(spark, d), 10))
 
 
 @_query
 def append_recent(spark: SparkSession, d: str) -> DataFrame:
-    old, new = _halves(spark, d)
-    shape = {"tweet_text_text": F.col("ticker_name"), "tweet_text_clean": F.lower("ticker_name")}
-    first = serve.recent_table(old.withColumns(shape), 5, "run1")
-    return tables.append_recent(first, serve.recent_table(new.withColumns(shape), 5, "run2"))
+    old, new = _halves(spark, d, with_text=True)
+    first = serve.recent_table(old, 5, "run1")
+    return tables.append_recent(first, serve.recent_table(new, 5, "run2"))
+
+
+def _served(spark: SparkSession, d: str, rebuild: bool) -> str:
+    """Mentions through the jobs: half of each day, then the late other half; gives the serving base.
+
+    With `rebuild` the days are rebuilt instead of merged the second time.
+    """
+    base = tables.fresh_folder(spark, "served")
+    mentions = adapters.mentions(spark, d, with_text=True).withColumn("possible_spam", F.lit(False))
+    clean = tables.split_paths(f"{base}/clean")[0]
+    late = F.col("tweet_id") % 3 == 0
+    jobs.write_clean(mentions.filter(~late), f"{base}/clean", "first")
+    jobs.aggregate(spark, clean, base, "run1", MID_MONTH)
+    jobs.write_clean(mentions.filter(late), f"{base}/clean", "late")
+    if rebuild:
+        days = files.closed_days(files.read_table(spark, clean), MID_MONTH).select(jobs.day_of()).distinct()
+        jobs.rebuild_days(spark, clean, base, "run2", [row[0] for row in days.collect()])
+    # after a rebuild nothing is left of the earlier days; else their late posts join them
+    jobs.aggregate(spark, clean, base, "run3", MID_MONTH + dt.timedelta(days=60))
+    return base
+
+
+@_query
+def aggregate_late(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.read_rollup(spark, _served(spark, d, rebuild=False))
+
+
+@_query
+def rebuild_days(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.read_rollup(spark, _served(spark, d, rebuild=True))
+
+
+@_query
+def read_recent(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.read_recent(spark, _served(spark, d, rebuild=True))
 
 
 @_query
 def class_counts(spark: SparkSession, d: str) -> DataFrame:
-    return serve.class_counts(serve.in_range(_recent(spark, d), START, END))
+    return serve.class_counts(serve.in_range(_recent_keys(spark, d), START, END))
 
 
 @_query
 def class_totals(spark: SparkSession, d: str) -> DataFrame:
-    return serve.class_totals(serve.recent_posts(_recent(spark, d), 500))
+    return serve.class_totals(serve.recent_posts(_recent_keys(spark, d), 500))
 
 
 @_query
 def ticker_choices(spark: SparkSession, d: str) -> DataFrame:
-    return serve.ticker_choices(_recent(spark, d))
+    return serve.ticker_choices(_recent_keys(spark, d))
 
 
 @_query
@@ -371,6 +406,15 @@ def score_by_join(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_query
+def sentiment_by_lang(spark: SparkSession, d: str) -> DataFrame:
+    docs = adapters.table(spark, d, "documents")
+    scored = sentiment.score_sentiment(docs, "text", adapters.lexicon(spark), "s")
+    return scored.groupBy("lang", F.col("s.sentiment").alias("sentiment")).agg(
+        F.count(F.lit(1)).alias("n_docs"), F.round(F.avg("s.positive"), 9).alias("avg_positive")
+    )
+
+
 # ---- capture and records -------------------------------------------------------------------
 @_query
 def extract_tags(spark: SparkSession, d: str) -> DataFrame:

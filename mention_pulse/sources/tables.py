@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -77,6 +78,15 @@ def write_records(posts: DataFrame, path: str, record_id: str = "recordId") -> N
     encode_records(posts, record_id).write.mode("append").json(path)
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own under the shared folder of `spark.checkpoint.dir`, for one call.
+
+    Where none is set (one machine, as in trials) it lies under the local temporary folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+    return f"{base.rstrip('/')}/mention_pulse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """The frame written under the shared folder of `spark.checkpoint.dir` and read back.
 
@@ -86,10 +96,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     has ended.
     """
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
+    if not spark.conf.get("spark.checkpoint.dir", None):
         return df
-    path = f"{base.rstrip('/')}/mention_pulse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, name)
     write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 

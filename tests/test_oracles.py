@@ -8,10 +8,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import plan
+from mention_pulse.plans import oracles
+from mention_pulse.plans import queries as named
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 MAY_BE_EMPTY = {"recent_then_ticker"}  # none of the newest rows need be of that ticker
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = named.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
