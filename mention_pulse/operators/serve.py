@@ -79,11 +79,20 @@ def latest_periods(
     return rows.orderBy(F.desc("TIMESTAMP")).limit(n)
 
 
-def compare(rollup: DataFrame, first: str, second: str, level: str) -> DataFrame:
-    """Counters of two tickers side by side, one row per period in which either was mentioned."""
+def compare(
+    rollup: DataFrame, first: str, second: str, level: str, days: tuple[dt.date, dt.date] | None = None
+) -> DataFrame:
+    """Counters of two tickers side by side, one row per period in which either was mentioned.
+
+    `days`, first and last, clip hours and days; longer periods are given whole.
+    """
     names = [first.upper(), second.upper()]
     wanted = [f"{name}_{check_level(level)}" for name in names]
     rows = rollup.filter(F.col("TickerDetail").isin(wanted))
+    if days is not None and check_level(level) in ("HOURLY", "DAILY"):
+        after = f"{days[1] + dt.timedelta(days=1):%Y-%m-%d}"
+        # time keys begin with their day, and as text they still reach the scan
+        rows = rows.filter((F.col("TIMESTAMP") >= f"{days[0]:%Y-%m-%d}") & (F.col("TIMESTAMP") < after))
     sums = [
         F.sum(F.when(F.col("TickerDetail") == detail, F.col(c))).alias(f"{c}_{i}")
         for i, detail in enumerate(wanted, 1)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mention_pulse.functions.text import extract_tags
 from mention_pulse.operators.skew import HOT_ROWS, copy_to_slices, hot_keys, slice_rows
+from mention_pulse.sources.tables import kept
 
 
 def resolve_root(
@@ -22,30 +23,38 @@ def resolve_root(
     """(post_id, root_id, root_text, hops) of every reply whose root is found.
 
     Works from the roots outwards: replies to a root are one hop away, replies to those two, and
-    so on. A reply thus enters exactly one level, the reply side keeps one key (the parent) and
-    is shuffled once for all hops, and a post with very many direct replies is cut into slices.
+    so on. A reply thus enters exactly one level. Hops carry ids only; each level is written once
+    and read by the next, so a hop is one join, whatever the number of hops. Texts are joined last.
+    A post with very many direct replies, or a root with a very long thread, is cut into slices.
     Replies to a missing post, or deeper than `max_hops`, are absent. Ids must be distinct.
     """
-    replies = posts.filter(F.col(parent).isNotNull()).select(
-        F.col(post_id).alias("_id"), F.col(parent).alias("_parent")
-    )
-    counts = replies.groupBy("_parent").agg(F.count(F.lit(1)).alias("_n"))
-    hot = hot_keys(counts, "_parent", "_n", hot_rows)
-    waiting = slice_rows(replies, "_parent", "_id", hot)
-    level = posts.filter(F.col(parent).isNull()).select(
-        F.col(post_id).alias("_at"),
-        F.col(post_id).alias("root_id"),
-        F.col(text).alias("root_text"),
-    )
+    ids = posts.select(F.col(post_id).alias("_id"), F.col(parent).alias("_parent"))
+    replies = ids.filter("_parent IS NOT NULL")
+    hot = kept(hot_keys(_counts(replies, "_parent"), "_parent", "_n", hot_rows), "hot_parents")
+    waiting = kept(slice_rows(replies, "_parent", "_id", hot), "replies")
+    level = ids.filter("_parent IS NULL").select(F.col("_id").alias("_at"), F.col("_id").alias("root_id"))
     levels = []
     for hop in range(1, max_hops + 1):
         upper = copy_to_slices(level, "_at", hot).withColumnRenamed("_slice", "_copy")
         found = waiting.join(
             upper, (F.col("_parent") == F.col("_at")) & (F.col("_slice") == F.col("_copy")), "inner"
         )
-        level = found.select(F.col("_id").alias("_at"), "root_id", "root_text")
+        level = kept(found.select(F.col("_id").alias("_at"), "root_id"), f"hop{hop}")
         levels.append(level.withColumn("hops", F.lit(hop)))
-    return reduce(DataFrame.unionByName, levels).withColumnRenamed("_at", post_id)
+    found = reduce(DataFrame.unionByName, levels)
+    long = hot_keys(_counts(found, "root_id"), "root_id", "_n", hot_rows)
+    texts = posts.filter(F.col(parent).isNull()).select(
+        F.col(post_id).alias("_root"), F.col(text).alias("root_text")
+    )
+    texts = copy_to_slices(texts, "_root", long).withColumnRenamed("_slice", "_copy")
+    same = (F.col("root_id") == F.col("_root")) & (F.col("_slice") == F.col("_copy"))
+    return slice_rows(found, "root_id", "_at", long).join(texts, same).select(
+        F.col("_at").alias(post_id), "root_id", "root_text", "hops"
+    )
+
+
+def _counts(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def attach_root(posts: DataFrame, roots: DataFrame, post_id: str = "tweet_id") -> DataFrame:

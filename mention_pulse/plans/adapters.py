@@ -15,7 +15,6 @@ from mention_pulse.operators.tags import tag_mentions, top_tickers
 from mention_pulse.schemas import POSTS_RAW
 
 N_TICKERS = 20
-SPREAD_BELOW = 1_000_000
 
 # Frequent words of the documents, with valences set by hand.
 LEXICON = [
@@ -47,12 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal a small table over the cores before costly work on each row, texts above all.
 
-    A table of few rows may be a single row group, hence a single task. Larger tables come in
-    many row groups and are left as they lie.
+    A table of few bytes may be a single row group, hence a single task. One that has a split of
+    full size for every core is left as it lies. Sizes come from the file listing; no job runs.
     """
-    if df.count() >= SPREAD_BELOW:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if size >= split * cores else df.repartition(cores, key)
 
 
 def tag_of(number: Column) -> Column:

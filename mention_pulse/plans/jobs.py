@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mention_pulse.functions.columns import flatten, resolve_long, with_date_parts, with_original_flag
 from mention_pulse.functions.keys import PARTS
@@ -166,7 +167,7 @@ def aggregate(
     try:
         old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
         merged = rollup.merge_rollup(rollup.rollup_from_hours(hours), old, run_id)
-        tables.write_snapshot(merged, out.rollup, run_id)
+        tables.write_snapshot(merged, out.rollup, run_id, order=TABLE_KEYS["ticker_rollup"])
         old = tables.read_snapshot(spark, out.metrics, previous, LEVEL_METRICS)
         merged = rollup.merge_metrics(rollup.metrics_from_hours(hours), old, run_id)
         tables.write_snapshot(merged, out.metrics, run_id)
@@ -201,7 +202,8 @@ def rebuild_days(
     mentions = clean.filter(part_of(clean).isin(parts))
     fresh = rollup.ticker_rollup(mentions)
     old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
-    tables.write_snapshot(rollup.replace_days(old, fresh, days), out.rollup, run_id)
+    redone = rollup.replace_days(old, fresh, days)
+    tables.write_snapshot(redone, out.rollup, run_id, order=TABLE_KEYS["ticker_rollup"])
     rebuilt = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
     tables.write_snapshot(rollup.metrics_of_rollup(rebuilt), out.metrics, run_id)
     recent = tables.recency_layout(serve.recent_table(mentions, n_keys))
@@ -212,11 +214,21 @@ def rebuild_days(
 
 # ---- serving reads -------------------------------------------------------------------------
 def read_rollup(spark: SparkSession, base: str) -> DataFrame:
-    """Ticker roll-up of the current run."""
+    """Ticker roll-up of the current run, clustered by DetailLevel: for `at_level`, `leaderboard`."""
     out = Serving(base)
     return tables.read_snapshot(spark, out.rollup, tables.current_run(spark, out.manifest), TICKER_ROLLUP)
 
 
+def read_index(spark: SparkSession, base: str) -> DataFrame:
+    """The same clustered by TickerDetail and time: for `trend`, `latest_periods`, `compare`."""
+    out = Serving(base)
+    run = tables.current_run(spark, out.manifest)
+    if run is None:
+        return spark.createDataFrame([], TICKER_ROLLUP).drop(tables.RUN)
+    columns = [f for f in TICKER_ROLLUP.fields if f.name != tables.RUN]
+    return tables.read_index(spark, out.index(run), T.StructType(columns))
+
+
 def read_metrics(spark: SparkSession, base: str) -> DataFrame:
     """Level metrics of the current run, with the counters of the previous periods."""
     out = Serving(base)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from mention_pulse.plans.adapters import LEXICON, N_TICKERS
-from mention_pulse.plans.queries import DAY, END, MONTH, OTHER, START, TICKER, TOP_RECENT
+from mention_pulse.plans.queries import COMPARED, DAY, END, MONTH, OTHER, START, TICKER, TOP_RECENT
 from mention_pulse.schemas import COUNTERS
 
 NUMS = ", ".join(COUNTERS)
@@ -232,6 +232,23 @@ def oracle_sql() -> dict[str, str]:
             AND TIMESTAMP > '2024-01-20 20:02:19.1250' ORDER BY TIMESTAMP DESC LIMIT 4""",
         "compare": f"""WITH {ROLLUP} SELECT DetailLevel, {compare} FROM rollup_
             WHERE {_of(TICKER, "DAILY")} OR {_of(OTHER, "DAILY")} GROUP BY DetailLevel""",
+        "compare_between_dates": f"""WITH {ROLLUP} SELECT DetailLevel, {compare} FROM rollup_
+            WHERE ({_of(TICKER, "DAILY")} OR {_of(OTHER, "DAILY")})
+              AND substr(TIMESTAMP, 1, 10) BETWEEN '{COMPARED[0]}' AND '{COMPARED[1]}' GROUP BY DetailLevel""",
+        "trend_stored": f"""WITH {ROLLUP} SELECT *, {SEEN} FROM rollup_
+            WHERE {_of(TICKER, "HOURLY")} AND TIMESTAMP BETWEEN '{START}' AND '{END}'""",
+        "at_level_stored": f"""WITH {ROLLUP} SELECT *, 'run1' AS RUN_ID FROM rollup_
+            WHERE DetailLevel = '{DAY}'""",
+        # sources and sinks
+        "landed_day": f"""WITH {MENTIONS} SELECT tweet_id, ticker, hour FROM mentions
+            WHERE year || '-' || month || '-' || day = '{DAY}'""",
+        "split_tables": f"""WITH {MENTIONS} SELECT CASE WHEN tweet_id % 5 = 0 THEN 'spam' ELSE 'clean'
+            END AS side, count(*) AS n, count(*) AS n_counted FROM mentions GROUP BY side""",
+        "read_snapshot": f"""WITH {MENTIONS}, new AS (SELECT * FROM mentions WHERE NOT ({BEFORE_MID})),
+            run AS ({_metrics("new")}) SELECT *, 'run2' AS RUN_ID FROM run""",
+        "read_tickers": """SELECT CAST(n_nationkey + 1 AS INTEGER) AS sno,
+            'T' || n_nationkey AS ticker, n_name AS ticker_name FROM nation""",
+        "read_posts": f"WITH {RAW} SELECT event_id AS tweet_id, text, own FROM raw",
         # recent posts
         "recent_table": f"WITH {RECENT} SELECT *, 'run1' AS RUN_ID FROM recent",
         "aggregate_late": f"WITH {ROLLUP} SELECT *, 'run3' AS RUN_ID FROM rollup_",

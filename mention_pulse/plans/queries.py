@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mention_pulse.functions import columns, keys, text
 from mention_pulse.operators import capture, rollup, sentiment, serve, spam, tags, threads
 from mention_pulse.plans import adapters, jobs
-from mention_pulse.schemas import COUNTERS, POSTS_SCORED, TABLE_KEYS
+from mention_pulse.schemas import COUNTERS, LEVEL_METRICS, POSTS_SCORED, TABLE_KEYS
 from mention_pulse.session import configure
 from mention_pulse.sources import files, records, tables
 
@@ -48,9 +48,7 @@ def _metrics(spark: SparkSession, d: str) -> DataFrame:
 
 def _recent_keys(spark: SparkSession, d: str) -> DataFrame:
     """The recent-posts table without texts, for choosing and counting rows."""
-    no_text = F.lit(None).cast("string")
-    shape = {"tweet_text_text": no_text, "tweet_text_clean": no_text}
-    return serve.recent_table(adapters.mentions(spark, d).withColumns(shape))
+    return serve.recent_table(_textless(adapters.mentions(spark, d)))
 
 
 def _halves(spark: SparkSession, d: str, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -195,6 +193,89 @@ def compare(spark: SparkSession, d: str) -> DataFrame:
     return serve.compare(_rollup(spark, d), TICKER, OTHER, "daily")
 
 
+COMPARED = dt.date(2024, 1, 3), dt.date(2024, 1, 12)
+
+
+@_query
+def compare_between_dates(spark: SparkSession, d: str) -> DataFrame:
+    return serve.compare(_rollup(spark, d), TICKER, OTHER, "daily", COMPARED)
+
+
+def _textless(mentions: DataFrame) -> DataFrame:
+    no_text = F.lit(None).cast("string")
+    return mentions.withColumns({"tweet_text_text": no_text, "tweet_text_clean": no_text})
+
+
+def _stored(spark: SparkSession, d: str) -> str:
+    """All mentions through the aggregate job, in one run; gives the serving base."""
+    base = tables.fresh_folder(spark, "stored")
+    mentions = _textless(adapters.mentions(spark, d)).withColumn("possible_spam", F.lit(False))
+    jobs.write_clean(mentions, f"{base}/clean", "all")
+    jobs.aggregate(spark, tables.split_paths(f"{base}/clean")[0], base, "run1")
+    return base
+
+
+@_query
+def trend_stored(spark: SparkSession, d: str) -> DataFrame:
+    index = jobs.read_index(spark, _stored(spark, d))
+    return _seen_as_text(serve.trend(index, TICKER, "hourly", START, END))
+
+
+@_query
+def at_level_stored(spark: SparkSession, d: str) -> DataFrame:
+    return serve.at_level(jobs.read_rollup(spark, _stored(spark, d)), DAY)
+
+
+# ---- sources and sinks ---------------------------------------------------------------------
+@_query
+def landed_day(spark: SparkSession, d: str) -> DataFrame:
+    path = tables.fresh_folder(spark, "landed")
+    tables.write_partitioned(adapters.mentions(spark, d), path)
+    year, month, day = DAY.split("-")
+    of_day = (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
+    return files.read_table(spark, path, of_day).select("tweet_id", "ticker", "hour")
+
+
+@_query
+def split_tables(spark: SparkSession, d: str) -> DataFrame:
+    base = tables.fresh_folder(spark, "split")
+    mentions = _textless(adapters.mentions(spark, d)).withColumn("possible_spam", F.col("tweet_id") % 5 == 0)
+    seen = jobs.write_clean(mentions, base, "all")
+    clean, spam_ = (files.read_table(spark, p) for p in tables.split_paths(base))
+    both = clean.withColumn("side", F.lit("clean")).unionByName(spam_.withColumn("side", F.lit("spam")))
+    counted = F.when(F.col("side") == "spam", seen["n_spam"]).otherwise(seen["n_rows"] - seen["n_spam"])
+    sides = both.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
+    return sides.withColumn("n_counted", counted.cast("bigint"))
+
+
+@_query
+def read_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    base = tables.fresh_folder(spark, "snapshots")
+    before = tables.read_snapshot(spark, base, tables.current_run(spark, f"{base}/runs"), LEVEL_METRICS)
+    old, new = _halves(spark, d)
+    for run, mentions in (("run1", old), ("run2", new)):
+        tables.write_snapshot(rollup.level_metrics(mentions), f"{base}/metrics", run)
+        tables.commit_run(spark, f"{base}/runs", run)
+    current = tables.current_run(spark, f"{base}/runs")
+    return tables.read_snapshot(spark, f"{base}/metrics", current, LEVEL_METRICS).unionByName(before)
+
+
+@_query
+def read_tickers(spark: SparkSession, d: str) -> DataFrame:
+    path = tables.fresh_folder(spark, "tickers")
+    named = adapters.tickers(spark, d).withColumn("weight", F.lit(1.5))
+    named.toDF("\ufeff#", "Symbol", "Company", "Weight").write.option("header", True).csv(path)
+    return files.read_tickers(spark, path).select("sno", "ticker", "ticker_name")
+
+
+@_query
+def read_posts(spark: SparkSession, d: str) -> DataFrame:
+    path = tables.fresh_folder(spark, "posts")
+    adapters.raw_posts(spark, d).write.json(path)
+    own = F.array_join("tweet_meta.hashcashtags", ",").alias("own")
+    return files.read_posts(spark, path).select("tweet_id", "text", own)
+
+
 # ---- recent posts --------------------------------------------------------------------------
 @_query
 def recent_table(spark: SparkSession, d: str) -> DataFrame:

@@ -95,18 +95,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     call has a path of its own, under the application's id; the files may go once the application
     has ended.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        return df
-    path = fresh_folder(spark, name)
+    return kept(df, name) if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a fresh folder and read back: what led to it is not run again."""
+    path = fresh_folder(df.sparkSession, name)
     write_table(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ---- runs ----------------------------------------------------------------------------------
-def write_snapshot(df: DataFrame, base: str, run_id: str, files: int | None = None) -> None:
-    """One run's rows under RUN_ID=<run>; writing the same run again replaces only that run."""
+def write_snapshot(
+    df: DataFrame, base: str, run_id: str, files: int | None = None, order: Sequence[str] = ()
+) -> None:
+    """One run's rows under RUN_ID=<run>; writing the same run again replaces only that run.
+
+    With `order` files hold ranges of these columns, so a look-up by the first reads few of them.
+    """
     out = df.withColumn(RUN, F.lit(run_id))
+    out = out.repartitionByRange(*order).sortWithinPartitions(*order) if order else out
     out = out if files is None else out.coalesce(files)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(RUN).option("compression", "snappy").parquet(base)
@@ -200,6 +208,11 @@ def write_index(rollup: DataFrame, path: str, partitions: int | None = None) ->
     ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
+def read_index(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The roll-up laid out by (TickerDetail, TIMESTAMP): filters on these skip most files."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def refresh(spark: SparkSession, table: str) -> None:
     """Make new partitions of a catalog table, or new files of a path, visible."""
     if "/" in table:

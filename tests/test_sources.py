@@ -203,3 +203,42 @@ def test_scored_schema_is_what_packing_makes(spark, posts_dir):
 
     scored = score_posts(files.read_posts(spark, posts_dir), LEXICON)
     assert scored.drop("result").to(POSTS_SCORED).count() == 2
+
+
+def test_layouts_let_look_ups_skip_files(spark, tmp_path):
+    """Few files of the index and of a snapshot hold the key that is looked up."""
+    import pyarrow.parquet as pq
+    from conftest import plan
+
+    from mention_pulse.operators import serve
+    from mention_pulse.schemas import TICKER_ROLLUP
+
+    keys = [(f"2024-01-{d:02}", f"T{t}", f"T{t}_DAILY", f"2024-01-{d:02} 00:00:00.{t}") for d in range(1, 29) for t in range(40)]
+    table = spark.createDataFrame([(*k, 1, 1, 0, 0, "r1") for k in keys], TICKER_ROLLUP).repartition(4)
+
+    def holding(folder, column, value):
+        found = 0
+        for file in folder.rglob("*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            at = meta.schema.names.index(column)
+            groups = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+            found += sum(g.min <= value <= g.max for g in groups)
+        return found
+
+    tables.write_index(table.drop(tables.RUN), str(tmp_path / "index"), 8)
+    assert len(list((tmp_path / "index").glob("*.parquet"))) == 8
+    assert holding(tmp_path / "index", "TickerDetail", "T3_DAILY") <= 2
+    index = tables.read_index(spark, str(tmp_path / "index"), table.drop(tables.RUN).schema)
+    found = serve.trend(index, "T3", "daily")
+    assert "EqualTo(TickerDetail,T3_DAILY)" in plan(found)
+    assert found.count() == 28
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_snapshot(table.drop(tables.RUN), str(tmp_path / "snapshot"), "r1", order=["DetailLevel", "TICKER"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "snapshot").rglob("*.parquet"))) == 4
+    assert holding(tmp_path / "snapshot", "DetailLevel", "2024-01-03") <= 2
+    found = serve.at_level(tables.read_snapshot(spark, str(tmp_path / "snapshot"), "r1", TICKER_ROLLUP), "2024-01-03")
+    assert "EqualTo(DetailLevel,2024-01-03)" in plan(found)
+    assert found.count() == 40
