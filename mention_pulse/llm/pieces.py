@@ -7,8 +7,8 @@ end. A pair is tested by undoing, latest first, the merges along its seam: had t
 touched at some moment formed a piece before the next of those merges, the pair would not stand.
 
 Texts are cut before each space that follows another character, since no piece spans such a place
-(checked when the model is read), and what a cut-out part encodes to is kept for later texts, in a
-table of bounded size. Pieces made of spaces only share one score, the lowest: they join what the
+(checked when the model is read), and what a cut-out part encodes to is kept for later texts, in two
+tables of bounded size: when the newer is full it becomes the older, so parts in use stay. Pieces made of spaces only share one score, the lowest: they join what the
 others leave over, from the left.
 
 Defined results: a null or empty text has the end id only and decodes to an empty text. Characters
@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mention_pulse.llm import common
+
 SPACE = "▁"
-KEPT_PARTS = 1 << 20
-KEPT_PAIRS = 1 << 20
+KEPT_PARTS = 1 << 16
+KEPT_PAIRS = 1 << 18
 _RUN = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -79,6 +81,7 @@ class PieceModel:
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.unlike: dict[str, str] = {}
 
     def _made_of(self, piece: str) -> tuple[int, int] | None:
@@ -208,9 +211,10 @@ class PieceModel:
         end = str(self.end).encode()
         if not text:
             return 1, end, b""
-        if max(len(self.parts), len(self.unlike)) >= KEPT_PARTS:
-            self.parts.clear()
-            self.unlike.clear()
+        if len(self.parts) >= KEPT_PARTS:
+            self.older, self.parts = self.parts, {}
+        if len(self.unlike) >= KEPT_PARTS:  # what these decode to goes with all kept parts
+            self.older, self.parts, self.unlike = {}, {}, {}
         parts = self._text_parts(text)
         found = list(map(self.parts.get, parts))
         if None in found:
@@ -224,6 +228,9 @@ class PieceModel:
 
     def _keep(self, part: str) -> bytes:
         """Encode a part and decode it again; what it decodes to is kept only where it is another text."""
+        if part in self.older:
+            decimals = self.parts[part] = self.older[part]
+            return decimals
         ids = self._part_ids(SPACE + part)
         decoded = self._decoded(ids)[1:].decode("utf-8", "replace")
         if decoded != part:
@@ -266,18 +273,15 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
-        for batch in batches:
-            # few rows at a time: ids take more room than text
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                flat, ends, decoded = [], [0], []
-                for text in part["text"]:
-                    n, decimals, back = own.written(text.as_py())
-                    flat.append(np.fromstring(decimals.decode(), dtype=np.int32, sep=" "))
-                    ends.append(ends[-1] + n)
-                    decoded.append(back.decode("utf-8", "replace"))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], ids, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
+        for part in common.slices(batches):  # ids take more room than text
+            flat, ends, decoded = [], [0], []
+            for text in part["text"]:
+                n, decimals, back = own.written(text.as_py())
+                flat.append(np.fromstring(decimals.decode(), dtype=np.int32, sep=" "))
+                ends.append(ends[-1] + n)
+                decoded.append(back.decode("utf-8", "replace"))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
+            yield pa.RecordBatch.from_arrays([part["doc_id"], ids, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
