@@ -1,17 +1,22 @@
 """Chat formatting by incremental black-box rendering.
 
 A template is any function from a list of (role, text) turns to one string; nothing is known of its
-inside. Turn by turn the conversation so far is rendered with and without the next turn: what the
-longer output adds is that turn's span. Where the shorter output is not the beginning of the longer
-one, the template rewrites history, and the conversation is given back with `rewrites` set and without
-spans. A turn's text is found inside its span by rendering the turn with two probe texts that share no
-character: what their outputs have in common at both ends is the template's. A template's view of the
-past is taken to reach back at most `window` turns, so rendering a long conversation takes time and
-memory in proportion to it.
-
-Conversations stream through a task in the order of turn (nulls first; ties by role, then text), so a
-hot conversation needs no more memory than its formatted pieces of one batch; digests of a whole
-conversation are sequential by definition. Defined results: null roles and texts count as empty; rows of
+inside. Turn by turn the whole conversation so far is rendered with and without the next turn: what the
+longer output adds is that turn's span (the first span has what the template puts before all turns).
+Where the shorter output is not the beginning of the longer one, the template rewrites history, and the
+whole conversation is given back with `rewrites` set and without spans. A turn's text is found inside
+its span by rendering the turn with two probe texts that share no character: what their outputs have in
+common at both ends is the template's.
+
+Rendering every prefix takes time in the square of a conversation's length, and its task holds the
+conversation. Only where the caller declares a template local by `window` (a turn's span depends on the
+turn and at most that many turns before it, and never changes), as `marked_turns` is, those turns alone are
+rendered: time is in proportion to the length, and pieces stream. A template that breaks this where it is
+seen raises an error.
+
+Conversations pass through a task in the order of turn (nulls first; ties by role, then text), so with a
+local template a hot conversation needs no more memory than its formatted pieces of one batch; digests of a
+whole conversation are sequential by definition. Defined results: null roles and texts count as empty; rows of
 a null conv_id form one conversation; an empty table gives no rows. Other columns are not looked at.
 """
 
@@ -85,14 +90,15 @@ class Renderer:
     """Gives each turn's piece; None once the template was seen to rewrite history."""
 
     template: Template
-    window: int = WINDOW
+    window: int | None = None  # turns that a template declared to be local looks back
     past: list[Turn] = field(default_factory=list)
     rewrites: bool = False
+    rendered: str = ""  # the output of `past`
 
     def add(self, role: str, text: str) -> Piece | None:
         if self.rewrites:
             return None
-        before = self.template(self.past)
+        before = self.rendered
         after = self.template([*self.past, (role, text)])
         probes = [self.template([*self.past, (role, p)]) for p in _PROBES]
         if not all(x.startswith(before) for x in (after, *probes)):
@@ -102,7 +108,11 @@ class Renderer:
         begin, tail = _common(a, b), _common(a[::-1], b[::-1])
         output = after[len(before) :]
         fixed = output[:begin] == a[:begin] and output[len(output) - tail :] == a[len(a) - tail :]
-        self.past = [*self.past, (role, text)][-self.window :]
+        self.past.append((role, text))
+        self.rendered = after
+        if self.window is not None and len(self.past) > self.window:
+            del self.past[: len(self.past) - self.window]
+            self.rendered = self.template(self.past) if self.past else ""
         if not fixed or len(output) < begin + tail:
             self.rewrites = True
             return None
@@ -127,18 +137,22 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, objec
                 last = row["conv_id"]
 
 
-def format_turns(turns: DataFrame, template: Template = marked_turns, trained_role: str = TRAINED_ROLE, window: int = WINDOW) -> DataFrame:
+def format_turns(turns: DataFrame, template: Template = marked_turns, trained_role: str = TRAINED_ROLE, window: int | None = None) -> DataFrame:
     """One row per turn: its piece of the output, where the piece and the turn's text stand, and the loss mask.
 
     Pieces joined by `begin` are the conversation's output. `text_begin`:`text_end` is under the loss mask
-    if `trained`. Offsets are code points. With `rewrites` the other columns are null.
+    if `trained`. Offsets are code points. With `rewrites` the other columns are null. `window` declares a
+    template of the caller's to be local.
     """
+    if window is None and template is marked_turns:
+        window = WINDOW
     schema = turns.schema
     kinds = f"conv_id {schema['conv_id'].dataType.simpleString()}, turn {schema['turn'].dataType.simpleString()}"
     shape = f"{kinds}, output string, begin long, text_begin long, text_end long, trained boolean, rewrites boolean"
 
     def rendered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, at, held, room = Renderer(template, window), 0, [], 0
+        open_rows: list[tuple] = []  # of a conversation that may yet turn out to be rewritten
         batch_schema = None
 
         def flush() -> pa.RecordBatch:
@@ -154,19 +168,31 @@ def format_turns(turns: DataFrame, template: Template = marked_turns, trained_ro
                 batch_schema = batch.schema
                 yield batch
 
+        def dealt(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            nonlocal room
+            for row in rows:
+                held.append(row)
+                room += len(row[2] or "")
+                if len(held) >= 4096 or room > 1 << 22:
+                    room = 0
+                    yield flush()
+            rows.clear()
+
         for conv, turn, role, text, new in _streamed(known(batches)):
             if new:
+                yield from dealt(open_rows)
                 own, at = Renderer(template, window), 0
             piece = own.add(role, text)
             if piece is None:
-                held.append((conv, turn, None, None, None, None, None, True))
+                if window is not None:
+                    raise ValueError("a template declared to be local rewrites history")
+                open_rows = [(c, t, None, None, None, None, None, True) for c, t, *_ in [*open_rows, (conv, turn)]]
             else:
-                held.append((conv, turn, piece.output, at, at + piece.begin, at + piece.end, role == trained_role, False))
+                open_rows.append((conv, turn, piece.output, at, at + piece.begin, at + piece.end, role == trained_role, False))
                 at += len(piece.output)
-                room += len(piece.output)
-            if len(held) >= 4096 or room > 1 << 22:
-                room = 0
-                yield flush()
+            if window is not None or own.rewrites:  # nothing later changes these rows
+                yield from dealt(open_rows)
+        yield from dealt(open_rows)
         if held:
             yield flush()
 
@@ -201,7 +227,7 @@ def format_digests(turns: DataFrame) -> DataFrame:
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []
-        own, digest, current = Renderer(marked_turns), _Digest(), None
+        own, digest, current = Renderer(marked_turns, WINDOW), _Digest(), None
 
         def close() -> None:
             done.append((current, digest.n_turns, digest.turns.hexdigest(), digest.loss_chars, digest.loss.hexdigest(), digest.formatted_chars))
@@ -220,7 +246,7 @@ def format_digests(turns: DataFrame) -> DataFrame:
                 if started:
                     close()
                 started, current = True, conv
-                own, digest = Renderer(marked_turns), _Digest()
+                own, digest = Renderer(marked_turns, WINDOW), _Digest()
                 if len(done) >= 4096:
                     yield flush()
             piece = own.add(role, text)

@@ -298,6 +298,36 @@ def test_chat_detects_rewriting():
     assert chat.unescape(piece.output[piece.begin : piece.end]) == "a</turn>b"
 
 
+def test_chat_renders_the_whole_conversation(spark):
+    def last_five(turns):
+        return "".join(f"<{x}>" for _, x in turns[-5:])
+
+    def numbered(turns):
+        return "BOS " + "".join(f"{i} {r}: {x}\n" for i, (r, x) in enumerate(turns))
+
+    def user_first(turns):
+        if turns[0][0] != "user" or any(a == b for (a, _), (b, _) in zip(turns, turns[1:])):
+            raise ValueError("roles must alternate, user first")
+        return "".join(f"{r}: {x}\n" for r, x in turns)
+
+    rows = [(c, t, "assistant" if t % 2 else "user", f"text {t}") for c, n in ((1, 9), (2, 5), (3, 6)) for t in range(n)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    own = {c: [(r, x) for k, _, r, x in rows if k == c] for c in (1, 2, 3)}
+    for template in (numbered, user_first):
+        got = chat.format_turns(turns, template).orderBy("conv_id", "begin").collect()
+        assert len(got) == len(rows) and not any(r["rewrites"] for r in got)
+        for c in own:
+            mine = [r for r in got if r["conv_id"] == c]
+            whole = "".join(r["output"] for r in mine)
+            assert whole == template(own[c])
+            assert [whole[r["text_begin"] : r["text_end"]] for r in mine] == [x for _, x in own[c]]
+    got = chat.format_turns(turns, last_five).collect()
+    assert len(got) == len(rows) and all(r["rewrites"] == (r["conv_id"] != 2) for r in got)
+    assert all((r["output"] is None) == r["rewrites"] == (r["begin"] is None) for r in got)
+    local = chat.format_turns(turns, lambda turns: "".join(f"{r}> {x}\n" for r, x in turns), window=0)
+    assert "".join(r["output"] for r in local.filter("conv_id = 3").orderBy("begin").collect()).startswith("user> text 0\nassistant> ")
+
+
 # ---- language model --------------------------------------------------------------------------
 def test_elias_fano():
     rng = np.random.default_rng(1)
