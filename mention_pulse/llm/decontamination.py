@@ -2,10 +2,13 @@
 
 Benchmark items are cut into passages of at most `window` words. Passages are weighted by TF-IDF, with
 document frequencies from all documents, and a randomised SVD of the passage matrix, whose rows Spark
-tasks hold, gives a latent space. Windows of every document are folded into it. Those whose cosine to a
-passage reaches `cosine`, and that hold `contained` of the passage's own length in its direction (windows of
-a few common words point anywhere, but are short), are candidates. A candidate's words are aligned with the passage by their
-longest common subsequence. A share of `same` or more is a leak; a share of `paraphrase` or more is one
+tasks hold, gives a latent space. Windows of every document are folded into it, of the few sizes that
+hold passages of up to so many words wherever they begin. Those whose cosine to a
+passage reaches `cosine` (less for a passage that is short for its window, as the words around it turn the
+window away: times the root of its share of the words), and that hold `contained` of the passage's own length in its direction (windows of
+a few common words point anywhere, but are short), are candidates. So are the windows where the passage's
+rarest run of `min_words` words stands as it is: no verbatim copy depends on the latent space. A candidate's words
+and half a window around are aligned with the passage by their longest common subsequence. A share of `same` or more is a leak; a share of `paraphrase` or more is one
 if the passage's rarer words are there too (`weighted` of all its words' weight) and the item's answer (its
 last sentence, or last quarter if there is but one) is found nearby.
 
@@ -35,6 +38,7 @@ BLOCK = 5000
 STRIDE = 8
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _SEED = 20240
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -87,6 +91,20 @@ def _passages(items: list[Item], window: int) -> list[tuple[int, np.ndarray]]:
     return out
 
 
+def _span(length: int, window: int) -> int:
+    """Blocks of the windows for passages of so many words."""
+    return min(window // STRIDE, -(-(length - 1) // STRIDE) + 1)
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Fingerprints of each `size` words in a row."""
+    n = max(0, len(words) - size + 1)
+    rolled = np.zeros(n, dtype=np.uint64)
+    for i in range(size):
+        rolled = rolled * _STEP + words[i : i + n]
+    return common.mix(rolled)
+
+
 def _document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
     """In how many documents each word of the benchmark occurs, and how many documents there are."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # words of one block of items
@@ -201,8 +219,43 @@ class Index:
             distinct = np.unique(words)
             weight = self.weight[np.searchsorted(self.vocabulary, distinct)]
             self.passage_weights.append(dict(zip(distinct.tolist(), (weight / weight.sum()).tolist())))
+        spans = np.array([_span(len(w), self.how.window) for _, w in self.passages])
+        self.classes = {int(s): np.flatnonzero(spans == s) for s in np.unique(spans)}
+        share = np.minimum(1.0, np.array([len(w) for _, w in self.passages]) / (spans * STRIDE))
+        self.cosine = (self.how.cosine * np.sqrt(share)).astype(np.float32)
+        self.anchors = {s: self._anchors(own) for s, own in self.classes.items()}
         return self
 
+    def _anchors(self, own: np.ndarray) -> tuple[common.Membership, np.ndarray, np.ndarray, np.ndarray]:
+        """Rarest run of each passage: distinct runs, where each one's passages begin, places in `own`, words before the run."""
+        size = self.how.min_words
+        runs, places, before = [], [], []
+        for k, p in enumerate(own.tolist()):
+            words = self.passages[p][1]
+            weight = np.append(0.0, np.cumsum(self.weight[np.searchsorted(self.vocabulary, words)]))
+            if len(words) >= size:
+                j = int(np.argmax(weight[size:] - weight[:-size]))
+                runs.append(_runs(words[j : j + size], size)[0])
+                places.append(k)
+                before.append(j)
+        order = np.argsort(np.array(runs, dtype=np.uint64), kind="stable")
+        keys, first = np.unique(np.array(runs, dtype=np.uint64)[order], return_index=True)
+        ends = np.append(first, len(order)).astype(np.int64)
+        return common.Membership(keys), ends, np.array(places, dtype=np.int64)[order], np.array(before, dtype=np.int64)[order]
+
+    def _anchored(self, span: int, runs: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where passages of a class would begin by their anchors: text, word, place in the class."""
+        known, ends, places, before = self.anchors[span]
+        run = known.index(runs)
+        there = np.flatnonzero(run >= 0)
+        text = np.searchsorted(at, there, side="right") - 1
+        inside = there + self.how.min_words <= at[text + 1]
+        there, text = there[inside], text[inside]
+        first, n = ends[run[there]], ends[run[there] + 1] - ends[run[there]]
+        each = np.repeat(np.arange(len(there)), n)
+        of = first[each] + np.arange(len(each)) - (np.cumsum(n) - n)[each]
+        return text[each], np.maximum(at[text[each]], there[each] - before[of]), places[of]
+
     def matches(self, column: pa.Array) -> list[dict]:
         """Leaks of a slice of texts: row, item, cosine, shares, kind and word bounds; the best for each row and item."""
         how = self.how
@@ -216,24 +269,38 @@ class Index:
         owner = np.repeat(np.arange(len(lengths)), blocks)
         begin = at[owner] + STRIDE * (np.arange(len(owner)) - first_block[owner])
         sums = np.add.reduceat(rows, begin, axis=0)
-        span = how.window // STRIDE
         vectors = sums.copy()
-        for i in range(1, span):
-            same = owner[i:] == owner[:-i]
-            vectors[:-i][same] += sums[i:][same]
-        # windows that would begin in the last blocks of a text are parts of others, unless it is short
-        whole = (np.arange(len(owner)) + span <= first_block[owner + 1]) | (np.arange(len(owner)) == first_block[owner])
-        windows = np.flatnonzero(whole)
-        norm = np.sqrt((vectors[windows] ** 2).sum(axis=1))
-        near = vectors[windows] @ self.latent.T
-        hits = np.nonzero(near >= np.maximum(how.cosine * norm[:, None], how.contained * self.length))
-        cosines = near[hits] / np.maximum(norm[hits[0]], 1e-9)
+        runs = _runs(h, how.min_words)
         best: dict[tuple[int, int], dict] = {}
-        for w, p, cosine in zip(*(x.tolist() for x in (*hits, cosines))):
-            block = int(windows[w])
+        for span in range(1, how.window // STRIDE + 1):
+            if span > 1:
+                same = owner[span - 1 :] == owner[: 1 - span]
+                vectors[: 1 - span][same] += sums[span - 1 :][same]
+            if span not in self.classes:
+                continue
+            own = self.classes[span]
+            # windows that would begin in the last blocks of a text are parts of others, unless it is short
+            whole = (np.arange(len(owner)) + span <= first_block[owner + 1]) | (np.arange(len(owner)) == first_block[owner])
+            windows = np.flatnonzero(whole)
+            norm = np.sqrt((vectors[windows] ** 2).sum(axis=1))
+            near = vectors[windows] @ self.latent[own].T
+            candidate = near >= np.maximum(self.cosine[own] * norm[:, None], how.contained * self.length[own])
+            text, start, place = self._anchored(span, runs, at)
+            block = first_block[text] + (start - at[text]) // STRIDE
+            block = np.minimum(block, np.maximum(first_block[text], first_block[text + 1] - span))
+            candidate[np.searchsorted(windows, block), place] = True
+            hits = np.nonzero(candidate)
+            cosines = near[hits] / np.maximum(norm[hits[0]], 1e-9)
+            self._align(h, at, owner, begin, windows[hits[0]], own[hits[1]], cosines, span * STRIDE, best)
+        return list(best.values())
+
+    def _align(self, h, at, owner, begin, blocks, passages, cosines, window: int, best: dict[tuple[int, int], dict]) -> None:
+        """Align candidates (first block and passage of each) and keep the best for each row and item."""
+        how = self.how
+        for block, p, cosine in zip(*(x.tolist() for x in (blocks, passages, cosines))):
             row, start = int(owner[block]), int(begin[block])
             low, high = int(at[row]), int(at[row + 1])
-            a, b = max(low, start - how.window // 2), min(high, start + how.window + how.window // 2)
+            a, b = max(low, start - window // 2), min(high, start + window + window // 2)
             item, words = self.passages[p]
             region = h[a:b].tolist()
             share = common_subsequence(self.passage_masks[p], len(words), region) / len(words)
@@ -260,7 +327,6 @@ class Index:
             old = best.get((row, item))
             if old is None or (share, found["cosine"]) > (old["lcs_share"], old["cosine"]):
                 best[row, item] = found
-        return list(best.values())
 
 
 def _indexes(docs: DataFrame, benchmark: DataFrame, how: Search) -> Iterator[Index]:

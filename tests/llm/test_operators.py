@@ -413,6 +413,31 @@ def test_leaks(spark):
     assert decontamination.leaks(empty(spark), bench).count() == 0
 
 
+def test_leaks_of_short_items(spark):
+    rng = np.random.default_rng(9)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(3000)]
+
+    def text(n):
+        return " ".join(rng.choice(vocabulary, n))
+
+    items = [text(n) for n in (5, 6, 8, 10, 12, 15, 20) for _ in range(12)]
+
+    def around(i, n):
+        """A rare word of the benchmark, said again and again: it turns a window away from a short item."""
+        return " ".join([items[(i + 12) % len(items)].split()[0]] * n)
+
+    docs = [f"{around(i, 40)} {item} {around(i, 40)}" for i, item in enumerate(items)]
+    docs += [items[0], f"{items[1]} {text(60)}"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["lcs_share"] for r in decontamination.leaks(rows, bench).collect()}
+    want = [(i, i) for i in range(len(items))] + [(len(items), 0), (len(items) + 1, 1)]
+    assert [pair for pair in want if got.get(pair) != 1.0] == []
+    assert {pair for pair, share in got.items() if share == 1.0} == set(want)
+    # nothing is left of the rows that leak
+    assert decontamination.without_leaks(rows, bench).count() == 0
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(200):
