@@ -1,6 +1,7 @@
 """Quality rules: plain counts, and how far a text's make-up is from that of its language.
 
-A text's characters fall into classes, and its common words are counted; both histograms are compared
+A text's characters fall into classes (by Unicode category, and letters beyond ASCII by script as well), and
+its common words, of any length, are counted by their fingerprints; both histograms are compared
 by Jensen-Shannon distance (base 2, so 0 to 1) to references taken from all texts of each language.
 A text is near a reference if both distances are within their limits; it is rejected if it is near
 none. Histograms of short texts say little, so the character test needs `min_chars` characters and
@@ -8,14 +9,17 @@ the word test `min_words` words; below, that test passes.
 
 Defined results: a null or empty text has no words and fails the base rule. Texts of a null `lang` form
 a language of their own. Languages with fewer than `min_reference` words in all give no reference;
-with no reference at all, only the base rule decides. Rows come back one for one, in any order; other
+with no reference at all, only the base rule decides. Words lie between ASCII white space, so in scripts
+that put none between words the word test says little and the classes decide. Rows come back one for one, in any order; other
 columns of the input, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +30,19 @@ from pyspark.sql import functions as F
 from mention_pulse.llm import common
 
 WINDOW = 8
-COMMON_BYTES = 7  # a common word has so few bytes that it fits a 64-bit key as it is
-CLASSES = ("lower", "upper", "digit", "white", "stop", "mark", "other script")
+HELD_WORDS = 1 << 20  # distinct words of a language that a task sums up before it hands them on
+SCRIPTS = (
+    *("LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "GEORGIAN", "HEBREW", "ARABIC", "DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI"),
+    *("ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM", "SINHALA", "THAI", "LAO", "TIBETAN", "MYANMAR", "KHMER"),
+    *("ETHIOPIC", "HANGUL", "HIRAGANA", "KATAKANA", "CJK", "other script"),
+)
+CLASSES = (
+    *("lower", "upper", "digit", "white", "stop", "mark", "other space"),
+    *(f"{script} {kind}" for script in SCRIPTS for kind in ("letter", "upper", "sign")),
+)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
-_CLASS = np.full(256, 6, dtype=np.int64)
-_CLASS[:128] = 5
+_CLASS = np.full(128, 5, dtype=np.int64)
 _CLASS[[ord(c) for c in ".,;:!?'\"-()"]] = 4
 _CLASS[[9, 10, 11, 12, 13, 32]] = 3
 _CLASS[48:58], _CLASS[65:91], _CLASS[97:123] = 2, 1, 0
@@ -57,22 +68,48 @@ class Rules:
     min_reference: int = 1000
 
 
-def _short_words(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which words are short, and their bytes packed into a key."""
-    short = np.flatnonzero(end - begin <= COMMON_BYTES)
-    at, to = begin[short], end[short]
-    key = np.zeros(len(short), dtype=np.int64)
-    for i in range(COMMON_BYTES):
-        more = at + i < to
-        key[more] = (key[more] << 8) | common.LOWER[data[at[more] + i]]
-    return short, key
+@cache
+def _wide_classes() -> np.ndarray:
+    """Class of each code point below 0x20000, and at the end of ideographs beyond and of all others."""
+    out = np.full(0x20002, 5, dtype=np.int64)
+    out[:128] = _CLASS
+    kinds = {"N": 2, "P": 4, "Z": 6}
+    for code in range(128, 0x20000):
+        char = chr(code)
+        category = unicodedata.category(char)
+        if category[0] in "LM":
+            name = unicodedata.name(char, "").removeprefix("FULLWIDTH ").removeprefix("HALFWIDTH ").split(" ")[0]
+            script = SCRIPTS.index(name) if name in SCRIPTS else len(SCRIPTS) - 1
+            out[code] = 7 + 3 * script + (2 if category[0] == "M" else 1 if category in ("Lu", "Lt") else 0)
+        else:
+            out[code] = kinds.get(category[0], 5)
+    out[0x20000] = 7 + 3 * SCRIPTS.index("CJK")
+    return out
+
+
+def _code_points(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Code points that begin at these bytes, none of them ASCII."""
+    code = data[at].astype(np.int64)
+    size = 2 + (code >= 0xE0) + (code >= 0xF0)
+    code &= 0x7F >> size
+    for i in range(1, 4):
+        more = size > i
+        code[more] = (code[more] << 6) | (data[at[more] + i] & 0x3F)
+    return code
 
 
 def _classes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Characters of each class, a row for each text."""
-    first = _STARTS[data]
-    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    flat = text[first] * len(CLASSES) + _CLASS[data[first]]
+    first = np.flatnonzero(_STARTS[data])
+    text = np.searchsorted(starts, first, side="right") - 1
+    lead = data[first]
+    kind = _CLASS[lead & 0x7F]
+    wide = np.flatnonzero(lead >= 128)
+    if len(wide):
+        code = _code_points(data, first[wide])
+        far = np.where((code >= 0x20000) & (code < 0x40000), 0x20000, 0x20001)
+        kind[wide] = _wide_classes()[np.where(code < 0x20000, code, far)]
+    flat = text * len(CLASSES) + kind
     return np.bincount(flat, minlength=(len(starts) - 1) * len(CLASSES)).reshape(-1, len(CLASSES))
 
 
@@ -80,7 +117,7 @@ _STATS = "lang string, is_word boolean, key long, n long"
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task, per language: characters by class, short words by key, words in all (key -1)."""
+    """Counts of a task, per language: characters by class and words in all (key -1), words by fingerprint."""
     chars: dict[str | None, np.ndarray] = {}
     words: dict[str | None, list[tuple[np.ndarray, np.ndarray]]] = {}
     totals: dict[str | None, int] = {}
@@ -94,9 +131,9 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, starts = common.text_bytes(part["text"])
         begin, end = common.word_bounds(data, starts, common.WHITE)
         at = np.searchsorted(begin, starts)
-        short, key = _short_words(data, begin, end)
-        owner = np.searchsorted(at, short, side="right") - 1
+        key = common.fingerprints(data, begin, end).view(np.int64)
         histogram, n_words = _classes(data, starts), np.diff(at)
+        owner = np.repeat(np.arange(len(n_words)), n_words)
         langs = np.array(part["lang"].to_pylist(), dtype=object)
         for lang in set(langs.tolist()):
             mine = np.array([x == lang for x in langs])
@@ -107,16 +144,18 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((keys, n))
             if len(held) >= 64:
                 words[lang] = [folded(held)]
+                if len(words[lang][0][0]) > HELD_WORDS:
+                    yield _stats_rows(lang, True, *words[lang].pop())
     for lang in chars:
-        keys, n = folded(words[lang])
-        yield _stats_rows(lang, False, np.arange(len(CLASSES)), chars[lang])
-        yield _stats_rows(lang, True, np.append(keys, -1), np.append(n, totals[lang]))
+        yield _stats_rows(lang, False, np.append(np.arange(len(CLASSES)), -1), np.append(chars[lang], totals[lang]))
+        if words[lang]:
+            yield _stats_rows(lang, True, *folded(words[lang]))
 
 
 def _stats_rows(lang: str | None, is_word: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     size = len(keys)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * size, pa.string()), pa.array([is_word] * size), pa.array(keys, pa.int64()), pa.array(n, pa.int64())],
+        [pa.array([lang] * size, pa.string()), pa.array([is_word] * size, pa.bool_()), pa.array(keys, pa.int64()), pa.array(n, pa.int64())],
         names=["lang", "is_word", "key", "n"],
     )
 
@@ -137,16 +176,18 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> References:
         .groupBy("lang", "is_word", "key")
         .agg(F.sum("n").alias("n"))
     )
-    # the total (key -1) comes first, then the most frequent words
-    order = Window.partitionBy("lang", "is_word").orderBy((F.col("key") != -1) & F.col("is_word"), F.col("n").desc(), "key")
-    kept = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rules.common_words + 1)
+    # the most frequent words; the classes and the total, which are fewer than the limit, all stay
+    order = Window.partitionBy("lang", "is_word").orderBy(F.col("n").desc(), "key")
+    limit = max(rules.common_words, len(CLASSES) + 1)
+    kept = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
     by_lang: dict[str | None, tuple[dict, dict]] = {}
     for row in kept.collect():
         by_lang.setdefault(row["lang"], ({}, {}))[row["is_word"]][row["key"]] = row["n"]
     chars, words = [], []
     for lang in sorted(by_lang, key=lambda x: (x is not None, x or "")):
         classes, common_words = by_lang[lang]
-        total = common_words.pop(-1, 0)
+        total = classes.pop(-1, 0)
+        common_words = dict(sorted(common_words.items(), key=lambda x: (-x[1], x[0]))[: rules.common_words])
         if total >= rules.min_reference:
             counts = np.array([classes.get(i, 0) for i in range(len(CLASSES))], dtype=float)
             keys = np.array(sorted(common_words), dtype=np.int64)
@@ -212,8 +253,8 @@ def _measure(part: pa.RecordBatch, known: References, rules: Rules) -> dict[str,
     failed = (n_words < rules.min_total_words) | (100 * out["n_repeat_words"] > rules.max_repeat_percent * n_words)
     n_chars = histogram.sum(axis=1)
     shares = histogram / np.maximum(n_chars, 1)[:, None]
-    short, key = _short_words(data, begin, end)
-    owner = np.searchsorted(at, short, side="right") - 1
+    key = h.view(np.int64)
+    owner = np.repeat(np.arange(len(n_words)), n_words)
     best = np.full((3, len(n_words)), np.inf)  # what it is beyond the limits, the two distances
     for chars, (keys, word_shares) in zip(known.chars, known.words):
         by_char = distance(shares, chars)

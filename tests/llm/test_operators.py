@@ -96,6 +96,33 @@ def test_quality_keeps_usual_texts_and_rejects_shouting(spark):
     assert kept.columns == ["doc_id", "text", "lang", "list"] and {r["doc_id"] for r in kept.collect()} == set(range(60))
 
 
+def test_quality_judges_other_scripts(spark):
+    rng = np.random.default_rng(7)
+    common = "который потому человек сегодня например однако всегда вместе".split()
+    def text(letters="абвгдежзиклмн", own=common):
+        return " ".join(str(rng.choice(own)) if rng.random() < 0.5 else "".join(rng.choice(list(letters), 6)) for _ in range(120))
+    docs = [text() for _ in range(60)]
+    other_words = [text(own=["".join(rng.choice(list("опрстуфх"), 8)) for _ in range(120)]) for _ in range(2)]
+    shouting = [text().upper().replace(" ", "》》 ") for _ in range(2)]
+    got = quality_rules.quality_rules(frame(spark, docs + other_words + shouting).withColumn("lang", pa_lit())).filter("doc_id IS NOT NULL").collect()
+    assert all(r["kept"] == (r["doc_id"] < 60) for r in got)
+    assert all((r["word_distance"] > 0.5) == (r["doc_id"] >= 60) for r in got)
+    assert all((r["char_distance"] > 0.3) == (r["doc_id"] >= 62) for r in got)
+
+
+def test_quality_classes():
+    texts = ["aé", "Я я 中𠀀", "हि ٣“\u3000", "", "😀"]
+    data, starts = quality_rules.common.text_bytes(pa.array(texts))
+    got = [{quality_rules.CLASSES[i]: int(n) for i, n in enumerate(row) if n} for row in quality_rules._classes(data, starts)]
+    assert got == [
+        {"lower": 1, "LATIN letter": 1},
+        {"white": 2, "CYRILLIC letter": 1, "CYRILLIC upper": 1, "CJK letter": 2},
+        {"white": 1, "digit": 1, "stop": 1, "other space": 1, "DEVANAGARI letter": 1, "DEVANAGARI sign": 1},
+        {},
+        {"mark": 1},
+    ]
+
+
 def test_distance():
     p = np.array([[0.5, 0.5, 0.0], [0.2, 0.3, 0.5]])
     q = np.array([0.2, 0.3, 0.5])
