@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from mention_pulse.llm import (
     chat,
+    collocations,
     common,
     decontamination,
+    importance,
     lm,
     pieces,
     pii,
@@ -80,6 +82,14 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
     return chat.format_digests(turns.select("conv_id", "turn", "role", "text").union(probe))
 
 
+def op12_importance(spark: SparkSession, d: str) -> DataFrame:
+    return importance.resample(common.documents(spark, d), common.documents(spark, d, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(common.documents(spark, d))
+
+
 def queries() -> dict[str, Query]:
     """All queries by name."""
     found = (
@@ -93,6 +103,8 @@ def queries() -> dict[str, Query]:
         op8_quality_model,
         op9_quality_rules,
         op10_chat_format,
+        op12_importance,
+        op13_collocations,
     )
     return {f.__name__: f for f in found}
 
