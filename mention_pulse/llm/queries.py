@@ -20,6 +20,7 @@ from mention_pulse.llm import (
     quality_model,
     quality_rules,
     simhash,
+    superminhash,
     token_files,
     toxicity,
 )
@@ -82,6 +83,10 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
     return chat.format_digests(turns.select("conv_id", "turn", "role", "text").union(probe))
 
 
+def op11_superminhash(spark: SparkSession, d: str) -> DataFrame:
+    return superminhash.near_duplicates(common.documents(spark, d))
+
+
 def op12_importance(spark: SparkSession, d: str) -> DataFrame:
     return importance.resample(common.documents(spark, d), common.documents(spark, d, "benchmark"))
 
@@ -103,6 +108,7 @@ def queries() -> dict[str, Query]:
         op8_quality_model,
         op9_quality_rules,
         op10_chat_format,
+        op11_superminhash,
         op12_importance,
         op13_collocations,
     )
