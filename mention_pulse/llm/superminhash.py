@@ -39,10 +39,11 @@ from pyspark.sql import functions as F
 
 from mention_pulse.llm import common
 from mention_pulse.llm.components import components
-from mention_pulse.operators.skew import copy_to_slices, hot_keys, slice_rows
+from mention_pulse.operators.skew import copy_to_slices, hot_keys, is_small, slice_rows
 
 SHINGLE = 3
 HOT = 4096
+FEW = 1_000_000  # ids that are broadcast, a few MB
 _PIECE = 1 << 16
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -267,11 +268,18 @@ def _sliced(left: DataFrame, key: str, spread_by: str, right: DataFrame, right_k
     return dealt.join(copies, same).drop("_slice", "_copy", right_key)
 
 
+def _needed(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """The sets of some classes: filtered where they lie if the ids are few, else by shuffle."""
+    ids = ids.toDF("_needed").distinct()
+    ids = F.broadcast(ids) if is_small(ids, FEW) else ids
+    return sets.join(ids, F.col("id") == F.col("_needed"), "left_semi")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> DataFrame:
     """The pairs that are linked, as a written table."""
     spark = pairs.sparkSession
     pairs = common.written(pairs.filter("a != b").distinct(), f"{folder}-pairs")
-    side = {s: sets.select(*(F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "members"))) for s in "ab"}
+    side = {s: _needed(sets.select("id", "n", "members"), pairs.select(s)).toDF(f"{s}_id", f"{s}_n", f"{s}_members") for s in "ab"}
     joined = pairs.join(side["b"], F.col("b") == F.col("b_id")).drop("b_id")
     joined = _sliced(joined, "a", "b", side["a"], "a_id", HOT)
     # very long documents have large sets: a batch is bounded by bytes as well as by rows
@@ -307,7 +315,6 @@ def links(classes: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> Dat
     members = common.written(met.select("band", "id", "first"), f"{folder}/members")
     found = _verified(members.select(F.col("first").alias("a"), F.col("id").alias("b")), sets, bands, f"{folder}/first")
     members = members.select("band", "id")
-    facts = sets.select(F.col("id").alias("_id"), "n", "sketch")
     for blocks in (False, True):
         joined = components(found, "a", "b")
         grouped = _grouped(members, joined)
@@ -322,9 +329,9 @@ def links(classes: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> Dat
         dealt = slice_rows(grouped, "band", "id", hot)
         copies = copy_to_slices(apart, "of_band", hot).withColumnRenamed("_slice", "_copy")
         open_ = dealt.join(copies, (F.col("band") == F.col("of_band")) & (F.col("_slice") == F.col("_copy")))
-        open_ = common.written(
-            open_.select("band", "id", "group", "size").join(facts, F.col("id") == F.col("_id")).drop("_id"), f"{folder}/open{int(blocks)}"
-        )
+        open_ = common.written(open_.select("band", "id", "group", "size"), f"{folder}/members{int(blocks)}")
+        facts = _needed(sets.select("id", "n", "sketch"), open_.select("id"))
+        open_ = common.written(open_.join(facts, "id"), f"{folder}/open{int(blocks)}")
         small = open_.filter(F.col("size") <= bands.small_band).select("band", "id", "group", "n", "sketch")
         large = open_.filter(F.col("size") > bands.small_band)
         if blocks:
