@@ -29,12 +29,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mention_pulse.llm import common
@@ -44,6 +45,7 @@ from mention_pulse.operators.skew import copy_to_slices, hot_keys, is_small, sli
 SHINGLE = 3
 HOT = 4096
 FEW = 1_000_000  # ids that are broadcast, a few MB
+BATCH_BYTES = 4 << 20
 _PIECE = 1 << 16
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -277,18 +279,11 @@ def _needed(sets: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> DataFrame:
     """The pairs that are linked, as a written table."""
-    spark = pairs.sparkSession
     pairs = common.written(pairs.filter("a != b").distinct(), f"{folder}-pairs")
     side = {s: _needed(sets.select("id", "n", "members"), pairs.select(s)).toDF(f"{s}_id", f"{s}_n", f"{s}_members") for s in "ab"}
     joined = pairs.join(side["b"], F.col("b") == F.col("b_id")).drop("b_id")
     joined = _sliced(joined, "a", "b", side["a"], "a_id", HOT)
-    # very long documents have large sets: a batch is bounded by bytes as well as by rows
-    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
-    try:
-        return common.written(joined.mapInArrow(_checked(bands), _PAIRS), f"{folder}-links")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    return common.written(joined.mapInArrow(_checked(bands), _PAIRS), f"{folder}-links")
 
 
 def _grouped(members: DataFrame, joined: DataFrame | None) -> DataFrame:
@@ -389,9 +384,25 @@ def _with_pivots(large: DataFrame, bands: Bands, folder: str) -> DataFrame:
     return pairs.mapInArrow(agree, _PAIRS)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches to Python bounded by bytes as well as by rows: long documents have long texts and large sets."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+
+
 # ---- documents ------------------------------------------------------------------------------------
 def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """doc_id, `n_shingles`, `component_id` and `kept`, one row for each of the input."""
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, bands)
+
+
+def _near_duplicates(docs: DataFrame, bands: Bands) -> DataFrame:
     folder = common.shared_folder(docs.sparkSession, "superminhash")
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
