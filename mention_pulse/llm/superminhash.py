@@ -9,15 +9,16 @@ without replacement within a member, which makes the estimate of the similarity
 of independent minima. `bands` groups of `rows` positions are hashed; two documents at the limit of 85 %
 share no band in 1 of 4 million cases (with 32 bands of 6 positions), more similar ones in fewer.
 
-Documents with the same set are one class, named by its first row. A band that several classes share is
-compared in rounds, each round only between classes that no chain of links joins so far:
+Documents with the same set are one class, named by its first row. Bands that several classes share are
+compared in two rounds, the second only between classes that no chain of links joins by then:
   1. every class with the first class of the band, so a large group of near copies costs one pair a class;
-  2. in bands still not joined, if small all pairs, else all classes with up to eight pivots;
-  3. in large bands still not joined, all pairs, block by block.
-From round 2 on, pairs whose signatures agree in far fewer positions than linked sets do (5.5 standard
-deviations) and pairs whose sizes forbid a link are left out. What remains is verified on the full sets, of
-which 48 bits a member are kept; the pair's sets meet by a join, with pivots of very many pairs cut
-into slices. Links are joined by rounds of minima (see `components`).
+     the two full sets, of which 48 bits a member are kept, meet by a join, pivots of very many pairs in slices;
+  2. in bands still not joined, by signature: pairs that agree in far fewer positions than linked sets do (5.5
+     standard deviations), or whose sizes forbid a link, are out. The others make clusters, from a spanning
+     forest of each band. A cluster's sets meet in one task, which verifies what is not joined yet and gives a
+     spanning forest of the links. So neither round gives more rows than classes in its bands.
+A band or cluster too large for a task is cut into blocks, and any two blocks meet in one task. Links are joined
+by rounds of minima (see `components`).
 
 Defined results: a null or empty text, or one without words, has an empty set and is linked with nothing, not
 even its like; its component is its own doc_id. Repeated rows come back one for one. Rows of a null doc_id
@@ -58,8 +59,8 @@ class Bands:
     bands: int = 32
     rows: int = 6
     percent: int = 85
-    small_band: int = 256
-    pivots: int = 8
+    block: int = 1024
+    block_bytes: int = 4 << 20
 
     @property
     def positions(self) -> int:
@@ -201,48 +202,72 @@ def _sets(bands: Bands):
 _PAIRS = "a long, b long"
 
 
-def _near(sketches: np.ndarray, n: np.ndarray, group: np.ndarray, i: int, others: slice, bands: Bands) -> np.ndarray:
-    """Which of the others may be linked with entry i and are not joined with it yet."""
-    low, high = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
-    fine = (group[others] != group[i]) & (100 * low >= bands.percent * high)
-    at = np.flatnonzero(fine)
-    if len(at):
-        at = at[(sketches[others][at] == sketches[i]).sum(axis=1) >= bands.agreeing]
-    return at + (others.start or 0)
+def _similar(x: bytes, y: bytes, x_size: int, y_size: int, percent: int) -> bool:
+    """Whether two full sets are linked."""
+    one, other = _unpacked(x), _unpacked(y)
+    if len(one) > len(other):
+        one, other = other, one
+    at = np.minimum(np.searchsorted(other, one), len(other) - 1)
+    shared = int((other[at] == one).sum())
+    return 100 * shared >= percent * (x_size + y_size - shared)
 
 
-def _compared(bands: Bands):
+def _in_cells(bands: Bands, verify: bool):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of each band that may be linked; bands come one after another, pivots of large ones first."""
+        """For each cell a spanning forest of its pairs that may be linked, or that are (`verify`)."""
         held: list[pa.RecordBatch] = []
         now: int | None = None
 
         def close() -> Iterator[pa.RecordBatch]:
-            if not held:
+            size = sum(b.num_rows for b in held)
+            if size < 2:
                 return
-            table = pa.Table.from_batches(held).combine_chunks()
-            size = table.num_rows
-            ids, n, group = (table[c].to_numpy() for c in ("id", "n", "group"))
-            sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), dtype=np.uint8).reshape(size, -1)
+            ids, n, group = (np.concatenate([b[c].to_numpy() for b in held]) for c in ("id", "n", "group"))
+            sketches = np.frombuffer(b"".join(x for b in held for x in b["sketch"].to_pylist()), dtype=np.uint8).reshape(size, -1)
+            sets = [x for b in held for x in b["members"].to_pylist()] if verify else []
+            # links join groups; what only may be linked makes trees of classes, and groups stay as they are
+            tree = group.copy() if verify else np.arange(size)
+            pairs: list[tuple[int, int]] = []
             for i in range(size - 1):
-                near = _near(sketches, n, group, i, slice(i + 1, None), bands)
-                if len(near):
-                    low, high = np.minimum(ids[i], ids[near]), np.maximum(ids[i], ids[near])
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+                low, high = np.minimum(n[i + 1 :], n[i]), np.maximum(n[i + 1 :], n[i])
+                apart = (group[i + 1 :] != group[i]) & (tree[i + 1 :] != tree[i])
+                near = i + 1 + np.flatnonzero(apart & (100 * low >= bands.percent * high))
+                near = near[(sketches[near] == sketches[i]).sum(axis=1) >= bands.agreeing]
+                for j in near.tolist():
+                    if tree[j] != tree[i] and (not verify or _similar(sets[i], sets[j], int(n[i]), int(n[j]), bands.percent)):
+                        pairs.append((i, j))
+                        tree[tree == tree[j]] = tree[i]
+            if pairs:
+                a, b = ids[np.array(pairs).T]
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            band = batch["band"].to_numpy()
-            edges = np.append(np.flatnonzero(np.append(True, band[1:] != band[:-1])), len(band)) if len(band) else []
+            if not batch.num_rows:
+                continue
+            cell = batch["cell"].to_numpy()
+            edges = np.append(np.flatnonzero(np.append(True, cell[1:] != cell[:-1])), len(cell)).tolist()
             for a, b in zip(edges[:-1], edges[1:]):
-                if int(band[a]) != now:
+                if int(cell[a]) != now:
                     yield from close()
-                    held, now = [], int(band[a])
-                held.append(batch.slice(int(a), int(b - a)))
+                    held, now = [], int(cell[a])
+                held.append(batch.slice(a, b - a))
         yield from close()
 
     return compare
 
 
+def _cells(rows: DataFrame, bands: Bands) -> DataFrame:
+    """Rows of (key, blocks, id) with their `cell`: the key itself, or for each two blocks of it a cell of theirs."""
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    cut = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return cut.withColumn("cell", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).drop("own", "other", "key", "blocks")
+
+
+def _forests(cells: DataFrame, bands: Bands, verify: bool) -> DataFrame:
+    ordered = cells.repartition("cell").sortWithinPartitions("cell")
+    return ordered.mapInArrow(_in_cells(bands, verify), _PAIRS)
+
+
 def _checked(bands: Bands):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs whose full sets are similar enough."""
@@ -250,12 +275,8 @@ def _checked(bands: Bands):
             a_size, b_size = batch["a_n"].to_numpy(), batch["b_n"].to_numpy()
             keep = np.zeros(batch.num_rows, dtype=bool)
             for i in np.flatnonzero(100 * np.minimum(a_size, b_size) >= bands.percent * np.maximum(a_size, b_size)).tolist():
-                x, y = _unpacked(batch["a_members"][i].as_py()), _unpacked(batch["b_members"][i].as_py())
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common_ = int((y[at] == x).sum())
-                keep[i] = 100 * common_ >= bands.percent * int(a_size[i] + b_size[i] - common_)
+                sets = (batch[c][i].as_py() for c in ("a_members", "b_members"))
+                keep[i] = _similar(*sets, int(a_size[i]), int(b_size[i]), bands.percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return check
@@ -286,14 +307,6 @@ def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> D
     return common.written(joined.mapInArrow(_checked(bands), _PAIRS), f"{folder}-links")
 
 
-def _grouped(members: DataFrame, joined: DataFrame | None) -> DataFrame:
-    """(band, id, group) of the bands whose classes are not all joined yet, with their number."""
-    if joined is None:
-        return members
-    member = members.join(joined.select(F.col("node").alias("_node"), "component"), F.col("id") == F.col("_node"), "left")
-    return member.select("band", "id", F.coalesce("component", "id").alias("group"))
-
-
 def links(classes: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> DataFrame:
     """(a, b): links that join just those classes which chains of linked pairs join.
 
@@ -309,79 +322,42 @@ def links(classes: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> Dat
     met = dealt.join(copies, (F.col("band") == F.col("of_band")) & (F.col("_slice") == F.col("_copy")))
     members = common.written(met.select("band", "id", "first"), f"{folder}/members")
     found = _verified(members.select(F.col("first").alias("a"), F.col("id").alias("b")), sets, bands, f"{folder}/first")
-    members = members.select("band", "id")
-    for blocks in (False, True):
-        joined = components(found, "a", "b")
-        grouped = _grouped(members, joined)
-        apart = grouped.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("group").alias("low"), F.max("group").alias("high"))
-        apart = apart.filter("low < high").select(F.col("band").alias("of_band"), "size")
-        if blocks:
-            apart = apart.filter(F.col("size") > bands.small_band)
-        apart = common.written(apart, f"{folder}/apart{int(blocks)}")
-        if apart.isEmpty():
-            break
-        hot = hot_keys(apart, "of_band", "size", HOT)
-        dealt = slice_rows(grouped, "band", "id", hot)
-        copies = copy_to_slices(apart, "of_band", hot).withColumnRenamed("_slice", "_copy")
-        open_ = dealt.join(copies, (F.col("band") == F.col("of_band")) & (F.col("_slice") == F.col("_copy")))
-        open_ = common.written(open_.select("band", "id", "group", "size"), f"{folder}/members{int(blocks)}")
-        facts = _needed(sets.select("id", "n", "sketch"), open_.select("id"))
-        open_ = common.written(open_.join(facts, "id"), f"{folder}/open{int(blocks)}")
-        small = open_.filter(F.col("size") <= bands.small_band).select("band", "id", "group", "n", "sketch")
-        large = open_.filter(F.col("size") > bands.small_band)
-        if blocks:
-            cells = _blocks(large, bands)
-            pairs = _in_cells(cells, bands)
-        else:
-            pairs = _in_cells(small, bands).union(_with_pivots(large, bands, f"{folder}/pivots"))
-        found = common.written(found.union(_verified(pairs, sets, bands, f"{folder}/round{int(blocks)}")), f"{folder}/found{int(blocks)}")
-    return found
-
-
-def _in_cells(rows: DataFrame, bands: Bands) -> DataFrame:
-    ordered = rows.repartition("band").sortWithinPartitions("band")
-    return ordered.mapInArrow(_compared(bands), _PAIRS)
-
-
-def _blocks(large: DataFrame, bands: Bands) -> DataFrame:
-    """Large bands as cells of two blocks of classes each: any two classes meet in one."""
-    n = F.ceil(F.col("size") * 2 / F.lit(bands.small_band)).cast("int")
-    own = F.pmod(F.xxhash64("id"), n)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    cell = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
-    return large.withColumn("own", own).withColumn("other", other).select(cell.alias("band"), "id", "group", "n", "sketch")
-
-
-def _with_pivots(large: DataFrame, bands: Bands, folder: str) -> DataFrame:
-    """Classes of large bands with each of some pivots: the least class of each of `pivots` parts of the band."""
-    if large.isEmpty():
-        return large.sparkSession.createDataFrame([], _PAIRS)
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(bands.pivots))
-    least = large.groupBy("band", "size", part.alias("part")).agg(F.min("id").alias("pivot"))
-    facts = large.select(F.col("id").alias("_id"), "band", "group", "n", "sketch")
-    same = (F.col("pivot") == F.col("_id")) & (F.col("p.band") == F.col("f.band"))
-    pivots = least.alias("p").join(facts.alias("f"), same).select(
-        "p.band", "size", "pivot", *(F.col(f"f.{c}").alias(f"p_{c}") for c in ("group", "n", "sketch"))
-    )
-    pivots = common.written(pivots, folder)
-    listed = pivots.groupBy(F.col("band").alias("of_band"), "size").agg(F.collect_list(F.struct("pivot", "p_group", "p_n", "p_sketch")).alias("pivots"))
-    hot = hot_keys(listed, "of_band", "size", HOT)
-    dealt = slice_rows(large.drop("size"), "band", "id", hot)
-    copies = copy_to_slices(listed.drop("size"), "of_band", hot).withColumnRenamed("_slice", "_copy")
-    met = dealt.join(copies, (F.col("band") == F.col("of_band")) & (F.col("_slice") == F.col("_copy")))
-    flat = met.select("id", "group", "n", "sketch", F.explode("pivots").alias("p"))
-    low, high = F.least("n", "p.p_n"), F.greatest("n", "p.p_n")
-    wanted = flat.filter((F.col("group") != F.col("p.p_group")) & (100 * low >= bands.percent * high))
+    # classes by what joins them so far, in the bands that hold several such groups
+    grouped = _joined(members.select(F.col("band").alias("key"), "id"), components(found, "a", "b"))
+    grouped = common.written(grouped, f"{folder}/grouped")
+    apart = grouped.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("group").alias("low"), F.max("group").alias("high"))
+    apart = apart.filter("low < high").select(F.col("key").alias("of_key"), "size", F.ceil(F.col("size") * 2 / F.lit(bands.block)).alias("blocks"))
+    apart = common.written(apart, f"{folder}/apart")
+    if apart.isEmpty():
+        return found
+    open_ = _of_keys(grouped, apart, "size").drop("size")
+    open_ = common.written(open_, f"{folder}/open")
+    facts = _needed(sets.select("id", "n", "sketch"), open_.select("id"))
+    near = common.written(_forests(_cells(open_.join(facts, "id"), bands), bands, False), f"{folder}/near")
+    # clusters of what may be linked; its classes once each, whatever the number of bands they share
+    clusters = components(near, "a", "b").select(F.col("component").alias("key"), F.col("node").alias("id"))
+    groups = open_.select(F.col("id").alias("_id"), "group").distinct()
+    facts = _needed(sets.select("id", "n", "sketch", "members"), clusters.select("id"))
+    gathered = clusters.join(groups, F.col("id") == F.col("_id")).drop("_id").join(facts, "id")
+    gathered = common.written(gathered, f"{folder}/clusters")
+    room = F.greatest(F.count(F.lit(1)) * 2 / F.lit(bands.block), F.sum("n") * 12 / F.lit(bands.block_bytes))
+    sizes = gathered.groupBy(F.col("key").alias("of_key")).agg(F.count(F.lit(1)).alias("size"), F.ceil(room).alias("blocks"))
+    cells = _cells(_of_keys(gathered, sizes, "size").drop("size"), bands)
+    return common.written(found.union(_forests(cells, bands, True)), f"{folder}/links")
+
+
+def _joined(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """The members with `group`: the component of a class that has one, else itself."""
+    member = members.join(joined.select(F.col("node").alias("_node"), "component"), F.col("id") == F.col("_node"), "left")
+    return member.withColumn("group", F.coalesce("component", "id")).drop("_node", "component")
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = [np.frombuffer(b"".join(batch[c].to_pylist()), dtype=np.uint8).reshape(-1, bands.positions) for c in ("x", "y")]
-            yield batch.select(["a", "b"]).filter(pa.array((both[0] == both[1]).sum(axis=1) >= bands.agreeing))
 
-    pairs = wanted.select(
-        F.least("id", "p.pivot").alias("a"), F.greatest("id", "p.pivot").alias("b"), F.col("sketch").alias("x"), F.col("p.p_sketch").alias("y")
-    )
-    return pairs.mapInArrow(agree, _PAIRS)
+def _of_keys(rows: DataFrame, keys: DataFrame, size: str) -> DataFrame:
+    """The rows of some keys, with what is known of these (one row each, `size` rows in all); large ones in slices."""
+    hot = hot_keys(keys, "of_key", size, HOT)
+    dealt = slice_rows(rows, "key", "id", hot)
+    copies = copy_to_slices(keys, "of_key", hot).withColumnRenamed("_slice", "_copy")
+    return dealt.join(copies, (F.col("key") == F.col("of_key")) & (F.col("_slice") == F.col("_copy"))).drop("of_key", "_slice", "_copy")
 
 
 @contextmanager

@@ -66,8 +66,8 @@ def test_groups_of_the_tables(spark):
     assert found(docs) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
-@pytest.mark.parametrize("small_band", [256, 6])
-def test_chains_large_bands_and_odd_rows(spark, monkeypatch, small_band):
+@pytest.mark.parametrize("block", [1024, 8])
+def test_chains_large_bands_and_odd_rows(spark, monkeypatch, block):
     monkeypatch.setattr(superminhash, "HOT", 16)
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
@@ -84,7 +84,7 @@ def test_chains_large_bands_and_odd_rows(spark, monkeypatch, small_band):
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "one"), (None, "one"), (None, "nobody else says this"), (4, "another text of a repeated id")]
     rng.shuffle(rows)
     docs = spark.createDataFrame([(i, t, "c", "s") for i, t in rows], "doc_id long, text string, component_id string, members string")
-    assert found(docs, small_band=small_band, pivots=2) == brute(rows)
+    assert found(docs, block=block) == brute(rows)
 
 
 def test_empty_table(spark):
