@@ -14,6 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mention_pulse.operators.skew import copy_to_slices, hot_keys, slice_rows
 
 SLICE_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -23,6 +26,7 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _LETTERS = LOWER.astype(np.uint64) + np.uint64(1)
+_EXACT = np.arange(1, 257, dtype=np.uint64)
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 # ASCII letters and digits, and every byte of other scripts, belong to a plain word
@@ -81,7 +85,7 @@ def word_bounds(data: np.ndarray, starts: np.ndarray, apart: np.ndarray) -> tupl
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
-def fingerprints(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def fingerprints(data: np.ndarray, begin: np.ndarray, end: np.ndarray, letters: np.ndarray = _LETTERS) -> np.ndarray:
     """64-bit fingerprint of each data[begin:end], A-Z lower-cased."""
     if not len(begin):
         return np.zeros(0, np.uint64)
@@ -92,16 +96,21 @@ def fingerprints(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
             to = max(at + 1, int(np.searchsorted(end, begin[at] + 2 * SLICE_BYTES)))
             a, b = int(begin[at]), int(end[to - 1])
             part = fingerprints if b - a <= 4 * SLICE_BYTES else _fingerprints
-            out[at:to] = part(data[a:b], begin[at:to] - a, end[at:to] - a)
+            out[at:to] = part(data[a:b], begin[at:to] - a, end[at:to] - a, letters)
             at = to
         return out
-    return _fingerprints(data, begin, end)
+    return _fingerprints(data, begin, end, letters)
+
 
+def exact_fingerprints(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit fingerprint of each data[begin:end], byte by byte as it is."""
+    return fingerprints(data, begin, end, _EXACT)
 
-def _fingerprints(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+
+def _fingerprints(data: np.ndarray, begin: np.ndarray, end: np.ndarray, letters: np.ndarray) -> np.ndarray:
     bits = max(20, int(len(data)).bit_length())
     summed = np.zeros(len(data) + 1, np.uint64)
-    weighted = _LETTERS[data]
+    weighted = letters[data]
     weighted *= _powers(_BASE, bits)[: len(data)]
     np.cumsum(weighted, out=summed[1:])
     return mix((summed[end] - summed[begin]) * _powers(_INVERSE, bits)[begin])
@@ -144,6 +153,23 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def sliced_join(left: DataFrame, key: str, spread_by: str, right: DataFrame, right_key: str, hot_rows: int) -> DataFrame:
+    """Inner join on a key of which some values may be very frequent on the left; one row a key on the right."""
+    hot = hot_keys(left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
+    dealt = slice_rows(left, key, spread_by, hot)
+    copies = copy_to_slices(right, right_key, hot).withColumnRenamed("_slice", "_copy")
+    same = (F.col(key) == F.col(right_key)) & (F.col("_slice") == F.col("_copy"))
+    return dealt.join(copies, same).drop("_slice", "_copy", right_key)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share, below spark.checkpoint.dir."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

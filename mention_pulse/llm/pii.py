@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,10 @@ CONTEXT = "context"
 PATTERN_BLOCK = 1 << 20
 MIN_TOKEN = 5
 
-# fixed values: the four patterns of the contract
+# fixed values: the patterns of the contract
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# the contract's pattern for ip, begun only where digits begin: a later digit of a run ends as the first does
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -118,9 +121,14 @@ def _pair(first, second):
         )
 
 
-def _before(text: str, at: int) -> list[str]:
-    """The last two words before a place, the nearest last."""
-    return _TOKEN.findall(text[max(0, at - 200) : at])[-2:] if at and text[at - 1] in " \t\n\r\x0b\x0c" else []
+def _before(text: str, places: list[int]) -> Iterator[list[str]]:
+    """For each place the last two words before it, the nearest last; none if it is within a word."""
+    spans = [m.span() for m in _TOKEN.finditer(text)] if places else []
+    ends = [b for _, b in spans]
+    for at in places:
+        i = bisect_right(ends, at)
+        whole = at and text[at - 1] in " \t\n\r\x0b\x0c"
+        yield [text[a:b] for a, b in spans[max(0, i - 2) : i]] if whole else []
 
 
 def seeds(docs: DataFrame) -> DataFrame:
@@ -131,8 +139,8 @@ def seeds(docs: DataFrame) -> DataFrame:
             pattern, instance = [], []
             for text in batch["text"]:
                 t = text.as_py() or ""
-                for a, b, _ in base_spans(t):
-                    words = _before(t, a)
+                found = base_spans(t)
+                for (a, b, _), words in zip(found, _before(t, [a for a, _, _ in found])):
                     if words:
                         value = int(_word(t[a:b]))
                         for key in [_hash(words[-1]), *([_hash(*words)] if len(words) == 2 else [])]:
@@ -265,28 +273,29 @@ def _context_spans(part: pa.RecordBatch, known: common.Membership) -> dict[int,
     starts = common.text_bytes(part["text"])[1]
     out: dict[int, list[tuple[int, int]]] = {}
     word = np.unique(word)
+    characters = np.append(0, np.cumsum((data & 0xC0) != 0x80))
     for w in word[_maybe(data, begin[word], end[word])].tolist():
         row = int(text[w])
         raw = bytes(data[begin[w] : end[w]]).decode("utf-8", "replace")
         token = _token_at(raw)
         if _is_identifier(token):
-            lead = data[starts[row] : begin[w]]
-            at = int(((lead & 0xC0) != 0x80).sum()) + raw.index(token)
+            at = int(characters[begin[w]] - characters[starts[row]]) + raw.index(token)
             out.setdefault(row, []).append((at, at + len(token)))
     return out
 
 
-def find(docs: DataFrame, how: Bootstrap = Bootstrap()) -> DataFrame:
-    """The rows of docs with `spans`: array of (begin, end, kind), in order."""
+def find(docs: DataFrame, how: Bootstrap = Bootstrap(), spans: str = "spans") -> DataFrame:
+    """The rows of docs with `spans`: array of (begin, end, kind), in order; a column of that name is replaced."""
     spark = docs.sparkSession
     trusted = score(docs.select("text"), how)
-    shape = docs.select("*", F.lit(None).cast("array<struct<begin:long,end:long,kind:string>>").alias("spans")).schema
+    docs = docs.drop(spans)
+    shape = docs.select("*", F.lit(None).cast("array<struct<begin:long,end:long,kind:string>>").alias(spans)).schema
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches):
             found = [[dict(zip(("begin", "end", "kind"), s)) for s in base_spans(t.as_py() or "")] for t in part["text"]]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, kind)], names=[*part.schema.names, "spans"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, kind)], names=[*part.schema.names, spans])
 
     out = docs.mapInArrow(plain, shape)
     for block in _blocks(trusted.select("pattern")):
@@ -298,10 +307,14 @@ def _adds(sent, kind: pa.DataType):
     def adds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.Membership(sent.value)
         for part in common.slices(batches):
-            rows = part["spans"].to_pylist()
+            rows = part.column(part.num_columns - 1).to_pylist()
             for row, more in _context_spans(part, known).items():
+                # of the spans in order: where each begins, and the furthest end so far
+                begins = [s["begin"] for s in rows[row]]
+                reach = list(accumulate((s["end"] for s in rows[row]), max))
                 for a, b in more:
-                    if all(b <= s["begin"] or a >= s["end"] for s in rows[row]):
+                    i = bisect_left(begins, b)
+                    if not i or reach[i - 1] <= a:
                         rows[row].append({"begin": a, "end": b, "kind": CONTEXT})
                 order = [*KINDS, CONTEXT]
                 rows[row].sort(key=lambda s: (s["begin"], order.index(s["kind"])))
@@ -341,12 +354,12 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def mask(docs: DataFrame, how: Bootstrap = Bootstrap()) -> DataFrame:
-    """The rows with all found spans masked; null texts stay null."""
-    found = find(docs, how)
+    """The rows with all found spans masked; null texts stay null, other columns stay whatever their names."""
+    found = find(docs, how, common.free_name(docs, "spans"))
 
     def hide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches):
-            spans = part["spans"].to_pylist()
+            spans = part.column(part.num_columns - 1).to_pylist()
             texts = [
                 None if t is None else masked(t, [(s["begin"], s["end"], s["kind"]) for s in r]) if r else t
                 for t, r in zip(part["text"].to_pylist(), spans)

@@ -248,7 +248,7 @@ def _measure(part: pa.RecordBatch, known: References, rules: Rules) -> dict[str,
         "word_chars": histogram.sum(axis=1) - histogram[:, 3],
         "n_symbols": common.sums(_SYMBOL[data], starts),
         "n_dup_lines": np.array([_dup_lines(raw[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())], dtype=np.int64),
-        "n_repeat_words": _repeated(h, at),
+        "n_repeat_words": _repeated(common.exact_fingerprints(data, begin, end), at),
     }
     failed = (n_words < rules.min_total_words) | (100 * out["n_repeat_words"] > rules.max_repeat_percent * n_words)
     n_chars = histogram.sum(axis=1)

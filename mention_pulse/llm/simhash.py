@@ -4,8 +4,9 @@ Two fingerprints of 8 bytes that differ in at most 4 bits agree in at least 4 by
 lists are kept for every four positions together (70 of them) with the 4 bytes found there: what four
 single-byte lists would give when intersected, without reading lists that hold a 256th of the corpus.
 Two fingerprints that share m positions meet in as many lists as there are fours of m, so a pair is
-in some list exactly if its tally of shared bytes reaches 4; the tally is taken, and pairs that reach
-it are verified bit by bit.
+in some list exactly if its tally of shared bytes reaches 4: the list's key is the count filter, a pair
+that falls short of it never meets, and the tally taken of those that meet can turn none away. What
+meets is verified bit by bit.
 
 Exact copies share a fingerprint and are one entry. A list's entries are compared at growing distances
 in sorted order, and stop once they are all known to hang together. Links found in a task are reduced
@@ -38,6 +39,7 @@ MAX_BITS = 4
 LEAST_BYTES = 8 - MAX_BITS
 FOURS = list(combinations(range(8), LEAST_BYTES))
 MAX_LIST = 4096
+HOT = 4096
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -70,15 +72,17 @@ def _majority(h: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and `fp`, the fingerprint as a signed long."""
+    """doc_id, `fp`, the fingerprint as a signed long, and `content`, a hash of the text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches):
             fps = np.array([fingerprint((t.as_py() or "").encode("utf-8", "replace")) for t in part["text"]], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fps.view(np.int64)), part["content"]], names=["doc_id", "fp", "content"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(count, f"doc_id {kind}, fp long")
+    text = F.col("text").cast("string")
+    texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("content"))
+    return texts.mapInArrow(count, f"doc_id {kind}, fp long, content long")
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,16 +232,22 @@ def links(fps: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     return pairs.union(starred)
 
 
-def near_duplicates(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
-    """doc_id, `fingerprint` (16 hex digits) and `component_id`, one row for each of the input."""
+def _grouped(docs: DataFrame, max_list: int) -> DataFrame:
+    """doc_id, fp, content, `component` (a fingerprint of the group) and its `component_id`, one row for each of the input."""
     folder = common.shared_folder(docs.sparkSession, "simhash-fingerprints")
     prints = common.written(fingerprints(docs), folder)
     joined = components(links(prints, max_list))
     own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = own.join(joined, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
-    ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = linked.join(ids, "component").select(F.col("fp").alias("of_fp"), "component_id")
-    return prints.join(classes, F.col("fp") == F.col("of_fp")).select(
+    ids = linked.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("component_id"))
+    # a group of very many fingerprints, and a fingerprint of very many rows, are cut into slices
+    classes = common.sliced_join(linked.select("fp", "component"), "component", "fp", ids, "of", HOT)
+    return common.sliced_join(prints, "fp", "doc_id", classes.withColumnRenamed("fp", "of_fp"), "of_fp", HOT)
+
+
+def near_duplicates(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
+    """doc_id, `fingerprint` (16 hex digits) and `component_id`, one row for each of the input."""
+    return _grouped(docs.select("doc_id", "text"), max_list).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -245,10 +255,16 @@ def near_duplicates(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
 def keep_one(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """One document of each group, the one of the smallest doc_id, with all its columns.
 
-    Of rows that repeat this doc_id one is kept. Rows without a doc_id are all kept: none of them can
-    be named as another's copy.
+    Where this doc_id has several texts in the group, the one of the smallest fingerprint stays; texts
+    of one doc_id that are no near copies of each other are groups of their own, and stay both. Of rows that
+    repeat doc_id and text one is kept. Rows without a doc_id are all kept: none of them can be named as
+    another's copy.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), max_list)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    one = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    found = _grouped(docs.select("doc_id", "text"), max_list).filter("doc_id = component_id")
+    kept = found.groupBy("component").agg(F.min(F.struct("fp", "content", "doc_id")).alias("head"))
+    kept = kept.select(F.col("head.doc_id").alias("kept_id"), F.col("head.content").alias("kept_content")).distinct()
+    content = common.free_name(docs, "content")
+    named = docs.withColumn(content, F.xxhash64(F.col("text").cast("string")))
+    same = (named["doc_id"] == kept["kept_id"]) & (named[content] == kept["kept_content"])
+    one = named.join(kept, same, "left_semi").dropDuplicates(["doc_id", content]).drop(content)
     return one.union(docs.filter(F.col("doc_id").isNull()))

@@ -282,15 +282,6 @@ def _checked(bands: Bands):
     return check
 
 
-def _sliced(left: DataFrame, key: str, spread_by: str, right: DataFrame, right_key: str, hot_rows: int) -> DataFrame:
-    """Inner join on a key of which some values may be very frequent on the left; one row a key on the right."""
-    hot = hot_keys(left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
-    dealt = slice_rows(left, key, spread_by, hot)
-    copies = copy_to_slices(right, right_key, hot).withColumnRenamed("_slice", "_copy")
-    same = (F.col(key) == F.col(right_key)) & (F.col("_slice") == F.col("_copy"))
-    return dealt.join(copies, same).drop("_slice", "_copy", right_key)
-
-
 def _needed(sets: DataFrame, ids: DataFrame) -> DataFrame:
     """The sets of some classes: filtered where they lie if the ids are few, else by shuffle."""
     ids = ids.toDF("_needed").distinct()
@@ -303,7 +294,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, bands: Bands, folder: str) -> D
     pairs = common.written(pairs.filter("a != b").distinct(), f"{folder}-pairs")
     side = {s: _needed(sets.select("id", "n", "members"), pairs.select(s)).toDF(f"{s}_id", f"{s}_n", f"{s}_members") for s in "ab"}
     joined = pairs.join(side["b"], F.col("b") == F.col("b_id")).drop("b_id")
-    joined = _sliced(joined, "a", "b", side["a"], "a_id", HOT)
+    joined = common.sliced_join(joined, "a", "b", side["a"], "a_id", HOT)
     return common.written(joined.mapInArrow(_checked(bands), _PAIRS), f"{folder}-links")
 
 
@@ -395,7 +386,7 @@ def _near_duplicates(docs: DataFrame, bands: Bands) -> DataFrame:
     linked = classes.join(joined, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
     linked = common.written(linked.select("key", "class", "least", "copies", "component"), f"{folder}/linked")
     least = linked.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("component_id"))
-    named = _sliced(linked.select("key", "class", "copies", "component"), "component", "class", least, "of", HOT)
+    named = common.sliced_join(linked.select("key", "class", "copies", "component"), "component", "class", least, "of", HOT)
     # a class of very many copies is cut into slices of its rows
     hot = hot_keys(classes, "key", "copies", HOT)
     dealt = slice_rows(full.select("id", "doc_id", "n", "key"), "key", "id", hot)

@@ -13,7 +13,7 @@ A file is a row of chunks, each of whole documents:
 
 Documents are dealt by ranges of doc_id, sorted, encoded and written where they are; the files of the
 ranges follow each other. Defined results: a null or empty text has the end id only; a null doc_id comes
-first; repeated doc_ids follow each other, in no set order; an empty table gives no files and no rows.
+first; repeated doc_ids follow each other by text; an empty table gives no files and no rows.
 Other columns, whatever their names, are not looked at.
 """
 
@@ -304,7 +304,7 @@ def write_files(docs: DataFrame, folder: str, path: str, end_id: int = 0) -> lis
     dealt = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id")
+        .sortWithinPartitions("doc_id", "text")
     )
     files = sorted((r["name"], r["n"]) for r in dealt.mapInArrow(write, "name string, n long").collect())  # one row a file
     placed, before = [], 0

@@ -37,6 +37,7 @@ TEXTS = [
     "Grüße  aus\tKöln ▁ 日本語 😀 \x1c end",
     "line one is here\nline one is here\n\n#tag $5 <b> & more",
     " lead and trail  ",
+    "the same ten words in another case are no repeat THE SAME TEN WORDS IN ANOTHER CASE ARE NO REPEAT",
     "<|endoftext|> stays text",
     "word " * 30000,
     "x" * 50000,
@@ -62,9 +63,8 @@ def words(text):
 def brute_counts(text):
     text = text or ""
     own = re.findall(r"[^\x20\x09-\x0D]+", text)
-    lower = [w.encode().lower() for w in own]
-    windows = Counter(tuple(lower[i : i + 8]) for i in range(len(lower) - 7))
-    marked = {j for i in range(len(lower) - 7) if windows[tuple(lower[i : i + 8])] > 1 for j in range(i, i + 8)}
+    windows = Counter(tuple(own[i : i + 8]) for i in range(len(own) - 7))
+    marked = {j for i in range(len(own) - 7) if windows[tuple(own[i : i + 8])] > 1 for j in range(i, i + 8)}
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     return (
         len(own), sum(map(len, own)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(marked)
@@ -291,6 +291,33 @@ def test_contexts_discover_identifiers(spark):
 
 
 # ---- chat ------------------------------------------------------------------------------------
+def test_personal_data_of_odd_rows(spark):
+    digits = "7" * 1_000_000
+    assert [s for s in pii.base_spans(f"{digits} 1.2.3.4.5.6.7.8 01.2.3.256") if s[2] == "ip"] == [
+        (1000001, 1000008, "ip"), (1000009, 1000016, "ip")
+    ]
+    long = "w" * 5000  # a word before seeds, longer than any window
+    texts = [digits, None, "", *[f"{long} user{i}@mail.org and {long} hidden-{i}" for i in range(8)], "tel +49 (30) 1234567"]
+    rows = [(i, t, f"own {i}", [i]) for i, t in enumerate(texts)] + [(3, texts[3], "own 3", [3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, kind array<int>")
+    got = pii.mask(docs).collect()
+    assert len(got) == len(rows) and {r["doc_id"]: r["spans"] for r in got} == {r[0]: r[2] for r in rows}
+    by_id = {r["doc_id"]: r["text"] for r in got}
+    assert by_id[0] == digits and by_id[1] is None and by_id[2] == ""
+    # a pattern counted through the long word: its other places are found
+    assert by_id[3] == f"{long} [email] and {long} [context]" and by_id[11] == "tel [phone]"
+    assert pii.mask(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    text = "some words that make up a text of their own and go on for a while so that copies are near"
+    other = "entirely different content under the very same number with no word in common at all here"
+    rows = [(4, text, "a"), (7, text, "b"), (4, other, "c"), (4, text, "a"), (9, other, "d"), (None, text, "e"), (2, "alone here", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, content string")
+    got = sorted(map(tuple, simhash.keep_one(docs).collect()), key=repr)
+    assert got == sorted([(4, text, "a"), (4, other, "c"), (None, text, "e"), (2, "alone here", "f")], key=repr)
+
+
 def test_chat_reads_back(spark):
     texts = ["\\### Assistant: </turn> ok", "", "### x </turn>\n\\", "plain: text", "#### ### </turn></turn>", "é" * 3000]
     rows = [(c, t, r, texts[(c + t) % 6]) for c in (-7, 0, 1) for t, r in enumerate(["system", "user", "assistant", "user", "assistant"])]
