@@ -20,6 +20,7 @@ from mention_pulse.functions.keys import (
 )
 from mention_pulse.schemas import COUNTERS
 
+ROLLUP_KEYS = ["DetailLevel", "TICKER", "TickerDetail"]
 SENTIMENT, CREATED, POST_ID = "tweet_text_sentiment", "tweet_meta_created_at", "tweet_id"
 
 
@@ -57,20 +58,36 @@ def hour_partials(mentions: DataFrame) -> DataFrame:
     )
 
 
+def stored_rollup(hours: DataFrame) -> DataFrame:
+    """The four levels per ticker with FIRST, the earliest time key as a number, for `merge_stored`."""
+    return _levels_of_hours(hours).select("*", unpack_time_key("FIRST").alias("TIMESTAMP"))
+
+
 def rollup_from_hours(hours: DataFrame, run_id: str | None = None) -> DataFrame:
     """The four levels per ticker, in one pass over the hour partials."""
+    levels = _levels_of_hours(hours).withColumn("TIMESTAMP", unpack_time_key("FIRST"))
+    return _with_run(levels.select(*ROLLUP_KEYS, "TIMESTAMP", *COUNTERS), run_id)
+
+
+def merge_stored(rows: DataFrame, run_id: str | None = None) -> DataFrame:
+    """Stored roll-ups of several runs as one: sums and the earliest key, hash-aggregated throughout."""
+    out = rows.groupBy(*ROLLUP_KEYS).agg(F.min("FIRST").alias("FIRST"), *_summed())
+    out = out.withColumn("TIMESTAMP", unpack_time_key("FIRST"))
+    return _with_run(out.select(*ROLLUP_KEYS, "TIMESTAMP", *COUNTERS, "FIRST"), run_id)
+
+
+def _levels_of_hours(hours: DataFrame) -> DataFrame:
     sets = [["ticker", *parts] for parts in LEVELS.values()]
     grouped = hours.groupingSets(sets, "ticker", *PARTS).agg(
-        _level_name().alias("LEVEL"), F.min("_first").alias("_first"), *_summed()
+        _level_name().alias("LEVEL"), F.min("_first").cast("decimal(38,0)").alias("FIRST"), *_summed()
     )
-    out = grouped.select(
+    return grouped.select(
         detail_level(PARTS).alias("DetailLevel"),
         F.col("ticker").alias("TICKER"),
         ticker_detail("ticker", F.col("LEVEL")).alias("TickerDetail"),
-        unpack_time_key("_first").alias("TIMESTAMP"),
         *COUNTERS,
+        "FIRST",
     )
-    return _with_run(out, run_id)
 
 
 def ticker_rollup(mentions: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -137,12 +154,20 @@ def merge_metrics(current: DataFrame, history: DataFrame, run_id: str) -> DataFr
     return out.select(*keys[:2], *COUNTERS, "RUN_ID")
 
 
+def merge_metrics_of(rows: DataFrame) -> DataFrame:
+    """Level metrics of several runs as one: sums of the counters."""
+    return rows.groupBy("DetailLevel", "LEVEL").agg(*_summed()).select("DetailLevel", "LEVEL", *COUNTERS)
+
+
 def replace_days(rollup: DataFrame, fresh: DataFrame, days: Sequence[str]) -> DataFrame:
     """Rebuild a ticker roll-up after some days (yyyy-MM-dd) were landed again.
 
     Hour rows of those days come from `fresh`, all others from `rollup`; the coarser levels are
-    summed up anew from the hours, so nothing is counted twice.
+    summed up anew from the hours, so nothing is counted twice. Where both sides have FIRST, the time
+    key as a number, its minimum is taken and kept, and no text is compared.
     """
+    packed = "FIRST" in rollup.columns and "FIRST" in fresh.columns
+    first = "FIRST" if packed else "TIMESTAMP"
     hourly = F.col("TickerDetail").endswith("_HOURLY")
     day = F.substring("DetailLevel", 1, 10)
     kept = rollup.filter(hourly & ~day.isin(list(days)))
@@ -152,14 +177,17 @@ def replace_days(rollup: DataFrame, fresh: DataFrame, days: Sequence[str]) -> Da
     hours = hours.withColumns({name: F.get(part, F.lit(i)) for i, name in enumerate(PARTS)})
     sets = [["TICKER", *parts] for parts in LEVELS.values()]
     grouped = hours.groupingSets(sets, "TICKER", *PARTS).agg(
-        _level_name().alias("LEVEL"), F.min("TIMESTAMP").alias("TIMESTAMP"), *_summed()
+        _level_name().alias("LEVEL"), F.min(first).alias(first), *_summed()
     )
+    if packed:
+        grouped = grouped.withColumn("TIMESTAMP", unpack_time_key("FIRST"))
     return grouped.select(
         detail_level(PARTS).alias("DetailLevel"),
         "TICKER",
         ticker_detail("TICKER", F.col("LEVEL")).alias("TickerDetail"),
         "TIMESTAMP",
         *COUNTERS,
+        *(["FIRST"] if packed else []),
     )
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,12 +17,13 @@ from mention_pulse.functions.keys import PARTS
 from mention_pulse.operators import rollup, serve
 from mention_pulse.operators.spam import flag_spam, with_clean_text
 from mention_pulse.operators.tags import tag_mentions, top_tickers
-from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TABLE_KEYS, TICKER_ROLLUP
+from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TABLE_KEYS, TICKER_ROLLUP, TICKER_ROLLUP_KEPT
 from mention_pulse.session import configure
-from mention_pulse.sources import files, tables
+from mention_pulse.sources import batches, files, tables
 
-
-BATCH = "batch"
+BATCH, SPAM = batches.BATCH, "possible_spam"
+# partition columns of the clean mentions, below batch and attempt
+CLEAN_KEYS = [SPAM, *PARTS]
 
 
 def day_of() -> Column:
@@ -27,10 +31,10 @@ def day_of() -> Column:
     return F.concat_ws("-", *PARTS[:3])
 
 
-def part_of(clean: DataFrame) -> Column:
-    """yyyy-MM-dd/batch of a clean mention, from its partition columns; no batch counts as ''."""
-    batch = F.col(BATCH) if BATCH in clean.columns else F.lit("")
-    return F.concat_ws("/", day_of(), F.coalesce(batch, F.lit("")))
+def part_of(columns: Sequence[str]) -> Column:
+    """yyyy-MM-dd/batch/attempt of a clean mention, from its partition columns; what is absent counts as ''."""
+    named = [F.coalesce(F.col(c), F.lit("")) if c in columns else F.lit("") for c in (BATCH, batches.ATTEMPT)]
+    return F.concat_ws("/", day_of(), *named)
 
 
 # ---- land ----------------------------------------------------------------------------------
@@ -77,15 +81,41 @@ def clean_posts(
 
 
 def write_clean(mentions: DataFrame, base: str, batch: str) -> dict[str, int]:
-    """Clean and spam mentions side by side (see `split_paths`); gives the rows of each.
+    """Clean and spam mentions of a batch; gives the rows of each.
 
-    A batch written twice replaces itself.
+    A batch written again is replaced as a whole: readers see the rows of its last write only, be
+    they on the other side, in other hours, or none at all. Read it with `read_clean`.
     """
-    stamped = mentions.withColumn(BATCH, F.lit(batch))
-    spam = F.count_if(F.col("possible_spam"))
-    watched, seen = tables.counted(stamped, f"clean_{batch}", n_spam=spam)
-    tables.split_write(watched, base, keys=[*PARTS, BATCH], mode="overwrite")
-    return seen.get
+    spam = F.count_if(F.col(SPAM))
+    watched, seen = tables.counted(mentions, f"clean_{batch}", n_spam=spam)
+    batches.write_batch(watched, base, batch, CLEAN_KEYS)
+    try:
+        return seen.get
+    except Py4JJavaError:  # an empty frame is planned away, with what was to be counted
+        if not mentions.isEmpty():
+            raise
+        return {"n_rows": 0, "n_spam": 0}
+
+
+def read_clean(spark: SparkSession, base: str, spam: bool = False, where: Column | None = None) -> DataFrame:
+    """Clean (or spam) mentions of all batches as they were written last.
+
+    `base` is where `write_clean` wrote, or a plain Parquet table of mentions by year, month, day
+    and hour. `where` holds for partition columns only, and prunes before files are listed.
+    """
+    if not batches.is_batched(spark, base):
+        return files.read_table(spark, base, where)
+    side = F.col(SPAM) == str(spam).lower()
+    return batches.read_batches(spark, base, side if where is None else side & where).drop(SPAM)
+
+
+def clean_parts(spark: SparkSession, base: str) -> DataFrame:
+    """(year, month, day, part) of all clean mentions there are, from the manifest where there is one."""
+    if batches.is_batched(spark, base):
+        found = batches.live_files(spark, base, CLEAN_KEYS).filter(F.col(SPAM) == "false")
+    else:
+        found = files.read_table(spark, base)
+    return found.select(*PARTS[:3], part_of(found.columns).alias("part")).distinct()
 
 
 # one row per post and ticker: TABLE_KEYS and the whole id, of which the time key holds ten digits
@@ -107,6 +137,10 @@ class Serving:
     def recent(self) -> str:
         return f"{self.base}/recent_posts"
 
+    @property
+    def replaced(self) -> str:
+        return f"{self.base}/recent_replaced"
+
     @property
     def metrics(self) -> str:
         return f"{self.base}/level_metrics"
@@ -119,16 +153,35 @@ class Serving:
         return f"{self.base}/runs"
 
 
-def new_parts(
-    spark: SparkSession, mentions: DataFrame, manifest: str, run_date: dt.date | None
-) -> list[str]:
+def _merged_parts(spark: SparkSession, manifest: str) -> DataFrame:
+    """Parts that make up the current state: those of a rebuilt day from its last rebuild on."""
+    runs = tables.read_manifest(spark, manifest)
+    rebuilt = _rebuilt_days(runs)
+    parts = runs.select("committed_at", F.explode("parts").alias("part"))
+    own = (F.substring("part", 1, 10) == F.col("rebuilt_day")) & (F.col("committed_at") < F.col("rebuilt_at"))
+    return parts.join(F.broadcast(rebuilt), own, "left_anti").select("part").distinct()
+
+
+def _rebuilt_days(runs: DataFrame) -> DataFrame:
+    """(rebuilt_day, rebuilt_at) of the last rebuild of each day: at most one row a calendar day."""
+    days = runs.select("committed_at", F.explode("rebuilt").alias("rebuilt_day"))
+    return days.groupBy("rebuilt_day").agg(F.max("committed_at").alias("rebuilt_at"))
+
+
+def new_parts(spark: SparkSession, clean_path: str, manifest: str, run_date: dt.date | None) -> list[str]:
     """Batches of closed days no committed run has merged yet, late ones of merged days included.
 
     The list is bounded by the batches landed since the last run, times their days.
     """
-    parts = files.closed_days(mentions, run_date).select(part_of(mentions).alias("part")).distinct()
-    merged = tables.read_manifest(spark, manifest).select(F.explode("parts").alias("part"))
-    return sorted(row["part"] for row in parts.join(merged, "part", "left_anti").collect())
+    parts = files.closed_days(clean_parts(spark, clean_path), run_date).select("part")
+    return sorted(row["part"] for row in parts.join(_merged_parts(spark, manifest), "part", "left_anti").collect())
+
+
+def stale_days(spark: SparkSession, clean_path: str, base: str) -> list[str]:
+    """Days of which a merged batch has been written again since, or taken away: to be rebuilt."""
+    merged = _merged_parts(spark, Serving(base).manifest)
+    gone = merged.join(clean_parts(spark, clean_path).select("part"), "part", "left_anti")
+    return sorted(row["day"] for row in gone.select(F.substring("part", 1, 10).alias("day")).distinct().collect())
 
 
 def refuse_committed(spark: SparkSession, manifest: str, run_id: str) -> None:
@@ -137,6 +190,41 @@ def refuse_committed(spark: SparkSession, manifest: str, run_id: str) -> None:
         raise ValueError(f"run {run_id} is committed already")
 
 
+def _mentions_of(spark: SparkSession, clean_path: str, parts: Sequence[str]) -> DataFrame:
+    """Clean mentions of some parts: a scan that lists just their days and batches."""
+    if not batches.is_batched(spark, clean_path):
+        clean = files.read_table(spark, clean_path)
+        return clean.filter(part_of(clean.columns).isin(list(parts)))
+    keys = [BATCH, batches.ATTEMPT, *PARTS]
+    return read_clean(spark, clean_path, where=part_of(keys).isin(list(parts)))
+
+
+def _write_rollup(rows: DataFrame, out: Serving, run_id: str) -> None:
+    """Roll-up rows of a run, by level for leaderboards and by ticker for trends."""
+    tables.write_snapshot(rows, out.rollup, run_id, order=TABLE_KEYS["ticker_rollup"])
+    written = tables.read_snapshot(rows.sparkSession, out.rollup, run_id, TICKER_ROLLUP_KEPT)
+    tables.write_index(written.drop(tables.RUN), out.index(run_id))
+
+
+def _write_recent(mentions: DataFrame, out: Serving, run_id: str, n_keys: int, rebuilt: Sequence[str] = ()) -> tuple[str | None, str | None]:
+    """Recent posts of a run, and the keys of earlier runs' posts that it replaces; gives the bounds of its keys."""
+    spark = mentions.sparkSession
+    recent = serve.recent_table(mentions, n_keys)
+    # delivered twice within the run: one of them, the same whenever the run is repeated
+    order = Window.partitionBy(*RECENT_KEYS).orderBy(F.xxhash64(*recent.columns))
+    once = recent.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
+    tables.write_snapshot(tables.recency_layout(once), out.recent, run_id)
+    mine = tables.read_snapshot(spark, out.recent, run_id, RECENT_POSTS)
+    first, last = mine.agg(F.min("TIMESTAMP"), F.max("TIMESTAMP")).first()
+    if first is not None:
+        earlier = _live_recent(spark, out, bounds=(first, last))
+        again = earlier.select(*RECENT_KEYS).join(mine.select(*RECENT_KEYS), RECENT_KEYS, "left_semi")
+        if rebuilt:
+            again = again.filter(~F.substring("TIMESTAMP", 1, 10).isin(list(rebuilt)))
+        tables.write_snapshot(again, out.replaced, run_id)
+    return first, last
+
+
 def aggregate(
     spark: SparkSession,
     clean_path: str,
@@ -147,38 +235,52 @@ def aggregate(
 ) -> bool:
     """Merge the new batches of closed days into the serving tables; False if there are none.
 
-    A post that lands late for a merged day comes in a batch of its own, and so joins its day. All
-    tables are written under the new run id first; the manifest row, which names the run and what
-    it merged, comes last. A run that fails before has no effect, and running it again replaces
-    what it left.
+    A run writes what its own batches add, at all levels, and nothing of history: readers sum up the
+    runs since the last whole one (see `compact`). A post that lands late for a merged day comes in a
+    batch of its own, and so joins its day. A merged batch that was written again makes its days stale:
+    they are rebuilt first, as run `<run_id>.rebuild`. All tables are written under the new run id first; the
+    manifest row, which names the run and what it merged, comes last. A run that fails before has no
+    effect, and running it again replaces what it left.
     """
     configure(spark)
     out = Serving(base)
-    clean = files.read_table(spark, clean_path)
-    parts = new_parts(spark, clean, out.manifest, run_date)
+    stale = stale_days(spark, clean_path, base)
+    if stale:
+        rebuild_days(spark, clean_path, base, f"{run_id}.rebuild", stale, n_keys)
+    parts = new_parts(spark, clean_path, out.manifest, run_date)
     if not parts:
-        return False
+        return bool(stale)
     refuse_committed(spark, out.manifest, run_id)
-    # text on partition columns only: the scan lists just these days and batches
-    mentions = clean.filter(part_of(clean).isin(parts))
-    previous = tables.current_run(spark, out.manifest)
+    mentions = _mentions_of(spark, clean_path, parts)
+    chain = tables.current_chain(spark, out.manifest)
 
     hours = rollup.hour_partials(mentions).persist()
     try:
-        old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
-        merged = rollup.merge_rollup(rollup.rollup_from_hours(hours), old, run_id)
-        tables.write_snapshot(merged, out.rollup, run_id, order=TABLE_KEYS["ticker_rollup"])
-        old = tables.read_snapshot(spark, out.metrics, previous, LEVEL_METRICS)
-        merged = rollup.merge_metrics(rollup.metrics_from_hours(hours), old, run_id)
-        tables.write_snapshot(merged, out.metrics, run_id)
+        _write_rollup(rollup.stored_rollup(hours), out, run_id)
+        tables.write_snapshot(rollup.metrics_from_hours(hours), out.metrics, run_id)
     finally:
         hours.unpersist()
-    # a run adds its own recent posts; readers take all runs together, the last write of a key winning
-    recent = tables.recency_layout(serve.recent_table(mentions, n_keys))
-    tables.write_snapshot(recent, out.recent, run_id)
-    merged = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
-    tables.write_index(merged.drop(tables.RUN), out.index(run_id))
-    tables.commit_run(spark, out.manifest, run_id, parts)
+    bounds = _write_recent(mentions, out, run_id, n_keys)
+    tables.commit_run(spark, out.manifest, run_id, parts, chain=[*chain, run_id], bounds=bounds)
+    return True
+
+
+def compact(spark: SparkSession, base: str, run_id: str, longest: int = 16) -> bool:
+    """Make one run of the chain that readers sum up, once it has more than `longest` runs; False before.
+
+    Recent posts are not touched. Runs that the new one stands for stay where they are.
+    """
+    configure(spark)
+    out = Serving(base)
+    chain = tables.current_chain(spark, out.manifest)
+    if len(chain) <= longest:
+        return False
+    refuse_committed(spark, out.manifest, run_id)
+    rows = tables.read_snapshots(spark, out.rollup, chain, TICKER_ROLLUP_KEPT)
+    _write_rollup(rollup.merge_stored(rows), out, run_id)
+    metrics = tables.read_snapshots(spark, out.metrics, chain, LEVEL_METRICS)
+    tables.write_snapshot(rollup.merge_metrics_of(metrics), out.metrics, run_id)
+    tables.commit_run(spark, out.manifest, run_id)
     return True
 
 
@@ -188,55 +290,155 @@ def rebuild_days(
     """Redo some days whose posts were landed again, merged before or not, as a new run.
 
     The run owns what the days hold now, so no later run merges it again; batches that land for
-    them afterwards are merged as usual. Recent posts of the days are written anew and replace
-    those of earlier runs by key.
+    them afterwards are merged as usual. Recent posts of the days are written anew, and those of
+    earlier runs are void: posts that the days no longer hold are served no more.
     """
     configure(spark)
     out = Serving(base)
     refuse_committed(spark, out.manifest, run_id)
-    previous = tables.current_run(spark, out.manifest)
-    clean = files.read_table(spark, clean_path)
-    mentions = clean.filter(day_of().isin(days))
-    parts = sorted(row["part"] for row in mentions.select(part_of(clean).alias("part")).distinct().collect())
+    chain = tables.current_chain(spark, out.manifest)
     # exactly what is committed is read, should more batches land meanwhile
-    mentions = clean.filter(part_of(clean).isin(parts))
-    fresh = rollup.ticker_rollup(mentions)
-    old = tables.read_snapshot(spark, out.rollup, previous, TICKER_ROLLUP)
-    redone = rollup.replace_days(old, fresh, days)
-    tables.write_snapshot(redone, out.rollup, run_id, order=TABLE_KEYS["ticker_rollup"])
+    held = clean_parts(spark, clean_path).filter(F.substring("part", 1, 10).isin(list(days)))
+    parts = sorted(row["part"] for row in held.select("part").collect())
+    mentions = _mentions_of(spark, clean_path, parts)
+    fresh = rollup.stored_rollup(rollup.hour_partials(mentions))
+    old = rollup.merge_stored(tables.read_snapshots(spark, out.rollup, chain, TICKER_ROLLUP_KEPT))
+    _write_rollup(rollup.replace_days(old, fresh, days), out, run_id)
     rebuilt = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
     tables.write_snapshot(rollup.metrics_of_rollup(rebuilt), out.metrics, run_id)
-    recent = tables.recency_layout(serve.recent_table(mentions, n_keys))
-    tables.write_snapshot(recent, out.recent, run_id)
-    tables.write_index(rebuilt.drop(tables.RUN), out.index(run_id))
-    tables.commit_run(spark, out.manifest, run_id, parts)
+    bounds = _write_recent(mentions, out, run_id, n_keys, days)
+    tables.commit_run(spark, out.manifest, run_id, parts, rebuilt=days, bounds=bounds)
 
 
 # ---- serving reads -------------------------------------------------------------------------
+def _summed_up(rows: DataFrame, chain: Sequence[str]) -> DataFrame:
+    """Roll-up rows of a chain of runs as those of its last: one run as it lies, several merged by key.
+
+    Filters on the keys reach the scan of each run either way.
+    """
+    if len(chain) == 1:
+        return rows.drop("FIRST").withColumn(tables.RUN, F.lit(chain[-1]))
+    return rollup.merge_stored(rows).drop("FIRST").withColumn(tables.RUN, F.lit(chain[-1]))
+
+
 def read_rollup(spark: SparkSession, base: str) -> DataFrame:
-    """Ticker roll-up of the current run, clustered by DetailLevel: for `at_level`, `leaderboard`."""
+    """Ticker roll-up as of the current run, clustered by DetailLevel: for `at_level`, `leaderboard`."""
     out = Serving(base)
-    return tables.read_snapshot(spark, out.rollup, tables.current_run(spark, out.manifest), TICKER_ROLLUP)
+    chain = tables.current_chain(spark, out.manifest)
+    if not chain:
+        return spark.createDataFrame([], TICKER_ROLLUP)
+    rows = tables.read_snapshots(spark, out.rollup, chain, TICKER_ROLLUP_KEPT)
+    return _summed_up(rows, chain).select(*TICKER_ROLLUP.fieldNames())
 
 
 def read_index(spark: SparkSession, base: str) -> DataFrame:
     """The same clustered by TickerDetail and time: for `trend`, `latest_periods`, `compare`."""
     out = Serving(base)
-    run = tables.current_run(spark, out.manifest)
-    if run is None:
+    chain = tables.current_chain(spark, out.manifest)
+    columns = [f for f in TICKER_ROLLUP_KEPT.fields if f.name != tables.RUN]
+    if not chain:
         return spark.createDataFrame([], TICKER_ROLLUP).drop(tables.RUN)
-    columns = [f for f in TICKER_ROLLUP.fields if f.name != tables.RUN]
-    return tables.read_index(spark, out.index(run), T.StructType(columns))
+    rows = spark.read.schema(T.StructType(columns)).parquet(*(out.index(run) for run in chain))
+    return _summed_up(rows, chain).select(*TICKER_ROLLUP.fieldNames()[:-1])
 
 
 def read_metrics(spark: SparkSession, base: str) -> DataFrame:
-    """Level metrics of the current run, with the counters of the previous periods."""
+    """Level metrics as of the current run, with the counters of the previous periods."""
     out = Serving(base)
-    run = tables.current_run(spark, out.manifest)
-    return rollup.with_previous(tables.read_snapshot(spark, out.metrics, run, LEVEL_METRICS))
+    chain = tables.current_chain(spark, out.manifest)
+    rows = tables.read_snapshots(spark, out.metrics, chain, LEVEL_METRICS)
+    if len(chain) > 1:
+        rows = rollup.merge_metrics_of(rows).withColumn(tables.RUN, F.lit(chain[-1]))
+    return rollup.with_previous(rows)
+
+
+def _live_recent(
+    spark: SparkSession, out: Serving, run_ids: Sequence[str] | None = None, bounds: tuple[str, str] | None = None
+) -> DataFrame:
+    """Recent posts that stand, of all committed runs or of some, RUN_ID being the run that wrote each.
+
+    Void are those of days rebuilt since, and those whose key a later run wrote again. Both are known
+    by small tables, so posts themselves are only filtered: nothing sorts or shuffles them.
+    """
+    runs = tables.read_manifest(spark, out.manifest)
+    stamps = runs.select(F.col("run_id").alias(tables.RUN), "committed_at")
+    if runs.isEmpty():
+        return spark.createDataFrame([], RECENT_POSTS)
+    rows = spark.read.schema(RECENT_POSTS).parquet(out.recent)
+    if run_ids is not None:
+        rows = rows.filter(F.col(tables.RUN).isin(list(run_ids)))
+    if bounds is not None:
+        rows = rows.filter(F.col("TIMESTAMP").between(*bounds))
+    rows = rows.join(F.broadcast(stamps), tables.RUN)  # one row a run
+    own = (F.substring("TIMESTAMP", 1, 10) == F.col("rebuilt_day")) & (F.col("committed_at") < F.col("rebuilt_at"))
+    rows = rows.join(F.broadcast(_rebuilt_days(runs)), own, "left_anti")
+    again = _replaced_keys(spark, out, stamps, bounds)
+    if again is not None:
+        same = [F.col(k) == F.col(f"_{k}") for k in RECENT_KEYS]
+        rows = rows.join(again, [*same, F.col("committed_at") < F.col("replaced_at")], "left_anti")
+    return rows.select(*RECENT_POSTS.fieldNames())
+
+
+def _replaced_keys(spark: SparkSession, out: Serving, stamps: DataFrame, bounds: tuple[str, str] | None) -> DataFrame | None:
+    """Keys written again, with the time of the last write; None if there are none."""
+    columns = [f for f in RECENT_POSTS.fields if f.name in RECENT_KEYS or f.name == tables.RUN]
+    try:
+        found = spark.read.schema(T.StructType(columns)).parquet(out.replaced)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if bounds is not None:
+        found = found.filter(F.col("TIMESTAMP").between(*bounds))
+    # a key is replaced rarely, and each time from the run on that wrote it again
+    found = found.join(F.broadcast(stamps), tables.RUN)
+    named = found.select(*(F.col(k).alias(f"_{k}") for k in RECENT_KEYS), F.col("committed_at").alias("replaced_at"))
+    return named.groupBy(*(f"_{k}" for k in RECENT_KEYS)).agg(F.max("replaced_at").alias("replaced_at"))
 
 
 def read_recent(spark: SparkSession, base: str) -> DataFrame:
-    """Recent posts of all committed runs; a post delivered again is shown as it came last."""
+    """Recent posts of all committed runs as of the current one; a post delivered again is shown as it came last."""
+    out = Serving(base)
+    run = tables.current_run(spark, out.manifest)
+    return _live_recent(spark, out).withColumn(tables.RUN, F.lit(run)) if run else spark.createDataFrame([], RECENT_POSTS)
+
+
+def read_newest(
+    spark: SparkSession,
+    base: str,
+    n: int = 100,
+    start: str | None = None,
+    end: str | None = None,
+    ticker: str | None = None,
+) -> DataFrame:
+    """The n newest recent posts, as `serve.recent_posts` of `read_recent`, from as few runs as will do.
+
+    Runs are asked from the one with the newest post on, twice as many each time, for the keys of
+    their n newest posts; once n are found that are all newer than whatever the other runs hold, these are left
+    alone. Texts are read last, for the time span that the n posts cover.
+    """
     out = Serving(base)
-    return tables.read_runs(spark, out.recent, out.manifest, RECENT_POSTS, RECENT_KEYS)
+    runs = tables.read_manifest(spark, out.manifest).filter("last_key IS NOT NULL")
+    waiting = [(r["last_key"], r["run_id"]) for r in runs.select("last_key", "run_id").collect()]  # one row a run
+    waiting = sorted((w for w in waiting if start is None or w[0] >= start), reverse=True)
+    keys = [*RECENT_KEYS, tables.RUN]
+    best: list[tuple[str, ...]] = []
+    step = 1
+    while waiting and (len(best) < n or waiting[0][0] >= best[-1][RECENT_KEYS.index("TIMESTAMP")]):
+        asked, waiting, step = [run for _, run in waiting[:step]], waiting[step:], 2 * step
+        rows = serve.recent_posts(_live_recent(spark, out, asked).select(*keys), n, start, end, ticker)
+        best += [tuple(r[k] for k in keys) for r in rows.collect()]  # n rows at most
+        best = sorted(best, key=lambda r: _newness(dict(zip(keys, r))), reverse=True)[:n]
+    current = tables.current_run(spark, out.manifest)
+    if not best:
+        return spark.createDataFrame([], RECENT_POSTS)
+    times = [r[RECENT_KEYS.index("TIMESTAMP")] for r in best]
+    found = _live_recent(spark, out, sorted({r[-1] for r in best}), (min(times), max(times)))
+    chosen = spark.createDataFrame(best, T.StructType([RECENT_POSTS[k] for k in keys]))
+    return serve.recent_posts(found.join(F.broadcast(chosen), keys, "left_semi"), n, start, end, ticker).withColumn(
+        tables.RUN, F.lit(current)
+    )
+
+
+def _newness(row: dict[str, str]) -> tuple[str, str, str]:
+    return row["TIMESTAMP"], row["TICKER"], row["ID"]

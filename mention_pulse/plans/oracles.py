@@ -55,6 +55,8 @@ METRICS = f"{MENTIONS}, metrics AS ({_metrics('mentions')})"
 PREVIOUS = f"""{METRICS}, previous AS (SELECT *, {", ".join(
     f"coalesce(lead({c}) OVER (PARTITION BY LEVEL ORDER BY DetailLevel DESC), 0) AS D_{c}"
     for c in COUNTERS)} FROM metrics)"""
+# what the second write of a batch holds
+REWRITTEN = "hour <> '07' AND tweet_id % 4 > 0"
 RATIOS = ", ".join(f"{c} / NUM_MENTIONS AS {c}_R" for c in COUNTERS[1:])
 SEEN = "substr(TIMESTAMP, 1, 19) AS FIRST_SEEN"
 
@@ -254,6 +256,17 @@ def oracle_sql() -> dict[str, str]:
         "aggregate_late": f"WITH {ROLLUP} SELECT *, 'run3' AS RUN_ID FROM rollup_",
         "rebuild_days": f"WITH {ROLLUP} SELECT *, 'run3' AS RUN_ID FROM rollup_",
         "read_recent": f"WITH {RECENT} SELECT *, 'run3' AS RUN_ID FROM recent",
+        "newest_over_runs": f"""WITH {RECENT} SELECT *, 'run3' AS RUN_ID FROM recent
+            WHERE TIMESTAMP BETWEEN '{START}' AND '{END}' {NEWEST} LIMIT {TOP_RECENT}""",
+        "rewritten_batch": f"""WITH {MENTIONS} SELECT tweet_id, ticker, hour, tweet_id % 3 = 0 AS spam
+            FROM mentions WHERE {REWRITTEN}""",
+        "rebuilt_recent": f"""WITH {MENTIONS} SELECT CAST(tweet_id % 5 AS VARCHAR) AS PARTITION,
+            stamp AS TIMESTAMP, CAST(tweet_id AS VARCHAR) AS ID, ticker AS TICKER, sentiment AS SENTIMENT,
+            ticker AS TEXT, lower(ticker) AS CLEANTEXT, 'run2.rebuild' AS RUN_ID
+            FROM mentions WHERE {REWRITTEN} AND tweet_id % 3 <> 0""",
+        "rebuilt_rollup": f"""WITH {MENTIONS}, left_ AS (SELECT * FROM mentions WHERE {REWRITTEN}
+            AND tweet_id % 3 <> 0), rollup_ AS ({_rollup("left_")}) SELECT *, 'run2.rebuild' AS RUN_ID FROM rollup_""",
+        "compacted_rollup": f"WITH {ROLLUP} SELECT *, 'run4' AS RUN_ID FROM rollup_",
         "recent_posts": f"""WITH {RECENT} SELECT * FROM recent
             WHERE TIMESTAMP BETWEEN '{START}' AND '{END}' {NEWEST} LIMIT {TOP_RECENT}""",
         "recent_then_ticker": f"""WITH {RECENT}, top_ AS (

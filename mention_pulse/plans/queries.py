@@ -211,7 +211,7 @@ def _stored(spark: SparkSession, d: str) -> str:
     base = tables.fresh_folder(spark, "stored")
     mentions = _textless(adapters.mentions(spark, d)).withColumn("possible_spam", F.lit(False))
     jobs.write_clean(mentions, f"{base}/clean", "all")
-    jobs.aggregate(spark, tables.split_paths(f"{base}/clean")[0], base, "run1")
+    jobs.aggregate(spark, f"{base}/clean", base, "run1")
     return base
 
 
@@ -241,7 +241,7 @@ def split_tables(spark: SparkSession, d: str) -> DataFrame:
     base = tables.fresh_folder(spark, "split")
     mentions = _textless(adapters.mentions(spark, d)).withColumn("possible_spam", F.col("tweet_id") % 5 == 0)
     seen = jobs.write_clean(mentions, base, "all")
-    clean, spam_ = (files.read_table(spark, p) for p in tables.split_paths(base))
+    clean, spam_ = (jobs.read_clean(spark, base, spam) for spam in (False, True))
     both = clean.withColumn("side", F.lit("clean")).unionByName(spam_.withColumn("side", F.lit("spam")))
     counted = F.when(F.col("side") == "spam", seen["n_spam"]).otherwise(seen["n_rows"] - seen["n_spam"])
     sides = both.groupBy("side").agg(F.count(F.lit(1)).alias("n"))
@@ -317,13 +317,13 @@ def _served(spark: SparkSession, d: str, rebuild: bool) -> str:
     """
     base = tables.fresh_folder(spark, "served")
     mentions = adapters.mentions(spark, d, with_text=True).withColumn("possible_spam", F.lit(False))
-    clean = tables.split_paths(f"{base}/clean")[0]
+    clean = f"{base}/clean"
     late = F.col("tweet_id") % 3 == 0
     jobs.write_clean(mentions.filter(~late), f"{base}/clean", "first")
     jobs.aggregate(spark, clean, base, "run1", MID_MONTH)
     jobs.write_clean(mentions.filter(late), f"{base}/clean", "late")
     if rebuild:
-        days = files.closed_days(files.read_table(spark, clean), MID_MONTH).select(jobs.day_of()).distinct()
+        days = files.closed_days(jobs.read_clean(spark, clean), MID_MONTH).select(jobs.day_of()).distinct()
         jobs.rebuild_days(spark, clean, base, "run2", [row[0] for row in days.collect()])
     # after a rebuild nothing is left of the earlier days; else their late posts join them
     jobs.aggregate(spark, clean, base, "run3", MID_MONTH + dt.timedelta(days=60))
@@ -345,6 +345,52 @@ def read_recent(spark: SparkSession, d: str) -> DataFrame:
     return jobs.read_recent(spark, _served(spark, d, rebuild=True))
 
 
+@_query
+def newest_over_runs(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.read_newest(spark, _served(spark, d, rebuild=True), TOP_RECENT, START, END)
+
+
+def _rewritten(spark: SparkSession, d: str) -> str:
+    """A batch written, merged and written again: hours and posts vanish, flags flip; gives the folder."""
+    base = tables.fresh_folder(spark, "rewritten")
+    mentions = adapters.mentions(spark, d)
+    mentions = mentions.withColumns({"tweet_text_text": F.col("ticker"), "tweet_text_clean": F.lower("ticker")})
+    flag = F.col("tweet_id") % 5 == 0
+    jobs.write_clean(mentions.withColumn("possible_spam", flag), f"{base}/clean", "all")
+    jobs.aggregate(spark, f"{base}/clean", base, "run1", MID_MONTH + dt.timedelta(days=60))
+    left = mentions.filter("hour <> '07'").filter(F.col("tweet_id") % 4 > 0)
+    jobs.write_clean(left.withColumn("possible_spam", F.col("tweet_id") % 3 == 0), f"{base}/clean", "all")
+    return base
+
+
+@_query
+def rewritten_batch(spark: SparkSession, d: str) -> DataFrame:
+    base = f"{_rewritten(spark, d)}/clean"
+    sides = [jobs.read_clean(spark, base, spam).withColumn("spam", F.lit(spam)) for spam in (False, True)]
+    return sides[0].unionByName(sides[1]).select("tweet_id", "ticker", "hour", "spam")
+
+
+@_query
+def rebuilt_recent(spark: SparkSession, d: str) -> DataFrame:
+    base = _rewritten(spark, d)
+    jobs.aggregate(spark, f"{base}/clean", base, "run2", MID_MONTH + dt.timedelta(days=60))
+    return jobs.read_recent(spark, base)
+
+
+@_query
+def rebuilt_rollup(spark: SparkSession, d: str) -> DataFrame:
+    base = _rewritten(spark, d)
+    jobs.aggregate(spark, f"{base}/clean", base, "run2", MID_MONTH + dt.timedelta(days=60))
+    return jobs.read_rollup(spark, base)
+
+
+@_query
+def compacted_rollup(spark: SparkSession, d: str) -> DataFrame:
+    base = _served(spark, d, rebuild=False)
+    jobs.compact(spark, base, "run4", longest=1)
+    return jobs.read_rollup(spark, base)
+
+
 @_query
 def class_counts(spark: SparkSession, d: str) -> DataFrame:
     return serve.class_counts(serve.in_range(_recent_keys(spark, d), START, END))

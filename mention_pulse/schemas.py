@@ -51,6 +51,11 @@ TICKER_ROLLUP = _struct(
     RUN_ID=_STR,
 )
 
+# As it is kept: FIRST is the earliest time key as a number, see functions.keys.packed_time_key.
+TICKER_ROLLUP_KEPT = T.StructType(
+    [*TICKER_ROLLUP.fields[:-1], T.StructField("FIRST", T.DecimalType(38, 0)), TICKER_ROLLUP.fields[-1]]
+)
+
 RECENT_POSTS = _struct(
     PARTITION=_STR,
     TIMESTAMP=_STR,

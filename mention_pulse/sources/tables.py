@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -20,6 +21,13 @@ MANIFEST = T.StructType(
         T.StructField("run_id", T.StringType()),
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("parts", T.ArrayType(T.StringType())),
+        # days whose rows this run holds alone: those of earlier runs are void
+        T.StructField("rebuilt", T.ArrayType(T.StringType())),
+        # runs whose snapshots add up to the state after this one, itself last; null: this one alone
+        T.StructField("chain", T.ArrayType(T.StringType())),
+        # bounds of the time keys of its recent posts
+        T.StructField("first_key", T.StringType()),
+        T.StructField("last_key", T.StringType()),
     ]
 )
 
@@ -81,9 +89,14 @@ def write_records(posts: DataFrame, path: str, record_id: str = "recordId") -> N
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path of its own under the shared folder of `spark.checkpoint.dir`, for one call.
 
-    Where none is set (one machine, as in trials) it lies under the local temporary folder.
+    Where none is set and Spark runs on one machine, as in trials, it lies under the local temporary
+    folder; on a cluster that folder is another one on every machine, so there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        base = f"file://{tempfile.gettempdir()}"
     return f"{base.rstrip('/')}/mention_pulse/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
@@ -109,15 +122,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 def write_snapshot(
     df: DataFrame, base: str, run_id: str, files: int | None = None, order: Sequence[str] = ()
 ) -> None:
-    """One run's rows under RUN_ID=<run>; writing the same run again replaces only that run.
+    """One run's rows under RUN_ID=<run>; writing the same run again replaces only that run, with no rows too.
 
     With `order` files hold ranges of these columns, so a look-up by the first reads few of them.
     """
-    out = df.withColumn(RUN, F.lit(run_id))
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"{run_id!r} is no name for a run: letters, digits, _, . and - only")
+    out = df.drop(RUN)
     out = out.repartitionByRange(*order).sortWithinPartitions(*order) if order else out
     out = out if files is None else out.coalesce(files)
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(RUN).option("compression", "snappy").parquet(base)
+    out.write.mode("overwrite").option("compression", "snappy").parquet(f"{base}/{RUN}={run_id}")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -130,11 +144,27 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST)
 
 
-def commit_run(spark: SparkSession, path: str, run_id: str, parts: Sequence[str] = ()) -> None:
+def commit_run(
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    parts: Sequence[str] = (),
+    rebuilt: Sequence[str] = (),
+    chain: Sequence[str] | None = None,
+    bounds: tuple[str | None, str | None] = (None, None),
+) -> None:
     """Make a run the current one. Call it after all of its tables are written."""
-    row = spark.createDataFrame([(run_id, list(parts))], "run_id string, parts array<string>")
-    row = row.select("run_id", F.current_timestamp().alias("committed_at"), "parts")
-    row.coalesce(1).write.mode("append").parquet(path)
+    row = (run_id, list(parts), list(rebuilt), list(chain or [run_id]), *bounds)
+    names = [f for f in MANIFEST.fields if f.name != "committed_at"]
+    frame = spark.createDataFrame([row], T.StructType(names))
+    frame = frame.withColumn("committed_at", F.current_timestamp()).select(*MANIFEST.fieldNames())
+    frame.coalesce(1).write.mode("append").parquet(path)
+
+
+def current_chain(spark: SparkSession, path: str) -> list[str]:
+    """Runs whose snapshots add up to the current state, the current run last; empty before the first."""
+    latest = read_manifest(spark, path).agg(F.max_by(F.struct("run_id", "chain"), "committed_at").alias("last")).first()["last"]
+    return [] if latest is None else latest["chain"] or [latest["run_id"]]
 
 
 def current_run(spark: SparkSession, path: str) -> str | None:
@@ -147,9 +177,14 @@ def read_snapshot(
     spark: SparkSession, base: str, run_id: str | None, schema: T.StructType
 ) -> DataFrame:
     """Rows of one run, by a pruned scan; no rows when there is no such run yet."""
-    if run_id is None:
+    return read_snapshots(spark, base, [] if run_id is None else [run_id], schema)
+
+
+def read_snapshots(spark: SparkSession, base: str, run_ids: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of some runs, by a pruned scan; no rows where there are no runs."""
+    if not run_ids:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(base).filter(F.col(RUN) == run_id)
+    return spark.read.schema(schema).parquet(base).filter(F.col(RUN).isin(list(run_ids)))
 
 
 def read_runs(

@@ -9,7 +9,7 @@ from mention_pulse.operators import rollup, serve, tags
 from mention_pulse.operators.sentiment import Lexicon, scorer_udf
 from mention_pulse.plans import jobs
 from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED
-from mention_pulse.sources import files, tables
+from mention_pulse.sources import batches, files, tables
 from mention_pulse.streaming import ingest
 
 LEXICON = Lexicon({2.0: ["good"], -2.0: ["bad"]})
@@ -114,9 +114,9 @@ def test_a_failed_batch_is_replaced_by_its_repeat(spark, tmp_path, dim):
     flagged = jobs.clean_posts(scored, spark.read.parquet(dim), 3)
     for _ in range(2):
         assert jobs.write_clean(flagged, str(tmp_path / "clean"), "b1") == {"n_rows": 5, "n_spam": 2}
-    clean, spam = tables.split_paths(str(tmp_path / "clean"))
-    assert rows(files.read_table(spark, clean), "tweet_id", "ticker") == [(1, "A"), (2, "B"), (7, "C")]
-    assert rows(files.read_table(spark, spam), "tweet_id", "ticker") == [(4, "A"), (5, "C")]
+    clean = str(tmp_path / "clean")
+    assert rows(jobs.read_clean(spark, clean), "tweet_id", "ticker") == [(1, "A"), (2, "B"), (7, "C")]
+    assert rows(jobs.read_clean(spark, clean, spam=True), "tweet_id", "ticker") == [(4, "A"), (5, "C")]
 
 
 @pytest.fixture
@@ -126,7 +126,7 @@ def pipeline(spark, tmp_path, dim):
         drop(tmp_path / "raw", name, posts)
         take_in(spark, tmp_path)
         ingest.clean_new(spark, str(tmp_path / "landed"), dim, str(tmp_path / "clean"), str(tmp_path / "ck2"), n_tickers=3)
-        return tables.split_paths(str(tmp_path / "clean"))[0]
+        return str(tmp_path / "clean")
 
     return step
 
@@ -141,7 +141,7 @@ def test_runs_merge_closed_days_once(spark, tmp_path, pipeline):
     assert not jobs.aggregate(spark, clean, base, "r1b", dt.date(2022, 10, 29))
     pipeline("b.json", SECOND)
     assert jobs.aggregate(spark, clean, base, "r2", dt.date(2022, 10, 31))
-    whole = files.closed_days(files.read_table(spark, clean), dt.date(2022, 10, 31))
+    whole = files.closed_days(jobs.read_clean(spark, clean), dt.date(2022, 10, 31))
     assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(whole, "r2"))
     want = rollup.with_previous(rollup.level_metrics(whole, "r2"))
     got = jobs.read_metrics(spark, base)
@@ -149,8 +149,7 @@ def test_runs_merge_closed_days_once(spark, tmp_path, pipeline):
     recent = jobs.read_recent(spark, base)
     assert rows(recent) == rows(serve.recent_table(whole, 5, "r2").select(*recent.columns))
     assert {r["ID"] for r in recent.collect()} == {"1", "2", "7", "8", "9"}
-    index = spark.read.parquet(jobs.Serving(base).index("r2"))
-    assert index.count() == jobs.read_rollup(spark, base).count()
+    assert rows(jobs.read_index(spark, base)) == rows(jobs.read_rollup(spark, base).drop("RUN_ID"))
 
 
 def test_late_posts_join_their_merged_day(spark, tmp_path, pipeline):
@@ -162,7 +161,7 @@ def test_late_posts_join_their_merged_day(spark, tmp_path, pipeline):
     jobs.rebuild_days(spark, clean, base, "r2", ["2022-10-28"])
     assert jobs.aggregate(spark, clean, base, "r3", dt.date(2022, 10, 30))
     assert not jobs.aggregate(spark, clean, base, "r4", dt.date(2022, 10, 30))
-    whole = files.read_table(spark, clean)
+    whole = jobs.read_clean(spark, clean)
     assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(whole, "r3"))
     metrics = rollup.with_previous(rollup.level_metrics(whole, "r3"))
     assert rows(jobs.read_metrics(spark, base).select(*metrics.columns)) == rows(metrics)
@@ -200,12 +199,12 @@ def test_a_run_that_never_committed_has_no_effect(spark, tmp_path, pipeline, mon
     base = str(tmp_path / "serving")
     clean = pipeline("a.json", FIRST)
     with monkeypatch.context() as broken:
-        broken.setattr(tables, "commit_run", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        broken.setattr(tables, "commit_run", lambda *_, **__: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             jobs.aggregate(spark, clean, base, "r1", dt.date(2022, 10, 30))
     assert files.is_empty(jobs.read_rollup(spark, base))
     assert jobs.aggregate(spark, clean, base, "r1", dt.date(2022, 10, 30))
-    assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(files.read_table(spark, clean), "r1"))
+    assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(jobs.read_clean(spark, clean), "r1"))
 
 
 def test_rebuild_of_a_day_landed_again(spark, tmp_path, pipeline):
@@ -214,14 +213,14 @@ def test_rebuild_of_a_day_landed_again(spark, tmp_path, pipeline):
     jobs.aggregate(spark, clean, base, "r1", dt.date(2022, 10, 30))
     pipeline("b.json", SECOND)  # adds a mention to a merged day
     jobs.rebuild_days(spark, clean, base, "r2", ["2022-10-29"])
-    merged = files.closed_days(files.read_table(spark, clean), dt.date(2022, 10, 30))
+    merged = files.closed_days(jobs.read_clean(spark, clean), dt.date(2022, 10, 30))
     assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(merged, "r2"))
     # the late post is served, and days that were rebuilt before any run merged them are not merged again
     served = rows(jobs.read_recent(spark, base), "ID", "TICKER")
     assert len(served) == len(set(served)) and {i for i, _ in served} >= {
         str(r["tweet_id"]) for r in merged.filter("day = '29'").select("tweet_id").collect()
     }
-    open_days = sorted({f"{r['year']}-{r['month']}-{r['day']}" for r in files.read_table(spark, clean).collect()})
+    open_days = sorted({f"{r['year']}-{r['month']}-{r['day']}" for r in jobs.read_clean(spark, clean).collect()})
     jobs.rebuild_days(spark, clean, base, "r3", open_days)
     before = rows(jobs.read_rollup(spark, base).drop("RUN_ID"))
     assert not jobs.aggregate(spark, clean, base, "r4", dt.date(2022, 12, 1))
@@ -234,3 +233,132 @@ def test_stage_counts_come_with_the_write(spark, tmp_path):
     df, seen = tables.counted(spark.range(10), "range", top=F.max("id"))
     tables.write_table(df, str(tmp_path / "o"))
     assert seen.get == {"n_rows": 10, "top": 9}
+
+
+def mention(i, ticker, hour, day="28", spam=False, text="some text"):
+    stamp = DAY0 + 86400 * (int(day) - 28) + 3600 * int(hour) + i
+    return (i, ticker, "POSITIVE", stamp, f"{text} {i}", text, spam, "2022", "10", day, hour)
+
+
+def clean_frame(spark, rows_):
+    names = "tweet_id long, ticker string, tweet_text_sentiment string, tweet_meta_created_at double, tweet_text_text string, tweet_text_clean string"
+    return spark.createDataFrame(rows_, names + ", possible_spam boolean, year string, month string, day string, hour string")
+
+
+def test_a_batch_written_again_is_replaced_as_a_whole(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "clean")
+    with pytest.raises(ValueError, match="no batch"):
+        batches.read_batches(spark, base)
+    first = [mention(1, "A", "01"), mention(2, "B", "01"), mention(3, "A", "02"), mention(4, "C", "03", spam=True)]
+    assert jobs.write_clean(clean_frame(spark, first), base, "b1") == {"n_rows": 4, "n_spam": 1}
+    jobs.write_clean(clean_frame(spark, [mention(9, "A", "01")]), base, "b2")
+    # 1 turns into spam, hour 02 vanishes, 4 is cleared
+    second = [mention(1, "A", "01", spam=True), mention(2, "B", "01"), mention(4, "C", "03")]
+    jobs.write_clean(clean_frame(spark, second), base, "b1")
+    assert rows(jobs.read_clean(spark, base), "tweet_id") == [(2,), (4,), (9,)]
+    assert rows(jobs.read_clean(spark, base, spam=True), "tweet_id") == [(1,)]
+    one_hour = jobs.read_clean(spark, base, where=F.col("hour") == "03")
+    assert rows(one_hour, "tweet_id", "batch", "hour") == [(4, "b1", "03")] and len(one_hour.inputFiles()) == 1
+    # an attempt that fails before its commit is not seen
+    with monkeypatch.context() as broken:
+        broken.setattr(batches, "_files", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            jobs.write_clean(clean_frame(spark, first), base, "b1")
+    assert rows(jobs.read_clean(spark, base), "tweet_id") == [(2,), (4,), (9,)]
+    # nothing is left of a batch whose second write is empty
+    assert jobs.write_clean(clean_frame(spark, []), base, "b1") == {"n_rows": 0, "n_spam": 0}
+    assert rows(jobs.read_clean(spark, base), "tweet_id") == [(9,)] and jobs.read_clean(spark, base, spam=True).isEmpty()
+    jobs.write_clean(clean_frame(spark, []), base, "b2")
+    assert jobs.read_clean(spark, base).isEmpty() and "ticker" in jobs.read_clean(spark, base).columns
+    jobs.write_clean(clean_frame(spark, first), base, "b2")
+    assert batches.vacuum(spark, base) == [] and len(batches.vacuum(spark, base, older_than_hours=-1)) >= 4
+    assert rows(jobs.read_clean(spark, base), "tweet_id") == [(1,), (2,), (3,)]
+    with pytest.raises(ValueError, match="name"):
+        jobs.write_clean(clean_frame(spark, first), base, "a/b")
+
+
+def test_posts_that_a_day_no_longer_holds_are_served_no_more(spark, tmp_path):
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    day = dt.date(2022, 11, 30)
+    jobs.write_clean(clean_frame(spark, [mention(1, "A", "01"), mention(2, "A", "02"), mention(5, "B", "01", "29")]), clean, "b1")
+    jobs.write_clean(clean_frame(spark, [mention(3, "A", "03")]), clean, "b2")
+    assert jobs.aggregate(spark, clean, base, "r1", day) and not jobs.aggregate(spark, clean, base, "r1b", day)
+    # the merged batch is cleaned again: one post is gone, one has moved; its days are rebuilt by themselves
+    jobs.write_clean(clean_frame(spark, [mention(1, "A", "01", text="other"), mention(5, "B", "04", "29")]), clean, "b1")
+    assert jobs.stale_days(spark, clean, base) == ["2022-10-28", "2022-10-29"]
+    assert jobs.aggregate(spark, clean, base, "r2", day)
+    now = jobs.read_clean(spark, clean)
+    assert rows(jobs.read_rollup(spark, base)) == rows(rollup.ticker_rollup(now, "r2.rebuild"))
+    recent = jobs.read_recent(spark, base)
+    assert rows(recent) == rows(serve.recent_table(now, 5, "r2.rebuild").select(*recent.columns))
+    assert rows(jobs.read_metrics(spark, base), "DetailLevel", "NUM_MENTIONS") == rows(rollup.level_metrics(now), "DetailLevel", "NUM_MENTIONS")
+    assert jobs.stale_days(spark, clean, base) == [] and not jobs.aggregate(spark, clean, base, "r3", day)
+    # late posts of a rebuilt day, then the whole batch taken away
+    jobs.write_clean(clean_frame(spark, [mention(7, "A", "05")]), clean, "b3")
+    assert jobs.aggregate(spark, clean, base, "r4", day)
+    jobs.write_clean(clean_frame(spark, []), clean, "b1")
+    assert jobs.aggregate(spark, clean, base, "r5", day)
+    now = jobs.read_clean(spark, clean)
+    assert rows(jobs.read_recent(spark, base), "ID") == [("3",), ("7",)] == rows(now.select(F.col("tweet_id").cast("string")))
+    assert rows(jobs.read_rollup(spark, base).drop("RUN_ID")) == rows(rollup.ticker_rollup(now))
+
+
+def written_bytes(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_a_run_writes_what_its_day_adds(spark, tmp_path):
+    base, clean = tmp_path / "serving", str(tmp_path / "clean")
+    grown = []
+    for i in range(4):
+        rows_ = [mention(100 * i + k, "ABC"[k % 3], f"{k % 24:02d}", f"{i + 21:02d}") for k in range(60)]
+        jobs.write_clean(clean_frame(spark, rows_), clean, f"b{i}")
+        before = written_bytes(base)
+        assert jobs.aggregate(spark, clean, str(base), f"r{i}", dt.date(2022, 11, 30))
+        grown.append(written_bytes(base) - before)
+    assert max(grown) < 1.1 * min(grown)
+    whole = rows(rollup.ticker_rollup(jobs.read_clean(spark, clean)))
+    assert rows(jobs.read_rollup(spark, str(base)).drop("RUN_ID")) == whole == rows(jobs.read_index(spark, str(base)))
+    metrics = jobs.read_metrics(spark, str(base)).drop("RUN_ID")
+    recent = rows(jobs.read_recent(spark, str(base)).drop("RUN_ID"))
+    assert not jobs.compact(spark, str(base), "c1", longest=4) and jobs.compact(spark, str(base), "c1", longest=3)
+    assert tables.current_chain(spark, jobs.Serving(str(base)).manifest) == ["c1"]
+    assert rows(jobs.read_rollup(spark, str(base)).drop("RUN_ID")) == whole == rows(jobs.read_index(spark, str(base)))
+    assert rows(jobs.read_metrics(spark, str(base)).drop("RUN_ID")) == rows(metrics)
+    assert rows(jobs.read_recent(spark, str(base)).drop("RUN_ID")) == recent
+    # the newest posts come from the newest runs, whatever their number
+    asked = []
+    live = jobs._live_recent
+
+    def watched(*args, **kwargs):
+        asked.append(args[2] if len(args) > 2 else None)
+        return live(*args, **kwargs)
+
+    jobs._live_recent = watched
+    try:
+        for n, kwargs in ((1, {}), (70, {}), (5, {"ticker": "b"}), (10, {"start": "2022-10-22 00:00:00", "end": "2022-10-23 12:00:00"}), (1000, {})):
+            asked.clear()
+            got = jobs.read_newest(spark, str(base), n, **kwargs)
+            want = serve.recent_posts(jobs.read_recent(spark, str(base)), n, **kwargs)
+            assert rows(got.select(*want.columns)) == rows(want), n
+            if n == 1:
+                assert [a for a in asked if a] == [["r3"], ["r3"]]
+    finally:
+        jobs._live_recent = live
+    assert jobs.read_newest(spark, str(base), 5, ticker="none").isEmpty()
+
+
+def test_a_repeated_run_leaves_nothing_of_its_first_try(spark, tmp_path, monkeypatch):
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    day = dt.date(2022, 11, 30)
+    jobs.write_clean(clean_frame(spark, [mention(1, "A", "01"), mention(2, "A", "02")]), clean, "b1")
+    jobs.aggregate(spark, clean, base, "r1", day)
+    jobs.write_clean(clean_frame(spark, [mention(1, "A", "01", text="again"), mention(3, "B", "01")]), clean, "b2")
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "commit_run", lambda *_, **__: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            jobs.aggregate(spark, clean, base, "r2", day)
+    assert rows(jobs.read_recent(spark, base), "ID", "TEXT") == [("1", "some text 1"), ("2", "some text 2")]
+    jobs.write_clean(clean_frame(spark, [mention(3, "B", "01")]), clean, "b2")  # the post is not delivered again after all
+    assert jobs.aggregate(spark, clean, base, "r2", day)
+    assert rows(jobs.read_recent(spark, base), "ID", "TEXT") == [("1", "some text 1"), ("2", "some text 2"), ("3", "some text 3")]
