@@ -36,6 +36,7 @@ from mention_pulse.llm import common
 
 BLOCK = 5000
 STRIDE = 8
+BAND = 64  # passages that are compared at once
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _SEED = 20240
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -178,15 +179,17 @@ def latent_terms(rows: DataFrame, terms: int, how: Search) -> np.ndarray:
     return basis @ vector[:, best]
 
 
-def common_subsequence(masks: dict[int, int], length: int, words: list[int]) -> int:
-    """Longest common subsequence with the text of `masks` (positions of each word as bits)."""
+def common_subsequence(masks: dict[int, int], length: int, words: list[int], least: float = 0.0) -> int:
+    """Longest common subsequence with the text of `masks` (positions of each word as bits); 0 where too few
+    words are shared for a share of `least`."""
+    shared = [m for m in map(masks.get, words) if m]
+    if len(shared) < least * length:
+        return 0
     full = (1 << length) - 1
     row = full
-    for w in words:
-        m = masks.get(w)
-        if m:
-            both = row & m
-            row = ((row + both) | (row - both)) & full
+    for m in shared:
+        both = row & m
+        row = ((row + both) | (row - both)) & full
     return length - row.bit_count()
 
 
@@ -205,7 +208,7 @@ class Index:
     items: list[Item]
     passages: list[tuple[int, np.ndarray]]
     vocabulary: np.ndarray
-    terms: np.ndarray  # latent vector of each word, weighted; the last is zero
+    terms: np.ndarray  # latent vector of each word, weighted
     latent: np.ndarray  # passages, of length 1
     length: np.ndarray  # of the passages in the latent space before that
     weight: np.ndarray  # inverse document frequency of each word
@@ -262,15 +265,17 @@ class Index:
         h, at = common.word_hashes(column, common.NOT_PLAIN)
         if not len(h):
             return []
-        rows = self.terms[self.known.index(h)]  # -1, the zero row, for words the benchmark has not
+        term = self.known.index(h)
+        known = np.flatnonzero(term >= 0)  # words that the benchmark has; others add nothing to a window
         lengths = np.diff(at)
         blocks = -(-lengths // STRIDE)
         first_block = np.append(0, np.cumsum(blocks))
         owner = np.repeat(np.arange(len(lengths)), blocks)
         begin = at[owner] + STRIDE * (np.arange(len(owner)) - first_block[owner])
-        sums = np.add.reduceat(rows, begin, axis=0)
+        sums = self._block_sums(term[known], np.searchsorted(begin, known, side="right") - 1, len(owner))
         vectors = sums.copy()
         runs = _runs(h, how.min_words)
+        words = (h[known], np.append(0, np.cumsum(term >= 0)))
         best: dict[tuple[int, int], dict] = {}
         for span in range(1, how.window // STRIDE + 1):
             if span > 1:
@@ -283,33 +288,70 @@ class Index:
             whole = (np.arange(len(owner)) + span <= first_block[owner + 1]) | (np.arange(len(owner)) == first_block[owner])
             windows = np.flatnonzero(whole)
             norm = np.sqrt((vectors[windows] ** 2).sum(axis=1))
-            near = vectors[windows] @ self.latent[own].T
-            candidate = near >= np.maximum(self.cosine[own] * norm[:, None], how.contained * self.length[own])
+            found = self._near(vectors, windows, norm, own)
             text, start, place = self._anchored(span, runs, at)
             block = first_block[text] + (start - at[text]) // STRIDE
             block = np.minimum(block, np.maximum(first_block[text], first_block[text + 1] - span))
-            candidate[np.searchsorted(windows, block), place] = True
-            hits = np.nonzero(candidate)
-            cosines = near[hits] / np.maximum(norm[hits[0]], 1e-9)
-            self._align(h, at, owner, begin, windows[hits[0]], own[hits[1]], cosines, span * STRIDE, best)
+            pairs = np.unique(np.append(found, np.searchsorted(windows, block) * len(own) + place))
+            window, place = pairs // len(own), pairs % len(own)
+            cosines = np.einsum("ij,ij->i", vectors[windows[window]], self.latent[own[place]]) / np.maximum(norm[window], 1e-9)
+            self._align(words, at, owner, begin, windows[window], own[place], cosines, span * STRIDE, best)
         return list(best.values())
 
-    def _align(self, h, at, owner, begin, blocks, passages, cosines, window: int, best: dict[tuple[int, int], dict]) -> None:
-        """Align candidates (first block and passage of each) and keep the best for each row and item."""
+    def _block_sums(self, term: np.ndarray, block: np.ndarray, blocks: int) -> np.ndarray:
+        """Sum of the latent vectors of the words of each block; the first words of all blocks, then the second, and so on."""
+        count = np.bincount(block, minlength=blocks)
+        most = np.argsort(-count, kind="stable")
+        first = (np.cumsum(count) - count)[most]
+        out = np.zeros((blocks, self.terms.shape[1]), dtype=self.terms.dtype)
+        for i, n in enumerate(np.searchsorted(-count[most], -np.arange(1, count.max(initial=0) + 1), side="right").tolist()):
+            out[:n] += self.terms.take(term[first[:n] + i], axis=0)
+        back = np.empty_like(most)
+        back[most] = np.arange(blocks)
+        return out.take(back, axis=0)
+
+    def _near(self, vectors: np.ndarray, windows: np.ndarray, norm: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Pairs of near windows and passages of a class, as place of the window x passages + place of the passage.
+
+        A window holds at most its own norm in any direction, so a band of passages of like lengths is compared
+        with the windows only whose norm reaches what the shortest of them asks for.
+        """
+        falling = np.argsort(norm)[::-1]
+        least = self.how.contained * self.length[own]
+        by_length = np.argsort(least)
+        enough = np.searchsorted(-norm[falling], -least[by_length] * np.float32(1 - 1e-5), side="right")
+        falling = falling[: enough[0]]
+        rows, size = vectors[windows[falling]], norm[falling]
+        out = [np.zeros(0, dtype=np.int64)]
+        for k in range(0, len(own), BAND):
+            band, n = by_length[k : k + BAND], int(enough[k])
+            near = rows[:n] @ self.latent[own[band]].T
+            window, place = np.nonzero(near >= np.maximum(self.cosine[own[band]] * size[:n, None], least[band]))
+            out.append(falling[window] * len(own) + band[place])
+        return np.concatenate(out)
+
+    def _align(self, words, at, owner, begin, blocks, passages, cosines, window: int, best: dict[tuple[int, int], dict]) -> None:
+        """Align candidates (first block and passage of each) and keep the best for each row and item.
+
+        `words`: the words that the benchmark has, and how many of them come before each word; others match nothing.
+        """
         how = self.how
+        h, before = words[0], words[1].tolist()
         for block, p, cosine in zip(*(x.tolist() for x in (blocks, passages, cosines))):
             row, start = int(owner[block]), int(begin[block])
             low, high = int(at[row]), int(at[row + 1])
             a, b = max(low, start - window // 2), min(high, start + window + window // 2)
-            item, words = self.passages[p]
-            region = h[a:b].tolist()
-            share = common_subsequence(self.passage_masks[p], len(words), region) / len(words)
+            item, length = self.passages[p][0], len(self.passages[p][1])
+            if before[b] - before[a] < how.paraphrase * length:
+                continue
+            region = h[before[a] : before[b]].tolist()
+            share = common_subsequence(self.passage_masks[p], length, region, how.paraphrase) / length
             if share < how.paraphrase:
                 continue
             there = set(region)
             if share < how.same and sum(x for word, x in self.passage_weights[p].items() if word in there) < how.weighted:
                 continue
-            around = h[max(low, a - 2 * how.window) : min(high, b + 2 * how.window)].tolist()
+            around = h[before[max(low, a - 2 * how.window)] : before[min(high, b + 2 * how.window)]].tolist()
             answer = len(self.items[item].answer)
             answered = common_subsequence(self.answer_masks[item], answer, around) / answer
             if share < how.same and answered < how.answer:
@@ -325,7 +367,7 @@ class Index:
                 "end_word": b - low,
             }
             old = best.get((row, item))
-            if old is None or (share, found["cosine"]) > (old["lcs_share"], old["cosine"]):
+            if old is None or (share, round(cosine, 4)) > (old["lcs_share"], round(old["cosine"], 4)):  # else the first place
                 best[row, item] = found
 
 
@@ -348,7 +390,7 @@ def _indexes(docs: DataFrame, benchmark: DataFrame, how: Search) -> Iterator[Ind
         table = spark.createDataFrame([(i.tolist(), v.tolist()) for i, v in vectors], "index array<long>, value array<double>")
         rows = common.written(table.repartition(max(1, len(vectors) // 1000)), common.shared_folder(spark, "passages"))
         v = latent_terms(rows, len(vocabulary), how)
-        terms = np.vstack([v * weight[:, None], np.zeros((1, v.shape[1]))]).astype(np.float32)
+        terms = (v * weight[:, None]).astype(np.float32)
         latent = np.stack([(v[i] * x[:, None]).sum(axis=0) for i, x in vectors])
         share = np.maximum(np.sqrt((latent**2).sum(axis=1)), 1e-12)
         full = [np.sqrt(((np.unique(w, return_counts=True)[1] * weight[i]) ** 2).sum()) for (_, w), (i, _) in zip(passages, vectors)]
