@@ -19,6 +19,7 @@ Other columns, whatever their names, are not looked at.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -181,6 +182,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark runs a task on each core already; the library's own threads would only wait for one another
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {}  # of parts that follow a space
