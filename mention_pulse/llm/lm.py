@@ -92,20 +92,44 @@ class Shards:
 
 
 # ---- Elias-Fano ----------------------------------------------------------------------------
+_EACH, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_PAIRS, _FOURS, _EIGHTS = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F))
+
+
+def _byte_places() -> np.ndarray:
+    """Place of the k-th one in a byte b, at 256 k + b."""
+    out = np.zeros(8 * 256, dtype=np.int64)
+    for b in range(256):
+        for k, place in enumerate(i for i in range(8) if b >> i & 1):
+            out[256 * k + b] = place
+    return out
+
+
+_IN_BYTE = _byte_places()
+
+
+def _planes_of(shift: int) -> list[tuple[int, int]]:
+    """First bit and bytes of the arrays that hold so many low bits."""
+    out, at = [], 0
+    for size in (4, 4, 2, 1):
+        if shift - at >= 8 * size:
+            out.append((at, size))
+            at += 8 * size
+    return out
+
+
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
     """Place of the k-th one or zero (from 0); before: ones or zeros in front of each word."""
     at = np.searchsorted(before, k, side="right") - 1
     word = words[at] if ones else ~words[at]
-    rest = (k - before[at]).astype(np.uint8)
-    place = at.astype(np.int64) * 64
-    for width in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(word & np.uint64((1 << width) - 1))
-        over = rest >= low
-        rest -= np.where(over, low, np.uint8(0))
-        step = np.where(over, np.uint64(width), np.uint64(0))
-        word = word >> step
-        place += step.astype(np.int64)
-    return place
+    rest = (k - before[at]).astype(np.uint64)
+    count = word - ((word >> np.uint64(1)) & _PAIRS)
+    count = (count & _FOURS) + ((count >> np.uint64(2)) & _FOURS)
+    count = ((count + (count >> np.uint64(4))) & _EIGHTS) * _EACH  # byte i: ones in the bytes up to i
+    byte = np.bitwise_count(((rest * _EACH) | _TOPS) - count & _TOPS).astype(np.uint64)  # bytes that end before the k-th
+    shift = byte << np.uint64(3)
+    rest -= ((count << np.uint64(8)) >> shift) & np.uint64(255)
+    return at * 64 + shift.astype(np.int64) + _IN_BYTE[(rest << np.uint64(8)) | ((word >> shift) & np.uint64(255))]
 
 
 class EliasFano:
@@ -113,7 +137,7 @@ class EliasFano:
 
     def __init__(self, arrays: dict[str, np.ndarray], name: str, shift: int, n: int):
         self.n, self.shift = n, shift
-        self.low = [arrays[f"{name}.low{i}"] for i in range(shift // 8)]
+        self.low = [(8 * size, arrays[f"{name}.low{at}"]) for at, size in _planes_of(shift)][::-1]
         self.bits = arrays[f"{name}.bits"]
         self.ones = arrays[f"{name}.ones"]
         self.zeros = arrays[f"{name}.zeros"]
@@ -123,7 +147,7 @@ class EliasFano:
         n = len(values)
         shift = 8 * math.ceil(max(0.0, math.log2(max(1, universe) / max(1, n))) / 8)
         values = values.astype(np.uint64)
-        arrays = {f"{name}.low{i}": ((values >> np.uint64(8 * i)) & np.uint64(255)).astype(np.uint8) for i in range(shift // 8)}
+        arrays = {f"{name}.low{at}": (values >> np.uint64(at)).astype(f"u{size}") for at, size in _planes_of(shift)}
         high = (values >> np.uint64(shift)).astype(np.int64)
         size = n + (universe >> shift) + 2
         flags = np.zeros(-(-size // 64) * 64, dtype=bool)
@@ -136,16 +160,24 @@ class EliasFano:
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """The values at places i."""
-        out = (_select(self.bits, self.ones, i, True) - i).astype(np.int64)
-        for b in range(len(self.low) - 1, -1, -1):
-            out = (out << 8) | self.low[b][i]
+        return self._with_low(_select(self.bits, self.ones, i, True) - i, i)
+
+    def between(self, first: int, end: int) -> np.ndarray:
+        """The values at places first to end, read in a row."""
+        if first >= end:
+            return np.zeros(0, dtype=np.int64)
+        a, b = (int(np.searchsorted(self.ones, x, side="right")) - 1 for x in (first, end - 1))
+        place = np.flatnonzero(np.unpackbits(np.ascontiguousarray(self.bits[a : b + 1]).view(np.uint8), bitorder="little"))
+        skip = first - int(self.ones[a])
+        return self._with_low(64 * a + place[skip : skip + end - first] - np.arange(first, end), slice(first, end))
+
+    def _with_low(self, out: np.ndarray, i: np.ndarray | slice) -> np.ndarray:
+        for bits, low in self.low:
+            out = (out << bits) | low[i]
         return out
 
     def _low(self, i: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(i), dtype=np.int64)
-        for b in range(len(self.low) - 1, -1, -1):
-            out = (out << 8) | self.low[b][i]
-        return out
+        return self._with_low(np.zeros(len(i), dtype=np.int64), i)
 
     def successor(self, value: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Place of the first value that is not smaller, within [begin, end), and whether it is equal."""
@@ -158,12 +190,15 @@ class EliasFano:
         stop = last if end is None else np.minimum(last, end)
         a, b = first, np.maximum(stop, first)
         live = np.flatnonzero(a < b)
+        left, right, sought = a[live], b[live], low[live]
         while len(live):
-            mid = (a[live] + b[live]) >> 1
-            less = self._low(mid) < low[live]
-            a[live[less]] = mid[less] + 1
-            b[live[~less]] = mid[~less]
-            live = live[a[live] < b[live]]
+            mid = (left + right) >> 1
+            less = self._low(mid) < sought
+            left, right = np.where(less, mid + 1, left), np.where(less, right, mid)
+            more = left < right
+            if not more.all():
+                a[live] = left
+                live, left, right, sought = live[more], left[more], right[more], sought[more]
         inside = a < stop
         equal = inside.copy()
         equal[inside] = self._low(a[inside]) == low[inside]
@@ -216,9 +251,14 @@ def _value(code: np.ndarray) -> np.ndarray:
 
 
 # ---- look-ups ------------------------------------------------------------------------------
+def _shard_order(shard: np.ndarray) -> np.ndarray:
+    """Places in the order of shards, else as they are; short numbers are sorted by their digits."""
+    return np.argsort(shard.astype(np.uint16) if shard.max(initial=0) < 1 << 16 else shard, kind="stable")
+
+
 def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each shard and the places of its queries."""
-    order = np.argsort(shard, kind="stable")
+    order = _shard_order(shard)
     begin = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1])) if len(order) else []
     for a, b in zip(begin, [*begin[1:], len(order)]):
         yield int(shard[order[a]]), order[a:b]
@@ -260,8 +300,35 @@ def _distinct_ids(model: Model, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, counts
 
 
-def _find(model: Model, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of each n-gram of a level, -1 for others; its log10 probability; log10 weight behind its context."""
+def _there(arrays: dict, meta: dict, n_words: int, local: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which n-grams (context in the shard, word) a shard has, and their places in it, both in the shard's order."""
+    who = np.flatnonzero(word >= 0)
+    if not len(who):
+        return who, who
+    key = local[who].astype(np.uint64) * np.uint64(n_words) + word[who].astype(np.uint64)
+    order = np.argsort(key)  # in order, neighbours read the same parts of the file
+    who, key = who[order], key[order]
+    first = np.append(True, key[1:] != key[:-1])  # each n-gram is looked up once
+    local, once = local[who[first]], key[first]
+    new = np.append(True, local[1:] != local[:-1])
+    pointers = EliasFano(arrays, "pointers", meta["pointer_shift"], meta["contexts"] + 1)
+    begin, end = (pointers.at(local[new] + i)[np.cumsum(new) - 1] for i in (0, 1))
+    children = EliasFano(arrays, "children", meta["shift"], meta["n"])
+    at, equal = np.zeros(len(once), dtype=np.int64), np.zeros(len(once), dtype=bool)
+    single, more = np.flatnonzero(end - begin == 1), np.flatnonzero(end - begin > 1)
+    at[single] = begin[single]  # an only child is read, others are searched
+    equal[single] = children.at(begin[single]) == once[single].astype(np.int64)
+    at[more], equal[more] = children.successor(once[more], begin[more], end[more])
+    back = np.cumsum(first) - 1
+    found = equal[back]
+    return who[found], at[back[found]]
+
+
+def _find(
+    model: Model, level: int, context: np.ndarray, word: np.ndarray, weights: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of each n-gram of a level, -1 for others; its log10 probability; with `weights`, of others the log10
+    weight behind their context."""
     place = np.full(len(word), -1, dtype=np.int64)
     prob, behind = np.zeros(len(word)), np.zeros(len(word))
     shards = model.levels[level - 2] if len(model.levels) > level - 2 else None
@@ -276,31 +343,14 @@ def _find(model: Model, level: int, context: np.ndarray, word: np.ndarray) -> tu
         scores, _ = _read_arrays(f"{model.folder}/{level}-{k}.prob")
         local = context[mine] - meta["first"]
         mine, local = mine[local < meta["contexts"]], local[local < meta["contexts"]]
-        behind[mine] = _value(scores["behind"][local])
-        asked = word[mine] >= 0
-        mine, local = mine[asked], local[asked]
-        if not len(mine):
-            continue
-        key = local.astype(np.uint64) * np.uint64(model.n_words) + word[mine].astype(np.uint64)
-        order = np.argsort(key)  # in order, neighbours read the same parts of the file
-        mine, key = mine[order], key[order]
-        first = np.append(True, key[1:] != key[:-1])  # each n-gram is looked up once
-        local, once = local[order][first], key[first]
-        new = np.append(True, local[1:] != local[:-1])
-        pointers = EliasFano(arrays, "pointers", meta["pointer_shift"], meta["contexts"] + 1)
-        begin, end = (pointers.at(local[new] + i)[np.cumsum(new) - 1] for i in (0, 1))
-        children = EliasFano(arrays, "children", meta["shift"], meta["n"])
-        at, equal = np.zeros(len(once), dtype=np.int64), np.zeros(len(once), dtype=bool)
-        single, more = np.flatnonzero(end - begin == 1), np.flatnonzero(end - begin > 1)
-        at[single] = begin[single]  # an only child is read, others are searched
-        equal[single] = children.at(begin[single]) == once[single].astype(np.int64)
-        at[more], equal[more] = children.successor(once[more], begin[more], end[more])
-        back = np.cumsum(first) - 1
-        at, equal = at[back], equal[back]
-        mine, at = mine[equal], at[equal]
-        place[mine] = int(shards.starts[k]) + at
-        prob[mine] = _value(scores["prob"][at])
-    if len(shards.split):
+        who, at = _there(arrays, meta, model.n_words, local, word[mine])
+        place[mine[who]] = int(shards.starts[k]) + at
+        prob[mine[who]] = _value(scores["prob"][at])
+        if weights:
+            lost = np.ones(len(mine), dtype=bool)
+            lost[who] = False
+            behind[mine[lost]] = _value(scores["behind"][local[lost]])
+    if weights and len(shards.split):
         at = np.minimum(np.searchsorted(shards.split, context), len(shards.split) - 1)
         behind = np.where(shards.split[at] == context, shards.behind[at], behind)
     return place, prob, behind
@@ -387,7 +437,7 @@ def _unplaned(raw: bytes) -> np.ndarray:
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable")  # the keys are sorted runs
     keys, counts = keys[order], counts[order]
     begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     return keys[begin], np.add.reduceat(counts, begin)
@@ -546,7 +596,7 @@ def _counted_ngrams(docs: DataFrame, model: Model, level: int, shards: Shards) -
             shard = shards.of_key(context, word)
             key = (context - shards.contexts[shard]).astype(np.uint64) * np.uint64(model.n_words) + word.astype(np.uint64)
             order = np.argsort(key)
-            order = order[np.argsort(shard[order], kind="stable")]
+            order = order[_shard_order(shard[order])]
             shard, key = shard[order], key[order]
             begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])))
             yield from _parts(shard[begin], key[begin], np.diff(np.append(begin, len(key))))
@@ -558,7 +608,7 @@ def _counted_ngrams(docs: DataFrame, model: Model, level: int, shards: Shards) -
             for k in range(2, level + 1):
                 context = tokens.shifted(place, k, model.end_id)
                 if k < level:
-                    place, _, _ = _find(model, k, context, ids)
+                    place, _, _ = _find(model, k, context, ids, weights=False)
             there = np.flatnonzero(context >= 0)
             contexts.append(context[there])
             words.append(ids[there])
@@ -635,7 +685,7 @@ def _weigh(model: Model, level: int, shard: int, discount: float, whole: dict[in
     """Write a shard's probabilities and the weights behind its contexts."""
     arrays, meta = _read_arrays(f"{model.folder}/{level}-{shard}.trie")
     counts = _counts(arrays)
-    begins = EliasFano(arrays, "pointers", meta["pointer_shift"], meta["contexts"] + 1).at(np.arange(meta["contexts"] + 1))
+    begins = EliasFano(arrays, "pointers", meta["pointer_shift"], meta["contexts"] + 1).between(0, meta["contexts"] + 1)
     distinct = np.diff(begins)
     total = np.append(0, np.cumsum(counts))
     in_all = total[begins[1:]] - total[begins[:-1]]
@@ -648,12 +698,12 @@ def _weigh(model: Model, level: int, shard: int, discount: float, whole: dict[in
     children = EliasFano(arrays, "children", meta["shift"], meta["n"])
     codes = []
     for at in range(0, meta["n"], 1 << 18):
-        key = children.at(np.arange(at, min(meta["n"], at + (1 << 18))))
+        key = children.between(at, min(meta["n"], at + (1 << 18)))
         local, word = key // model.n_words, key % model.n_words
         if level == 2:
             shorter = _unigram(model, _counts_of_words(model, word))
         else:
-            shorter = _find(model, level - 1, _last_words(model, level - 1, meta["first"] + local), word)[1]
+            shorter = _find(model, level - 1, _last_words(model, level - 1, meta["first"] + local), word, weights=False)[1]
         own = (counts[at : at + len(key)] - discount) / in_all[local]
         codes.append(_quantised(np.log10(own + 10 ** (behind[local] + shorter))))
     _write_arrays(f"{model.folder}/{level}-{shard}.prob", {"prob": np.concatenate(codes), "behind": _quantised(behind)}, {})

@@ -390,6 +390,8 @@ def test_elias_fano():
         arrays, shift = lm.EliasFano.build(values, universe, "x")
         own = lm.EliasFano(arrays, "x", shift, n)
         assert (own.at(np.arange(n)) == values.astype(np.int64)).all()
+        for first, end in ((0, n), (n // 3, n // 2), (n - 1, n), (n, n)):
+            assert (own.between(first, end) == values[first:end].astype(np.int64)).all()
         asked = np.concatenate([values, rng.integers(0, universe, 500).astype(np.uint64)])
         place, equal = own.successor(asked)
         assert (place == np.searchsorted(values, asked)).all() and (equal == np.isin(asked, values)).all()
