@@ -494,6 +494,28 @@ def test_leaks_of_short_items(spark):
     assert decontamination.without_leaks(rows, bench).count() == 0
 
 
+def test_near_windows_by_bands():
+    rng = np.random.default_rng(5)
+    how = decontamination.Search()
+    for n, m in ((0, 5), (1, 1), (400, 150)):
+        latent = rng.standard_normal((m, 6)).astype(np.float32)
+        latent /= np.linalg.norm(latent, axis=1)[:, None]
+        length = rng.uniform(1, 9, m).astype(np.float32)
+        vectors = (rng.standard_normal((n, 6)) * rng.choice([0, 0.3, 3], (n, 1))).astype(np.float32)
+        cosine = np.full(m, how.cosine, dtype=np.float32)
+        index = decontamination.Index(how, [], [], np.zeros(0, np.uint64), latent, latent, length, length)
+        index.cosine = cosine
+        windows, own = np.arange(0, n, 2), np.flatnonzero(rng.random(m) < 0.9)
+        norm = np.sqrt((vectors[windows] ** 2).sum(axis=1))
+        near = vectors[windows].astype(float) @ latent[own].T
+        expected = np.flatnonzero(near >= np.maximum(cosine[own] * norm[:, None], how.contained * length[own]))
+        assert sorted(index._near(vectors, windows, norm, own).tolist()) == expected.tolist()
+    term, block = np.array([0, 1, 1, 2, 0]), np.array([1, 1, 1, 3, 3])
+    index.terms = np.arange(6, dtype=np.float32).reshape(3, 2)
+    assert index._block_sums(term, block, 5).tolist() == [[0, 0], [4, 7], [0, 0], [4, 6], [0, 0]]
+    assert index._block_sums(term[:0], block[:0], 2).tolist() == [[0, 0], [0, 0]]
+
+
 def test_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(200):
