@@ -41,15 +41,27 @@ def resolve_root(
         )
         level = kept(found.select(F.col("_id").alias("_at"), "root_id"), f"hop{hop}")
         levels.append(level.withColumn("hops", F.lit(hop)))
-    found = reduce(DataFrame.unionByName, levels)
+    found = reduce(DataFrame.unionByName, levels).withColumnRenamed("_at", post_id)
+    return with_root_text(found, posts, post_id, parent, text, hot_rows)
+
+
+def with_root_text(
+    found: DataFrame,
+    posts: DataFrame,
+    post_id: str = "tweet_id",
+    parent: str = "parent_id",
+    text: str = "text",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """(post_id, root_id, root_text, hops) of (post_id, root_id, hops), by the texts of the roots alone."""
     long = hot_keys(_counts(found, "root_id"), "root_id", "_n", hot_rows)
     texts = posts.filter(F.col(parent).isNull()).select(
         F.col(post_id).alias("_root"), F.col(text).alias("root_text")
     )
     texts = copy_to_slices(texts, "_root", long).withColumnRenamed("_slice", "_copy")
     same = (F.col("root_id") == F.col("_root")) & (F.col("_slice") == F.col("_copy"))
-    return slice_rows(found, "root_id", "_at", long).join(texts, same).select(
-        F.col("_at").alias(post_id), "root_id", "root_text", "hops"
+    return slice_rows(found, "root_id", post_id, long).join(texts, same).select(
+        post_id, "root_id", "root_text", "hops"
     )
 
 

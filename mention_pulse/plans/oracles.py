@@ -137,6 +137,9 @@ walk AS (
 roots AS (
   SELECT w.tweet_id, w.at AS root_id, p.text AS root_text, w.hops
   FROM walk w JOIN posts p ON p.tweet_id = w.at WHERE p.parent_id IS NULL)"""
+ROOTS = f"""WITH RECURSIVE {REPLIES}
+  SELECT p.tweet_id, p.parent_id, root_id, root_text, hops
+  FROM posts p LEFT JOIN roots r USING (tweet_id) WHERE p.parent_id IS NOT NULL"""
 
 # relevant posts as flagged mentions; texts are cleaned as written in EVENT_TEXT
 PIPELINE = f"""{RAW}, scored AS (
@@ -377,9 +380,8 @@ def oracle_sql() -> dict[str, str]:
               strftime(ts, '%Y-%m') AS month_key, CAST(event_id % 5 AS VARCHAR) AS PARTITION,
               event_type || '_HOURLY' AS TickerDetail FROM k""",
         # threads and whole jobs
-        "resolve_root": f"""WITH RECURSIVE {REPLIES}
-            SELECT p.tweet_id, p.parent_id, root_id, root_text, hops
-            FROM posts p LEFT JOIN roots r USING (tweet_id) WHERE p.parent_id IS NOT NULL""",
+        "resolve_root": ROOTS,
+        "roots_over_landings": ROOTS,
         "with_parent": f"""WITH RECURSIVE {REPLIES}
             SELECT p.tweet_id, CAST(root_id AS VARCHAR) AS root_id,
               upper(substr(root_text, 7)) AS root_tags FROM posts p LEFT JOIN roots USING (tweet_id)""",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mention_pulse.functions import columns, keys, text
-from mention_pulse.operators import capture, rollup, sentiment, serve, spam, tags, threads
+from mention_pulse.operators import capture, rollup, sentiment, serve, spam, tags, thread_index, threads
 from mention_pulse.plans import adapters, jobs
 from mention_pulse.schemas import COUNTERS, LEVEL_METRICS, POSTS_SCORED, TABLE_KEYS
 from mention_pulse.session import configure
@@ -677,6 +677,19 @@ def resolve_root(spark: SparkSession, d: str) -> DataFrame:
     return threads.attach_root(answers, threads.resolve_root(posts))
 
 
+@_query
+def roots_over_landings(spark: SparkSession, d: str) -> DataFrame:
+    """The replies of `resolve_root`, landed in two parts: half of them come before their parents."""
+    base = tables.fresh_folder(spark, "threads")
+    posts = adapters.replies(spark, d)
+    first = F.col("tweet_id") % 2 == 0
+    thread_index.land_threads(spark, posts.filter(first), base, "run1")
+    thread_index.land_threads(spark, posts.filter(~first), base, "run2")
+    answers = posts.filter(F.col("parent_id").isNotNull()).select("tweet_id", "parent_id")
+    roots = threads.with_root_text(thread_index.read_roots(spark, base), posts)
+    return threads.attach_root(answers, roots)
+
+
 @_query
 def with_parent(spark: SparkSession, d: str) -> DataFrame:
     return threads.with_parent(adapters.replies(spark, d)).select(
