@@ -63,7 +63,7 @@ class Lexicon:
     def of(cls, table: DataFrame, max_rows: int = MAX_LITERALS) -> Lexicon:
         """From a (token, valence) table; raises if it has more than `max_rows` rows."""
         if not is_small(table, max_rows):
-            raise ValueError(f"lexicon has more than {max_rows} rows, use score_by_join")
+            raise ValueError(f"lexicon has more than {max_rows} rows, use score_by_join or pack_scores_by_join")
         lexicon = cls({})
         lexicon.words = {row["token"]: row["valence"] for row in one_valence(table).collect()}
         return lexicon
@@ -130,6 +130,19 @@ def score_by_join(
     and hits of a post are combined before they are shuffled by its id; texts are not shuffled at
     all.
     """
+    scored = _text_scores(df, text, lexicon, post_id, alpha, **limits)
+    keyed = df.select(F.col(post_id), F.sha2(F.col(text), 256).alias("_text"))
+    return keyed.join(scored, _scores_of(F.col(post_id), F.col("_text")), "left").select(post_id, *SCORE_FIELDS)
+
+
+def _scores_of(post_id: Column, digest: Column) -> Column:
+    return post_id.eqNullSafe(F.col("_id")) & (digest == F.col("_scored"))
+
+
+def _text_scores(
+    df: DataFrame, text: str, lexicon: DataFrame, post_id: str, alpha: float, **limits: int
+) -> DataFrame:
+    """(_id, _scored, scores) of the texts of each post, told apart by their SHA-256 `_scored`."""
     keyed = df.select(F.col(post_id), F.col(text), F.sha2(F.col(text), 256).alias("_text"))
     tokens = keyed.filter(F.col(text).isNotNull()).select(
         F.col(post_id).alias("_id"), "_text", F.posexplode_outer(words(F.col(text))).alias("_at", "word")
@@ -145,9 +158,7 @@ def score_by_join(
     # copies of a post add up alike: shares stay as they are, the sum is divided
     valence = F.col("_s") / F.col("_copies")
     fields = _scores(valence, F.col("_pos"), F.col("_neg"), F.col("_n"), alpha)
-    scored = sums.select("_id", F.col("_text").alias("_scored"), *(fields[f].alias(f) for f in SCORE_FIELDS))
-    same = F.col(post_id).eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_scored"))
-    return keyed.drop(text).join(scored, same, "left").select(post_id, *SCORE_FIELDS)
+    return sums.select("_id", F.col("_text").alias("_scored"), *(fields[f].alias(f) for f in SCORE_FIELDS))
 
 
 Scorer = Callable[[str], tuple[str, float, float, float]]
@@ -190,20 +201,50 @@ def pack_scores(
     """
     struct = score.struct if isinstance(score, Lexicon) else score
     when = F.lit(True) if when is None else when
+    return _packed(posts, lambda text, _: F.when(when, struct(text)).otherwise(unscored(text)))
+
+
+def pack_scores_by_join(
+    posts: DataFrame,
+    lexicon: DataFrame,
+    when: Column | None = None,
+    post_id: str = "tweet_id",
+    alpha: float = ALPHA,
+    **limits: int,
+) -> DataFrame:
+    """`pack_scores` by a lexicon of any size, joined word by word: for frames, or the batches of a stream.
+
+    Own texts and parents' texts are scored in one pass and joined back by post and text.
+    """
+    when = F.lit(True) if when is None else when
+    texts = F.array("text", "reference_tweets.text")
+    told = posts.filter(when).select(post_id, F.explode(texts).alias("_told")).filter("_told IS NOT NULL")
+    scored = _text_scores(told, "_told", lexicon, post_id, alpha, **limits)
+    joined = posts.withColumn("_when", when)
+    for name, text in (("_own", F.col("text")), ("_parents", F.col("reference_tweets.text"))):
+        side = scored.select("_id", "_scored", F.struct(*SCORE_FIELDS).alias(name))
+        same = _scores_of(F.col(post_id), F.sha2(text, 256)) & F.col("_when")
+        joined = joined.join(side, same, "left").drop("_id", "_scored")
+
+    def moved(text: Column, found: str) -> Column:
+        scores = F.struct(text.alias("text"), *(F.col(found)[f].alias(f) for f in SCORE_FIELDS))
+        return F.when(F.col(found).isNotNull(), scores).otherwise(unscored(text))
+
+    return _packed(joined, moved).drop("_when", "_own", "_parents")
 
-    def moved(text: Column) -> Column:
-        return F.when(when, struct(text)).otherwise(unscored(text))
 
+def _packed(posts: DataFrame, moved: Callable[[Column, str], Column]) -> DataFrame:
+    """Posts with their texts, and their parents', as the structs that `moved` makes of them."""
     parent = F.col("reference_tweets")
     packed = F.struct(
         parent["tweet_id"].alias("tweet_id"),
         parent["tweet_type"].alias("tweet_type"),
         parent["hashcashtags"].alias("hashcashtags"),
-        moved(parent["text"]).alias("tweet_text"),
+        moved(parent["text"], "_parents").alias("tweet_text"),
     )
     return posts.withColumns(
         {
-            "tweet_text": moved(F.col("text")),
+            "tweet_text": moved(F.col("text"), "_own"),
             "reference_tweets": F.when(parent.isNotNull(), packed),
         }
     ).drop("text")

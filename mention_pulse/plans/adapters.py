@@ -181,6 +181,30 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built.to(POSTS_RAW)
 
 
+def doc_lines(spark: SparkSession, sf_dir: str, where: Column) -> DataFrame:
+    """Documents as lines of JSON posts; some have no text, a parent, a flag or a repeat, some lines are no JSON."""
+    doc = F.col("doc_id")
+    parent = F.struct(
+        doc.cast("string").alias("tweet_id"),
+        F.element_at(F.array(*(F.lit(w) for w in ("the", "of", "nothing"))), (doc % 3 + 1).cast("int")).alias("text"),
+    )
+    post = F.to_json(
+        F.struct(
+            doc.alias("tweet_id"),
+            F.when(doc % 7 != 3, F.col("text")).alias("text"),
+            F.struct(
+                (F.lit(1_700_000_000) + doc).alias("created_at"),
+                F.when(doc % 13 == 0, True).alias("sensitive"),
+                F.array(tag_of(doc % 20)).alias("hashcashtags"),
+            ).alias("tweet_meta"),
+            F.when(doc % 5 == 0, parent).alias("reference_tweets"),
+        )
+    )
+    again = F.array_repeat(post, F.when(doc % 11 == 0, 2).otherwise(1))
+    line = F.when(doc % 17 == 1, F.array(F.concat(F.lit("no post "), doc.cast("string")))).otherwise(again)
+    return table(spark, sf_dir, "documents").filter(where).select(F.explode(line).alias("value"))
+
+
 def stream_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as posts before capture, in the language of their document."""
     kind = F.col("event_type")

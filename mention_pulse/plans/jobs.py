@@ -80,15 +80,15 @@ def clean_posts(
     return flag_spam(mentions, threshold, count_unit)
 
 
-def write_clean(mentions: DataFrame, base: str, batch: str) -> dict[str, int]:
-    """Clean and spam mentions of a batch; gives the rows of each.
+def write_clean(mentions: DataFrame, base: str, batch: str, source: str | None = None) -> dict[str, int]:
+    """Clean and spam mentions of a batch, made from an attempt `source` of it where that is known; gives the rows of each.
 
     A batch written again is replaced as a whole: readers see the rows of its last write only, be
     they on the other side, in other hours, or none at all. Read it with `read_clean`.
     """
     spam = F.count_if(F.col(SPAM))
     watched, seen = tables.counted(mentions, f"clean_{batch}", n_spam=spam)
-    batches.write_batch(watched, base, batch, CLEAN_KEYS)
+    batches.write_batch(watched, base, batch, CLEAN_KEYS, source)
     try:
         return seen.get
     except Py4JJavaError:  # an empty frame is planned away, with what was to be counted

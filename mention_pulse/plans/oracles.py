@@ -317,6 +317,20 @@ def oracle_sql() -> dict[str, str]:
         "term_counts_top": f"{terms} ORDER BY n DESC, term LIMIT 25",
         "score_sentiment": SCORES,
         "score_by_join": SCORES,
+        "ingest_by_join": f"""WITH scores AS ({SCORES}), told AS (
+              SELECT *, unnest(range(CASE WHEN tweet_id % 11 = 0 AND tweet_id % 17 <> 1 THEN 2 ELSE 1 END)) AS copy,
+                tweet_id % 17 = 1 AS bad, tweet_id % 7 = 3 AS textless FROM scores)
+            SELECT CASE WHEN NOT bad THEN tweet_id END AS tweet_id,
+              CASE WHEN bad OR textless THEN 'ProcessingFailed' ELSE 'Ok' END AS result,
+              CASE WHEN NOT (bad OR textless) THEN sentiment END AS sentiment,
+              CASE WHEN NOT (bad OR textless) THEN total END AS total,
+              CASE WHEN NOT (bad OR textless) THEN positive END AS positive,
+              CASE WHEN NOT (bad OR textless) THEN negative END AS negative,
+              CASE WHEN NOT bad AND tweet_id % 5 = 0 THEN
+                CASE tweet_id % 3 WHEN 0 THEN 'POSITIVE' WHEN 1 THEN 'NEGATIVE' ELSE 'NEUTRAL' END
+                END AS parent_sentiment,
+              CASE WHEN bad THEN 'no post ' || tweet_id END AS unread
+            FROM told WHERE bad OR tweet_id % 13 <> 0""",
         "sentiment_by_lang": f"""SELECT lang, sentiment, count(*) AS n_docs,
             round(avg(positive), 9) AS avg_positive
             FROM ({SCORES}) JOIN documents ON doc_id = tweet_id GROUP BY lang, sentiment""",

@@ -14,6 +14,7 @@ from mention_pulse.plans import adapters, jobs
 from mention_pulse.schemas import COUNTERS, LEVEL_METRICS, POSTS_SCORED, TABLE_KEYS
 from mention_pulse.session import configure
 from mention_pulse.sources import files, records, tables
+from mention_pulse.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -533,6 +534,29 @@ def score_by_join(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_query
+def ingest_by_join(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as JSON posts through two runs of the stream, their words joined to the lexicon table.
+
+    Among them are posts without text, unreadable lines, sensitive posts and posts that come twice.
+    """
+    base = tables.fresh_folder(spark, "ingest")
+    for n in range(2):
+        adapters.doc_lines(spark, d, F.col("doc_id") % 2 == n).write.mode("append").text(f"{base}/raw")
+        stream = ingest.start_ingest(
+            spark, f"{base}/raw", f"{base}/landed", f"{base}/progress", adapters.lexicon(spark), None
+        )
+        stream.awaitTermination()
+    parts = [ingest.landed(spark, f"{base}/landed", r).withColumn("result", F.lit(r)) for r in (capture.OK, capture.FAILED)]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).select(
+        "tweet_id",
+        "result",
+        *(F.col(f"tweet_text.{f}").alias(f) for f in sentiment.SCORE_FIELDS),
+        F.col("reference_tweets.tweet_text.sentiment").alias("parent_sentiment"),
+        F.col("_corrupt_record").alias("unread"),
+    )
+
+
 @_query
 def sentiment_by_lang(spark: SparkSession, d: str) -> DataFrame:
     docs = adapters.table(spark, d, "documents")

@@ -32,6 +32,7 @@ ENTRIES = T.StructType(
         T.StructField("bytes", T.LongType()),
         T.StructField("schema", T.StringType()),  # of the rows, in the entry of the attempt itself
         T.StructField("keys", T.ArrayType(T.StringType())),
+        T.StructField("source", T.StringType()),  # attempt of the same batch elsewhere that it was made from
     ]
 )
 
@@ -60,15 +61,21 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select(name.alias("file"), F.col("length").alias("bytes"))
 
 
-def write_batch(df: DataFrame, base: str, batch: str, keys: Sequence[str]) -> None:
-    """Write a batch, in place of what it held before, partitioned by `keys`."""
+def write_batch(df: DataFrame, base: str, batch: str, keys: Sequence[str], source: str | None = None) -> None:
+    """Write a batch, in place of what it held before, partitioned by `keys`.
+
+    `source` is the attempt, of the batch of that name in another table, that it was made from; see `stale`.
+    """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"{batch!r} is no name for a batch: letters, digits, _, . and - only")
     spark = df.sparkSession
     attempt = uuid.uuid4().hex
     folder = _folder(base, batch, attempt)
     write_partitioned(df, folder, keys)
-    own = spark.createDataFrame([(None, None, df.schema.json(), list(keys))], "file string, bytes long, schema string, keys array<string>")
+    own = spark.createDataFrame(
+        [(None, None, df.schema.json(), list(keys), source)],
+        "file string, bytes long, schema string, keys array<string>, source string",
+    )
     entry = own.unionByName(_files(spark, folder), allowMissingColumns=True)
     entry = entry.withColumns({BATCH: F.lit(batch), ATTEMPT: F.lit(attempt), "committed_at": F.current_timestamp()})
     # one file, so an entry is there as a whole or not at all
@@ -99,6 +106,13 @@ def live_entries(spark: SparkSession, base: str) -> DataFrame:
     return found.join(last, (F.col(BATCH) == F.col("_batch")) & (F.col(ATTEMPT) == F.col("_attempt"))).drop("_batch", "_attempt")
 
 
+def stale(spark: SparkSession, src: str, base: str) -> list[tuple[str, str]]:
+    """(batch, attempt) of the batches of `src` whose live attempt `base` was not made from, in order of their names."""
+    made = live_entries(spark, base).filter("file IS NULL").select(BATCH, F.col("source").alias(ATTEMPT))
+    there = live_entries(spark, src).filter("file IS NULL").select(BATCH, ATTEMPT)
+    return [tuple(row) for row in there.join(made, [BATCH, ATTEMPT], "left_anti").orderBy(BATCH).collect()]
+
+
 def _with_keys(found: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Entries of files with the partition values that their names hold."""
     values = {k: F.regexp_extract("file", rf"(?:^|/){k}=([^/]*)/", 1) for k in keys}

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from mention_pulse.functions.keys import PARTS
 from mention_pulse.operators import rollup, serve, tags
 from mention_pulse.operators.sentiment import Lexicon, scorer_udf
 from mention_pulse.plans import jobs
@@ -12,7 +13,8 @@ from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED
 from mention_pulse.sources import batches, files, tables
 from mention_pulse.streaming import ingest
 
-LEXICON = Lexicon({2.0: ["good"], -2.0: ["bad"]})
+LEXICON_WORDS = {2.0: ["good"], -2.0: ["bad"]}
+LEXICON = Lexicon(LEXICON_WORDS)
 DAY0 = 1666915200.0  # 2022-10-28 00:00:00 UTC
 
 
@@ -86,6 +88,49 @@ def test_paced_ingest_with_own_scorer_keeps_failures_apart(spark, tmp_path):
     assert ingest.landed(spark, str(tmp_path / "out")).count() == 7
 
 
+def test_a_lexicon_of_any_size_scores_a_stream(spark, tmp_path, dim):
+    """200,000 words, joined batch by batch, give the scores of a small literal with the words that occur."""
+    listed = {w: v for v, ws in LEXICON_WORDS.items() for w in ws}
+    large = spark.range(200_000).selectExpr("concat('w', id) AS token", "1.0 AS valence")
+    large = large.unionByName(spark.createDataFrame(list(listed.items()), "token string, valence double"))
+    with pytest.raises(ValueError, match="more than"):
+        Lexicon.of(large)
+    raw, out, clean = (str(tmp_path / name) for name in ("raw", "landed", "clean"))
+    words_ = [post(20, "good w7 w199999 nothing", ["A"], 2), post(21, None, ["A"], 2), post(22, "", ["B"], 2)]
+    drop(tmp_path / "raw", "a.json", FIRST)
+    (tmp_path / "raw" / "bad.json").write_text("{no json")
+    run = lambda: ingest.start_ingest(spark, raw, out, str(tmp_path / "ck"), large, None).awaitTermination()
+    run()
+    jobs_args = (spark, out, dim, clean, str(tmp_path / "unused"))
+    ingest.clean_new(*jobs_args, n_tickers=3)
+    drop(tmp_path / "raw", "b.json", SECOND + words_ + FIRST[:1])
+    run()
+    run()
+    literal = Lexicon(LEXICON_WORDS)
+    literal.words |= {"w7": 1.0, "w199999": 1.0}
+    once = ingest.score_posts(files.read_posts(spark, raw, keep_corrupt=True), literal)
+    columns = POSTS_SCORED.fieldNames()
+    for result in ("Ok", "ProcessingFailed"):
+        got = ingest.landed(spark, out, result)
+        assert rows(got.select(*columns)) == rows(once.filter(once.result == result).select(*columns))
+    assert rows(ingest.landed(spark, out, "ProcessingFailed"), "tweet_id", "_corrupt_record") == [(21, None), (None, "{no json")]
+    # cleaned batch by batch: new ones, and one that was written again
+    posts = once.filter("result = 'Ok'").drop("result", "_corrupt_record")
+    wanted = rows(jobs.clean_posts(posts, spark.read.parquet(dim), 3), "tweet_id", "ticker")
+
+    def cleaned():
+        return sorted((r["tweet_id"], r["ticker"]) for spam in (False, True) for r in jobs.read_clean(spark, clean, spam).collect())
+    ingest.clean_new(*jobs_args, n_tickers=3)
+    assert cleaned() == sorted(wanted)
+    assert batches.stale(spark, out, clean) == []
+    first = ingest.landed(spark, out).filter("tweet_id = 1").limit(1)
+    batches.write_batch(first.withColumn("result", F.lit("Ok")), out, "000000000000", ["result", *PARTS])
+    assert [name for name, _ in batches.stale(spark, out, clean)] == ["000000000000"]
+    ingest.clean_new(*jobs_args, n_tickers=3)
+    left = [1, 1] + [p["tweet_id"] for p in SECOND + words_ if p["text"] is not None]
+    assert sorted(i for i, _ in cleaned()) == sorted(left)
+
+
 def test_stream_static_ticker_join(spark, tmp_path, dim):
     drop(tmp_path / "raw", "a.json", FIRST)
     stream = files.incremental(spark, str(tmp_path / "raw"), POSTS_RAW)
