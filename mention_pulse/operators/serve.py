@@ -49,8 +49,13 @@ def in_range(df: DataFrame, start: str | None = None, end: str | None = None) ->
     return df.filter(stamp > start if end is None else stamp.between(start, end))
 
 
+def ticker_detail_of(ticker: str, level: str) -> str:
+    """`TickerDetail` of a ticker at a level."""
+    return f"{ticker.upper()}_{check_level(level)}"
+
+
 def _of_ticker(rollup: DataFrame, ticker: str, level: str) -> DataFrame:
-    return rollup.filter(F.col("TickerDetail") == f"{ticker.upper()}_{check_level(level)}")
+    return rollup.filter(F.col("TickerDetail") == ticker_detail_of(ticker, level))
 
 
 def trend(
@@ -86,8 +91,7 @@ def compare(
 
     `days`, first and last, clip hours and days; longer periods are given whole.
     """
-    names = [first.upper(), second.upper()]
-    wanted = [f"{name}_{check_level(level)}" for name in names]
+    wanted = [ticker_detail_of(ticker, level) for ticker in (first, second)]
     rows = rollup.filter(F.col("TickerDetail").isin(wanted))
     if days is not None and check_level(level) in ("HOURLY", "DAILY"):
         after = f"{days[1] + dt.timedelta(days=1):%Y-%m-%d}"

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -123,6 +125,13 @@ RECENT_KEYS = [*TABLE_KEYS["recent_posts"], "ID"]
 
 
 # ---- aggregate -----------------------------------------------------------------------------
+INDEX_KEYS = ("TickerDetail", "TIMESTAMP")
+# one row per file of the index, see `tables.write_bounds`
+INDEX_BOUNDS = T.StructType(
+    [T.StructField(f, T.StringType()) for f in ("file", *(f"{m}_{c}" for c in INDEX_KEYS for m in ("min", "max")), tables.RUN)]
+)
+
+
 @dataclass(frozen=True)
 class Serving:
     """Folders of the serving side under one base."""
@@ -145,8 +154,16 @@ class Serving:
     def metrics(self) -> str:
         return f"{self.base}/level_metrics"
 
+    @property
+    def indexes(self) -> str:
+        return f"{self.base}/ticker_rollup_by_ticker"
+
     def index(self, run_id: str) -> str:
-        return f"{self.base}/ticker_rollup_by_ticker/{tables.RUN}={run_id}"
+        return f"{self.indexes}/{tables.RUN}={run_id}"
+
+    @property
+    def bounds(self) -> str:
+        return f"{self.base}/ticker_rollup_by_ticker_bounds"
 
     @property
     def manifest(self) -> str:
@@ -204,6 +221,8 @@ def _write_rollup(rows: DataFrame, out: Serving, run_id: str) -> None:
     tables.write_snapshot(rows, out.rollup, run_id, order=TABLE_KEYS["ticker_rollup"])
     written = tables.read_snapshot(rows.sparkSession, out.rollup, run_id, TICKER_ROLLUP_KEPT)
     tables.write_index(written.drop(tables.RUN), out.index(run_id))
+    bounds = f"{out.bounds}/{tables.RUN}={run_id}"
+    tables.write_bounds(rows.sparkSession, out.index(run_id), bounds, INDEX_KEYS, TICKER_ROLLUP_KEPT)
 
 
 def _write_recent(mentions: DataFrame, out: Serving, run_id: str, n_keys: int, rebuilt: Sequence[str] = ()) -> tuple[str | None, str | None]:
@@ -331,17 +350,66 @@ def read_rollup(spark: SparkSession, base: str) -> DataFrame:
     return _summed_up(rows, chain).select(*TICKER_ROLLUP.fieldNames())
 
 
-def read_index(spark: SparkSession, base: str) -> DataFrame:
-    """The same clustered by TickerDetail and time: for `trend`, `latest_periods`, `compare`."""
+def _index_paths(
+    spark: SparkSession, out: Serving, chain: Sequence[str], details: Sequence[str], start: str | None, end: str | None
+) -> list[str]:
+    """Files of the index that may hold rows of some `TickerDetail`s and times; a run without bounds is taken whole."""
+    wanted = reduce(or_, (tables.may_hold("TickerDetail", d, d) for d in details))
+    if len(chain) == 1:
+        # with more runs the time of a row is the earliest over all of them
+        wanted = wanted & tables.may_hold("TIMESTAMP", start, end)
+    try:
+        bounds = tables.read_snapshots(spark, out.bounds, chain, INDEX_BOUNDS)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return [out.index(run) for run in chain]
+    # what comes to the driver is a run's name and the names of the files that the answer is in
+    found = bounds.groupBy(tables.RUN).agg(F.collect_list(F.when(wanted, F.col("file"))).alias("files")).collect()
+    by_run = {row[tables.RUN]: row["files"] for row in found}
+    return [p for run in chain for p in ([f"{out.index(run)}/{f}" for f in by_run[run]] if run in by_run else [out.index(run)])]
+
+
+def read_index(
+    spark: SparkSession,
+    base: str,
+    details: Sequence[str] | None = None,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """The same clustered by TickerDetail and time: for `trend`, `latest_periods`, `compare`.
+
+    With `details` only files that may hold one of these `TickerDetail`s are listed and opened, and of a
+    single run only those that may hold a time between the ends; rows beside the wanted ones remain, to be filtered.
+    """
     out = Serving(base)
     chain = tables.current_chain(spark, out.manifest)
-    columns = [f for f in TICKER_ROLLUP_KEPT.fields if f.name != tables.RUN]
-    if not chain:
+    paths = [out.index(run) for run in chain]
+    if chain and details:
+        paths = _index_paths(spark, out, chain, details, start, end)
+    if not paths:
         return spark.createDataFrame([], TICKER_ROLLUP).drop(tables.RUN)
-    rows = spark.read.schema(T.StructType(columns)).parquet(*(out.index(run) for run in chain))
+    # whole folders of runs and single files of others go together under one base
+    rows = spark.read.schema(TICKER_ROLLUP_KEPT).option("basePath", out.indexes).parquet(*paths)
     return _summed_up(rows, chain).select(*TICKER_ROLLUP.fieldNames()[:-1])
 
 
+def read_trend(
+    spark: SparkSession, base: str, ticker: str, level: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """`serve.trend` from the files of the index that may hold it."""
+    details = [serve.ticker_detail_of(ticker, level)]
+    return serve.trend(read_index(spark, base, details, start, end), ticker, level, start, end)
+
+
+def read_comparison(
+    spark: SparkSession, base: str, first: str, second: str, level: str, days: tuple[dt.date, dt.date] | None = None
+) -> DataFrame:
+    """`serve.compare` from the files of the index that may hold either ticker."""
+    details = [serve.ticker_detail_of(ticker, level) for ticker in (first, second)]
+    return serve.compare(read_index(spark, base, details), first, second, level, days)
+
+
 def read_metrics(spark: SparkSession, base: str) -> DataFrame:
     """Level metrics as of the current run, with the counters of the previous periods."""
     out = Serving(base)

@@ -218,8 +218,7 @@ def _stored(spark: SparkSession, d: str) -> str:
 
 @_query
 def trend_stored(spark: SparkSession, d: str) -> DataFrame:
-    index = jobs.read_index(spark, _stored(spark, d))
-    return _seen_as_text(serve.trend(index, TICKER, "hourly", START, END))
+    return _seen_as_text(jobs.read_trend(spark, _stored(spark, d), TICKER, "hourly", START, END))
 
 
 @_query

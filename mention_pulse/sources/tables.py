@@ -248,6 +248,23 @@ def read_index(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def write_bounds(spark: SparkSession, folder: str, path: str, columns: Sequence[str], schema: T.StructType) -> None:
+    """Beside a table: the smallest and largest value of some columns in each of its files, one row a file.
+
+    Only these columns are read, by tasks; a look-up then asks this small table which files to open at all.
+    """
+    named = [F.col("_metadata.file_name").alias("file"), *columns]
+    spans = [f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]
+    rows = spark.read.schema(schema).parquet(folder).select(*named).groupBy("file").agg(*spans)
+    write_table(rows, path, files=1)
+
+
+def may_hold(column: str, low: object | None, high: object | None) -> Column:
+    """On rows of `write_bounds`: whether a file may hold a value from `low` to `high`, None being no bound."""
+    above = F.lit(True) if low is None else F.col(f"max_{column}") >= F.lit(low)
+    return above if high is None else above & (F.col(f"min_{column}") <= F.lit(high))
+
+
 def refresh(spark: SparkSession, table: str) -> None:
     """Make new partitions of a catalog table, or new files of a path, visible."""
     if "/" in table:

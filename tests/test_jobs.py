@@ -9,7 +9,7 @@ from mention_pulse.functions.keys import PARTS
 from mention_pulse.operators import rollup, serve, tags
 from mention_pulse.operators.sentiment import Lexicon, scorer_udf
 from mention_pulse.plans import jobs
-from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED
+from mention_pulse.schemas import POSTS_RAW, POSTS_SCORED, TICKER_ROLLUP_KEPT
 from mention_pulse.sources import batches, files, tables
 from mention_pulse.streaming import ingest
 
@@ -407,3 +407,44 @@ def test_a_repeated_run_leaves_nothing_of_its_first_try(spark, tmp_path, monkeyp
     jobs.write_clean(clean_frame(spark, [mention(3, "B", "01")]), clean, "b2")  # the post is not delivered again after all
     assert jobs.aggregate(spark, clean, base, "r2", day)
     assert rows(jobs.read_recent(spark, base), "ID", "TEXT") == [("1", "some text 1"), ("2", "some text 2"), ("3", "some text 3")]
+
+
+def test_look_ups_list_only_files_that_may_hold_the_answer(spark, tmp_path):
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    tickers_ = [f"T{n:02}" for n in range(40)]
+    rows_ = [mention(100 * n + h, t, f"{h:02}") for n, t in enumerate(tickers_) for h in range(0, 24, 3)]
+    jobs.write_clean(clean_frame(spark, rows_), clean, "one")
+    assert jobs.aggregate(spark, clean, base, "run1", dt.date(2030, 1, 1))
+    # small tables make one file: lay the index out as a large one
+    out = jobs.Serving(base)
+    kept = tables.read_snapshot(spark, out.rollup, "run1", TICKER_ROLLUP_KEPT).drop("RUN_ID")
+    tables.write_index(kept, out.index("run1"), 32)
+    tables.write_bounds(spark, out.index("run1"), f"{out.bounds}/RUN_ID=run1", jobs.INDEX_KEYS, TICKER_ROLLUP_KEPT)
+    whole = jobs.read_index(spark, base)
+    n_files = len(whole.inputFiles())
+    assert n_files >= 24
+    start, end = "2022-10-28 05:00:00", "2022-10-28 13:00:00"
+
+    def same():
+        for ticker in ("T17", "T99"):
+            for span in ((None, None), (start, end)):
+                assert rows(jobs.read_trend(spark, base, ticker, "hourly", *span)) == rows(
+                    serve.trend(jobs.read_index(spark, base), ticker, "hourly", *span)
+                )
+        assert rows(jobs.read_comparison(spark, base, "T03", "T30", "daily")) == rows(
+            serve.compare(jobs.read_index(spark, base), "T03", "T30", "daily")
+        )
+
+    same()
+    assert jobs.read_trend(spark, base, "T17", "hourly", start, end).count() == 3
+    assert 1 <= len(jobs.read_index(spark, base, ["T17_HOURLY"]).inputFiles()) <= 3
+    assert len(jobs.read_index(spark, base, ["T03_DAILY", "T30_DAILY"]).inputFiles()) <= 4
+    # late posts of the same hours in a second run: times of rows are the earliest of both
+    late = [mention(n, "T17", f"{h:02}") for n, h in enumerate((4, 6, 12))]
+    jobs.write_clean(clean_frame(spark, late), clean, "two")
+    assert jobs.aggregate(spark, clean, base, "run2", dt.date(2030, 1, 1))
+    same()
+    # a run whose bounds were never written is read whole
+    tables.write_index(kept, out.index("run3"))
+    tables.commit_run(spark, out.manifest, "run3")
+    assert jobs.read_trend(spark, base, "T17", "hourly").count() == 8
