@@ -207,22 +207,41 @@ def read_runs(
 
 # ---- keyed tables --------------------------------------------------------------------------
 def upsert(
-    target: DataFrame, delta: DataFrame, keys: Sequence[str], newest: Column | None = None
+    target: DataFrame,
+    delta: DataFrame,
+    keys: Sequence[str],
+    newest: Column | None = None,
+    again: DataFrame | None = None,
 ) -> DataFrame:
     """Target with the rows of the delta put in by key, the delta winning.
 
     If a key can occur more than once in the delta, `newest` orders its rows and the last stays.
-    The target is only anti-joined by key: no sort of, or window over, the larger side.
+    The target is only anti-joined by key: no sort of, or window over, the larger side. Where `again`,
+    the keys that both hold, is known to be small, it goes to every task and the target stays in place.
     """
     if newest is not None:
         latest = Window.partitionBy(*keys).orderBy(newest.desc())
         delta = delta.withColumn("_nth", F.row_number().over(latest)).filter("_nth = 1").drop("_nth")
-    return target.join(delta.select(*keys), list(keys), "left_anti").unionByName(delta)
+    gone = delta.select(*keys) if again is None else F.broadcast(again)
+    return target.join(gone, list(keys), "left_anti").unionByName(delta)
+
+
+# keys written again that are few enough to go to every task
+AGAIN_ROWS = 200_000
 
 
 def append_recent(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Recent posts with the current batch put in: history is neither read again nor regrouped."""
-    return upsert(target, batch, ["PARTITION", "TIMESTAMP", "TICKER"])
+    """Recent posts with the current batch put in: history is neither read again nor regrouped.
+
+    Which keys the batch writes again is found over keys alone; mostly they are few, and then the
+    posts with their texts are only filtered. One job counts them.
+    """
+    keys = ["PARTITION", "TIMESTAMP", "TICKER"]
+    again = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
+    n_again = again.limit(AGAIN_ROWS + 1).count()
+    if n_again == 0:
+        return target.select(*keys, *(c for c in target.columns if c not in keys)).unionByName(batch)
+    return upsert(target, batch, keys, again=again if n_again <= AGAIN_ROWS else None)
 
 
 def recency_layout(recent: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -242,3 +242,35 @@ def test_layouts_let_look_ups_skip_files(spark, tmp_path):
     found = serve.at_level(tables.read_snapshot(spark, str(tmp_path / "snapshot"), "r1", TICKER_ROLLUP), "2024-01-03")
     assert "EqualTo(DetailLevel,2024-01-03)" in plan(found)
     assert found.count() == 40
+
+
+RECENT = "PARTITION string, TIMESTAMP string, ID string, TICKER string, TEXT string, CLEANTEXT string"
+
+
+def recent_rows(spark):
+    data = [(str(i % 5), f"{i // 2:03d}", str(i), f"T{i % 3}", f"text {i} " + "w x. \u00fc\U0001f600 " * (i % 7), "" if i % 4 else None) for i in range(60)]
+    odd = F.when(F.col("ID") == "7", F.expr("cast(X'41FF42' AS string)")).when(F.col("ID") != "8", F.col("TEXT"))
+    return spark.createDataFrame(data, RECENT).withColumn("TEXT", odd)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as of tables that are too large to be broadcast unasked."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_appending_leaves_the_posts_that_stand_in_place(spark, monkeypatch, no_broadcast):
+    df = recent_rows(spark)
+    old, new = df.filter("ID < '4'"), df.filter("ID >= '3'").withColumn("CLEANTEXT", F.lit("new"))
+    keys = ["PARTITION", "TIMESTAMP", "TICKER"]
+    for batch in (new, df.filter("ID >= '4'"), new.withColumn("TICKER", F.lit(None).cast("string"))):
+        want = rows(tables.upsert(old, batch, keys).drop("TEXT"))
+        out = tables.append_recent(old, batch)
+        assert rows(out.drop("TEXT")) == want
+        # the older posts are not shuffled, with their texts, to be told from those written again
+        assert all("BroadcastHashJoin" in line for line in plan(out).splitlines() if "LeftAnti" in line)
+        with monkeypatch.context() as many:
+            many.setattr(tables, "AGAIN_ROWS", 1)
+            assert rows(tables.append_recent(old, batch).drop("TEXT")) == want
