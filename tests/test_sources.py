@@ -253,6 +253,27 @@ def recent_rows(spark):
     return spark.createDataFrame(data, RECENT).withColumn("TEXT", odd)
 
 
+def test_texts_travel_packed_and_come_back_as_they_were(spark, tmp_path, monkeypatch):
+    df = recent_rows(spark)
+    shown = [*df.columns[:4], F.expr("hex(cast(TEXT AS binary)) AS bytes"), "CLEANTEXT"]
+    for size in (tables.UNPACKED_BYTES, 1):
+        monkeypatch.setattr(tables, "UNPACKED_BYTES", size)
+        out = tables.recency_layout(df, 3)
+        assert out.schema == df.schema and rows(out.select(*shown)) == rows(df.select(*shown))
+        # the order of the layout holds within every partition
+        placed = out.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"), "PARTITION", "TIMESTAMP").collect()
+        parts = [[(r["PARTITION"], r["TIMESTAMP"]) for r in sorted(placed, key=lambda r: r["i"]) if r["p"] == p] for p in range(3)]
+        for part in parts:
+            newest_last = sorted(part, key=lambda r: r[1], reverse=True)
+            assert part == sorted(newest_last, key=lambda r: r[0])
+    text = plan(tables.recency_layout(df, 3))
+    # the shuffle lies between packing and unpacking
+    assert text.index("MapInArrow unpack") < text.index("rangepartitioning(PARTITION") < text.index("MapInArrow pack(")
+    path = str(tmp_path / "parted")
+    tables.write_partitioned(df, path, ["TICKER"], texts=["TEXT", "CLEANTEXT", "none"])
+    assert rows(files.read_table(spark, path).select(*shown)) == rows(df.select(*shown))
+
+
 @pytest.fixture
 def no_broadcast(spark):
     """Joins as of tables that are too large to be broadcast unasked."""
