@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -24,6 +24,8 @@ from mention_pulse.session import configure
 from mention_pulse.sources import batches, files, tables
 
 BATCH, SPAM = batches.BATCH, "possible_spam"
+# text columns of the clean mentions
+TEXTS = ("tweet_text_text", "tweet_text_clean")
 # partition columns of the clean mentions, below batch and attempt
 CLEAN_KEYS = [SPAM, *PARTS]
 
@@ -90,7 +92,7 @@ def write_clean(mentions: DataFrame, base: str, batch: str, source: str | None =
     """
     spam = F.count_if(F.col(SPAM))
     watched, seen = tables.counted(mentions, f"clean_{batch}", n_spam=spam)
-    batches.write_batch(watched, base, batch, CLEAN_KEYS, source)
+    batches.write_batch(watched, base, batch, CLEAN_KEYS, source, TEXTS)
     try:
         return seen.get
     except Py4JJavaError:  # an empty frame is planned away, with what was to be counted
@@ -150,6 +152,10 @@ class Serving:
     def replaced(self) -> str:
         return f"{self.base}/recent_replaced"
 
+    @property
+    def twice(self) -> str:
+        return f"{self.base}/recent_twice"
+
     @property
     def metrics(self) -> str:
         return f"{self.base}/level_metrics"
@@ -225,14 +231,29 @@ def _write_rollup(rows: DataFrame, out: Serving, run_id: str) -> None:
     tables.write_bounds(rows.sparkSession, out.index(run_id), bounds, INDEX_KEYS, TICKER_ROLLUP_KEPT)
 
 
+def _delivered_once(recent: DataFrame, out: Serving, run_id: str) -> DataFrame:
+    """Of posts delivered twice within a run one each, the same whenever the run is repeated.
+
+    Their keys are found over keys alone, and written; only posts of these keys are sorted, texts and all.
+    """
+    twice = recent.groupBy(*RECENT_KEYS).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    tables.write_snapshot(twice, out.twice, run_id)
+    kept = T.StructType([f for f in RECENT_POSTS.fields if f.name in (*RECENT_KEYS, tables.RUN)])
+    twice = tables.read_snapshot(recent.sparkSession, out.twice, run_id, kept)
+    if twice.isEmpty():
+        return recent
+    named = twice.select(*(F.col(k).alias(f"_{k}") for k in RECENT_KEYS))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in RECENT_KEYS))
+    order = Window.partitionBy(*RECENT_KEYS).orderBy(F.xxhash64(*recent.columns))
+    chosen = recent.join(named, same, "left_semi").withColumn("_nth", F.row_number().over(order)).filter("_nth = 1")
+    return recent.join(named, same, "left_anti").unionByName(chosen.drop("_nth"))
+
+
 def _write_recent(mentions: DataFrame, out: Serving, run_id: str, n_keys: int, rebuilt: Sequence[str] = ()) -> tuple[str | None, str | None]:
     """Recent posts of a run, and the keys of earlier runs' posts that it replaces; gives the bounds of its keys."""
     spark = mentions.sparkSession
-    recent = serve.recent_table(mentions, n_keys)
-    # delivered twice within the run: one of them, the same whenever the run is repeated
-    order = Window.partitionBy(*RECENT_KEYS).orderBy(F.xxhash64(*recent.columns))
-    once = recent.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
-    tables.write_snapshot(tables.recency_layout(once), out.recent, run_id)
+    once = _delivered_once(serve.recent_table(mentions, n_keys), out, run_id)
+    tables.write_snapshot(tables.recency_layout(once), out.recent, run_id, compression="zstd")
     mine = tables.read_snapshot(spark, out.recent, run_id, RECENT_POSTS)
     first, last = mine.agg(F.min("TIMESTAMP"), F.max("TIMESTAMP")).first()
     if first is not None:

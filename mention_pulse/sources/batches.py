@@ -61,17 +61,20 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select(name.alias("file"), F.col("length").alias("bytes"))
 
 
-def write_batch(df: DataFrame, base: str, batch: str, keys: Sequence[str], source: str | None = None) -> None:
+def write_batch(
+    df: DataFrame, base: str, batch: str, keys: Sequence[str], source: str | None = None, texts: Sequence[str] = ()
+) -> None:
     """Write a batch, in place of what it held before, partitioned by `keys`.
 
     `source` is the attempt, of the batch of that name in another table, that it was made from; see `stale`.
+    `texts` are columns that travel packed; see `write_partitioned`.
     """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"{batch!r} is no name for a batch: letters, digits, _, . and - only")
     spark = df.sparkSession
     attempt = uuid.uuid4().hex
     folder = _folder(base, batch, attempt)
-    write_partitioned(df, folder, keys)
+    write_partitioned(df, folder, keys, texts=texts)
     own = spark.createDataFrame(
         [(None, None, df.schema.json(), list(keys), source)],
         "file string, bytes long, schema string, keys array<string>, source string",

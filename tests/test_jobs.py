@@ -448,3 +448,23 @@ def test_look_ups_list_only_files_that_may_hold_the_answer(spark, tmp_path):
     tables.write_index(kept, out.index("run3"))
     tables.commit_run(spark, out.manifest, "run3")
     assert jobs.read_trend(spark, base, "T17", "hourly").count() == 8
+
+
+def test_posts_delivered_twice_in_a_run_are_found_by_their_keys(spark, tmp_path):
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    day = dt.date(2022, 11, 30)
+    once = [mention(i, "AB"[i % 2], "01") for i in range(6)]
+    again = [(*once[0][:4], "other", *once[0][5:]), once[1], once[1], (None, *once[2][1:]), (None, *once[2][1:])]
+    jobs.write_clean(clean_frame(spark, once + again), clean, "b1")
+    assert jobs.aggregate(spark, clean, base, "r1", day)
+    served = jobs.read_recent(spark, base)
+    assert rows(served, "ID") == sorted([(str(i),) for i in range(6)] + [(None,)], key=repr)
+    both = serve.recent_table(jobs.read_clean(spark, clean), 5).filter("ID = '0'")
+    first = both.orderBy(F.xxhash64(*both.columns)).first()["TEXT"]
+    assert rows(served.filter("ID = '0'"), "TEXT") == [(first,)]
+    # without such posts no row is sorted or shuffled before its layout
+    out = jobs.Serving(base)
+    single = serve.recent_table(jobs.read_clean(spark, clean).filter("tweet_id > 1"), 5)
+    assert jobs._delivered_once(single, out, "r2") is single
+    chosen = jobs._delivered_once(serve.recent_table(jobs.read_clean(spark, clean), 5), out, "r2")
+    assert rows(chosen, "ID") == rows(served, "ID")
