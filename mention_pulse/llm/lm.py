@@ -7,7 +7,8 @@ with very many tokens into several. Each shard is a file of arrays that tasks ma
 
 * pointers: where each context's children begin, a monotone sequence in Elias-Fano coding;
 * children: (context - first context) * V + word, monotone too, in Elias-Fano coding; a child is looked
-  for as the successor of this value inside its bucket and between its context's pointers;
+  for between its context's pointers by the low parts, by which few children differ, and first inside its bucket
+  where there are many (as its successor where the low parts do not tell words apart);
 * quantised log10 probabilities of the n-grams, and for each context the quantised log10 weight with
   which the shorter context comes in.
 
@@ -79,20 +80,22 @@ class Shards:
     split: np.ndarray  # contexts over several shards, and the log10 weight behind each
     behind: np.ndarray
 
-    def of_key(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.contexts, context, side="right") - 1
-        while True:  # shards that begin inside this context, behind the word
-            beyond = (self.contexts[at] == context) & (self.words[at] > word)
-            if not beyond.any():
-                return at
-            at[beyond] -= 1
+    def begins(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Where each shard's n-grams begin among these, which are in order (with the end of the last); a word of -1 is
+        in its context's first shard."""
+        out = np.searchsorted(context, self.contexts)
+        for k in np.flatnonzero(self.words > 0):
+            end = np.searchsorted(context, self.contexts[k], side="right")
+            out[k] += np.searchsorted(word[out[k] : end], self.words[k])
+        return np.append(out, len(context))
 
     def of_place(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, place, side="right") - 1
 
 
 # ---- Elias-Fano ----------------------------------------------------------------------------
-_EACH, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+SHORT_RANGE = 64  # values searched by their low parts without asking for a bucket
+_ONE, _EACH, _TOPS = np.uint64(1), np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 _PAIRS, _FOURS, _EIGHTS = (np.uint64(x) for x in (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F))
 
 
@@ -132,6 +135,17 @@ def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, ones: bool) ->
     return at * 64 + shift.astype(np.int64) + _IN_BYTE[(rest << np.uint64(8)) | ((word >> shift) & np.uint64(255))]
 
 
+def _next(words: np.ndarray, before: np.ndarray, place: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
+    """Place of the one or zero after the k-th, which is at `place`; most lie in the same word."""
+    word = words[place >> 6]
+    rest = (word if ones else ~word) >> (place & 63).astype(np.uint64) >> _ONE
+    out = place + 1 + np.bitwise_count(~rest & (rest - _ONE))
+    far = np.flatnonzero(rest == 0)
+    if len(far):
+        out[far] = _select(words, before, k[far] + 1, ones)
+    return out
+
+
 class EliasFano:
     """A sequence of values that never fall."""
 
@@ -179,13 +193,69 @@ class EliasFano:
     def _low(self, i: np.ndarray) -> np.ndarray:
         return self._with_low(np.zeros(len(i), dtype=np.int64), i)
 
+    def pair(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at places i and i + 1."""
+        place = _select(self.bits, self.ones, i, True)
+        after = _next(self.bits, self.ones, place, i, True)
+        return self._with_low(place - i, i), self._with_low(after - i - 1, i + 1)
+
+    def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the values with this high part begin and end."""
+        inner = np.maximum(high - 1, 0)
+        place = _select(self.bits, self.zeros, inner, False)
+        after = _next(self.bits, self.zeros, place, inner, False)
+        return np.where(high > 0, place - inner, 0), np.where(high > 0, after - high, place)
+
+    def _short_low(self, i: np.ndarray) -> np.ndarray:
+        """Low parts in as few bytes as they take."""
+        whole = np.uint32 if self.shift <= 32 else np.uint64
+        if not self.low:
+            return np.zeros(len(i), dtype=whole)
+        out = self.low[0][1][i].astype(whole)
+        for bits, low in self.low[1:]:
+            out <<= whole(bits)
+            out |= low[i]
+        return out
+
+    def child(self, base: np.ndarray, step: np.ndarray, bound: int, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the sorted values base + step are there, and their places. The values in [begin, end) are those from
+        base to base + bound, not included. Where so many differ in their low parts, short ranges are searched by these alone."""
+        value = base + step
+        equal = np.zeros(len(value), dtype=bool)
+        if bound > 1 << self.shift:
+            at, equal[:] = self.successor(value, begin, end)
+            return at, equal
+        whole = np.uint32 if self.shift <= 32 else np.uint64
+        mask = whole((1 << self.shift) - 1)
+        a, b = begin.copy(), end.copy()
+        long = np.flatnonzero(end - begin > SHORT_RANGE)
+        if len(long):  # the bucket of the value
+            first, last = self._bucket((value[long] >> np.uint64(self.shift)).astype(np.int64))
+            a[long] = np.maximum(first, a[long])
+            b[long] = np.minimum(last, b[long])
+        base, sought = base.astype(whole), step.astype(whole)
+        live = np.flatnonzero(b - a > 1)
+        left, right, low, own = a[live], b[live], base[live], sought[live]
+        while len(live):  # the last one that is not larger
+            mid = (left + right) >> 1
+            larger = ((self._short_low(mid) - low) & mask) > own
+            left, right = np.where(larger, left, mid), np.where(larger, mid, right)
+            more = np.flatnonzero(right - left > 1)
+            if 4 * len(more) < 3 * len(live):  # until then, those that are done stay as they are
+                a[live] = left
+                live, left, right, low, own = live[more], left[more], right[more], low[more], own[more]
+            elif not len(more):
+                break
+        a[live] = left
+        there = np.flatnonzero(a < b)
+        equal[there] = ((self._short_low(a[there]) - base[there]) & mask) == sought[there]
+        return a, equal
+
     def successor(self, value: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Place of the first value that is not smaller, within [begin, end), and whether it is equal."""
         high = (value >> np.uint64(self.shift)).astype(np.int64)
         low = (value & np.uint64((1 << self.shift) - 1)).astype(np.int64)
-        inner = np.maximum(high - 1, 0)
-        first = np.where(high > 0, _select(self.bits, self.zeros, inner, False) - inner, 0)
-        last = _select(self.bits, self.zeros, high, False) - high
+        first, last = self._bucket(high)
         first = np.maximum(first, begin)
         stop = last if end is None else np.minimum(last, end)
         a, b = first, np.maximum(stop, first)
@@ -198,6 +268,7 @@ class EliasFano:
             more = left < right
             if not more.all():
                 a[live] = left
+                more = np.flatnonzero(more)
                 live, left, right, sought = live[more], left[more], right[more], sought[more]
         inside = a < stop
         equal = inside.copy()
@@ -266,9 +337,12 @@ def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def word_ids(model: Model, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Id of each word, -1 for others, and its count in training."""
-    distinct, where = np.unique(h, return_inverse=True)
-    ids, counts = _distinct_ids(model, distinct)
-    return ids[where], counts[where]
+    coded = pa.array(h).dictionary_encode()
+    distinct, where = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(distinct)  # in order, neighbours read the same parts of the file
+    found = np.empty((2, len(order)), dtype=np.int64)
+    found[:, order] = _distinct_ids(model, distinct[order])
+    return found[0][where], found[1][where]
 
 
 def _distinct_ids(model: Model, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -300,60 +374,77 @@ def _distinct_ids(model: Model, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, counts
 
 
+def _in_order(context: np.ndarray, word: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of (context, word) pairs, words from -1 on, and which in this order differ from the one before."""
+    bits = ((int(context.max()) + 1) * (n_words + 1)).bit_length()
+    if bits > 64:
+        order = np.lexsort((word, context))
+        context, word = context[order], word[order]
+        return order, np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1]))
+    key = context.astype(np.uint64) * np.uint64(n_words + 1) + (word + 1).astype(np.uint64)
+    room = len(key).bit_length()
+    if bits + room <= 64:  # with its place behind it a key is sorted by itself
+        key <<= np.uint64(room)
+        key |= np.arange(len(key), dtype=np.uint64)
+        key.sort()
+        order = (key & np.uint64((1 << room) - 1)).astype(np.int64)
+        key >>= np.uint64(room)
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    return order, np.append(True, key[1:] != key[:-1])
+
+
 def _there(arrays: dict, meta: dict, n_words: int, local: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which n-grams (context in the shard, word) a shard has, and their places in it, both in the shard's order."""
-    who = np.flatnonzero(word >= 0)
-    if not len(who):
-        return who, who
-    key = local[who].astype(np.uint64) * np.uint64(n_words) + word[who].astype(np.uint64)
-    order = np.argsort(key)  # in order, neighbours read the same parts of the file
-    who, key = who[order], key[order]
-    first = np.append(True, key[1:] != key[:-1])  # each n-gram is looked up once
-    local, once = local[who[first]], key[first]
+    """Places in a shard of n-grams (context in the shard, word), in order and each once, and which are there."""
     new = np.append(True, local[1:] != local[:-1])
+    of_new = np.cumsum(new) - 1
     pointers = EliasFano(arrays, "pointers", meta["pointer_shift"], meta["contexts"] + 1)
-    begin, end = (pointers.at(local[new] + i)[np.cumsum(new) - 1] for i in (0, 1))
+    begin, end = (x[of_new] for x in pointers.pair(local[np.flatnonzero(new)]))
     children = EliasFano(arrays, "children", meta["shift"], meta["n"])
-    at, equal = np.zeros(len(once), dtype=np.int64), np.zeros(len(once), dtype=bool)
-    single, more = np.flatnonzero(end - begin == 1), np.flatnonzero(end - begin > 1)
-    at[single] = begin[single]  # an only child is read, others are searched
-    equal[single] = children.at(begin[single]) == once[single].astype(np.int64)
-    at[more], equal[more] = children.successor(once[more], begin[more], end[more])
-    back = np.cumsum(first) - 1
-    found = equal[back]
-    return who[found], at[back[found]]
+    base = local.astype(np.uint64) * np.uint64(n_words)
+    at, equal = children.child(base, np.maximum(word, 0).astype(np.uint64), n_words, begin, end)
+    return at, equal & (word >= 0)
 
 
 def _find(
-    model: Model, level: int, context: np.ndarray, word: np.ndarray, weights: bool = True
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place of each n-gram of a level, -1 for others; its log10 probability; with `weights`, of others the log10
-    weight behind their context."""
-    place = np.full(len(word), -1, dtype=np.int64)
-    prob, behind = np.zeros(len(word)), np.zeros(len(word))
+    model: Model, level: int, context: np.ndarray, word: np.ndarray, probs: bool = True, weights: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each n-gram of a level, -1 for others; with `probs`, its log10 probability, and with `weights`, of
+    others the log10 weight behind their context."""
+    place, value = np.full(len(word), -1, dtype=np.int64), np.zeros(len(word))
     shards = model.levels[level - 2] if len(model.levels) > level - 2 else None
     known = np.flatnonzero(context >= 0)
     if shards is None or not len(known):
-        return place, prob, behind
-    for k, part in _by_shard(shards.of_key(context[known], np.maximum(word[known], 0))):
-        mine = known[part]
-        if not shards.sizes[k]:
-            continue
+        return place, value
+    order, first = _in_order(context[known], word[known], model.n_words)
+    known = known[order]
+    once = known[np.flatnonzero(first)]  # each n-gram is looked up once
+    asked, last = context[once], word[once]
+    own, worth = np.full(len(once), -1, dtype=np.int64), np.zeros(len(once))
+    begins = shards.begins(asked, last)
+    for k in np.flatnonzero((np.diff(begins) > 0) & (shards.sizes > 0)).tolist():
         arrays, meta = _read_arrays(f"{model.folder}/{level}-{k}.trie")
-        scores, _ = _read_arrays(f"{model.folder}/{level}-{k}.prob")
-        local = context[mine] - meta["first"]
-        mine, local = mine[local < meta["contexts"]], local[local < meta["contexts"]]
-        who, at = _there(arrays, meta, model.n_words, local, word[mine])
-        place[mine[who]] = int(shards.starts[k]) + at
-        prob[mine[who]] = _value(scores["prob"][at])
-        if weights:
-            lost = np.ones(len(mine), dtype=bool)
-            lost[who] = False
-            behind[mine[lost]] = _value(scores["behind"][local[lost]])
-    if weights and len(shards.split):
-        at = np.minimum(np.searchsorted(shards.split, context), len(shards.split) - 1)
-        behind = np.where(shards.split[at] == context, shards.behind[at], behind)
-    return place, prob, behind
+        a, b = int(begins[k]), int(begins[k + 1])
+        b = a + int(np.searchsorted(asked[a:b], meta["first"] + meta["contexts"]))
+        if a == b:
+            continue
+        local = asked[a:b] - meta["first"]
+        at, equal = _there(arrays, meta, model.n_words, local, last[a:b])
+        there = np.flatnonzero(equal)
+        own[a + there] = int(shards.starts[k]) + at[there]
+        if probs:
+            scores, _ = _read_arrays(f"{model.folder}/{level}-{k}.prob")
+            worth[a + there] = _value(scores["prob"][at[there]])
+            if weights:
+                lost = np.flatnonzero(~equal)
+                worth[a + lost] = _value(scores["behind"][local[lost]])
+    if probs and weights and len(shards.split):
+        at = np.minimum(np.searchsorted(shards.split, asked), len(shards.split) - 1)
+        worth = np.where((shards.split[at] == asked) & (own < 0), shards.behind[at], worth)
+    back = np.cumsum(first) - 1
+    place[known], value[known] = own[back], worth[back]
+    return place, value
 
 
 def _last_words(model: Model, level: int, place: np.ndarray) -> np.ndarray:
@@ -419,8 +510,8 @@ def _scores(model: Model, tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.nd
     score, place = base.copy(), ids
     for level in range(2, model.order + 1):
         context = tokens.shifted(place, level, model.end_id)
-        place, prob, behind = _find(model, level, context, ids)
-        score = np.where(place >= 0, prob, score + behind)
+        place, value = _find(model, level, context, ids)
+        score = np.where(place >= 0, value, score + value)
     return score, base, counts
 
 
@@ -582,6 +673,20 @@ def _level_cuts(spark: SparkSession, model: Model, level: int, size: int) -> Sha
     return Shards(np.array([c for c, _ in first], dtype=np.int64), np.array([w for _, w in first], dtype=np.int64), none, none, none[:0], none[:0])
 
 
+def _tallied(context: np.ndarray, word: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, in order, and how often it is there."""
+    if (int(context.max()) + 1) * n_words <= 1 << 64:  # as one number a pair is sorted by itself
+        key = context.astype(np.uint64) * np.uint64(n_words) + word.astype(np.uint64)
+        key.sort()
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        context, word = (x.astype(np.int64) for x in np.divmod(key[begin], np.uint64(n_words)))
+        return context, word, np.diff(np.append(begin, len(key)))
+    order = np.lexsort((word, context))
+    context, word = context[order], word[order]
+    begin = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
+    return context[begin], word[begin], np.diff(np.append(begin, len(order)))
+
+
 def _counted_ngrams(docs: DataFrame, model: Model, level: int, shards: Shards) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast((model, shards))  # bounds of shards only
 
@@ -593,13 +698,10 @@ def _counted_ngrams(docs: DataFrame, model: Model, level: int, shards: Shards) -
             context, word = np.concatenate(contexts), np.concatenate(words)
             contexts.clear()
             words.clear()
-            shard = shards.of_key(context, word)
+            context, word, counts = _tallied(context, word, model.n_words)
+            shard = np.repeat(np.arange(len(shards.contexts)), np.diff(shards.begins(context, word)))
             key = (context - shards.contexts[shard]).astype(np.uint64) * np.uint64(model.n_words) + word.astype(np.uint64)
-            order = np.argsort(key)
-            order = order[_shard_order(shard[order])]
-            shard, key = shard[order], key[order]
-            begin = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])))
-            yield from _parts(shard[begin], key[begin], np.diff(np.append(begin, len(key))))
+            yield from _parts(shard, key, counts)
 
         for part in common.slices(batches, size=SLICE_BYTES):
             tokens = Tokens.of(part["text"])
@@ -608,7 +710,7 @@ def _counted_ngrams(docs: DataFrame, model: Model, level: int, shards: Shards) -
             for k in range(2, level + 1):
                 context = tokens.shifted(place, k, model.end_id)
                 if k < level:
-                    place, _, _ = _find(model, k, context, ids, weights=False)
+                    place, _ = _find(model, k, context, ids, probs=False)
             there = np.flatnonzero(context >= 0)
             contexts.append(context[there])
             words.append(ids[there])

@@ -445,6 +445,61 @@ def test_language_model(spark, shard_tokens):
     assert lm.held_out_scores(empty(spark)).count() == 0
 
 
+def test_children_by_low_parts():
+    rng = np.random.default_rng(3)
+    for n_words, contexts, most in ((1, 5, 1), (40, 30, 40), (300, 50, 200), (70_000, 200, 900), (1 << 34, 40, 30)):
+        sizes = np.minimum(rng.integers(1, most + 1, contexts), n_words)
+        sizes[-1] = min(most, n_words)
+        words_of = [np.sort(rng.choice(n_words, k, replace=False) if n_words < 1 << 20 else np.unique(rng.integers(0, n_words, k))) for k in sizes]
+        begins = np.append(0, np.cumsum([len(w) for w in words_of]))
+        keys = np.concatenate([c * n_words + w for c, w in enumerate(words_of)]).astype(np.uint64)
+        pointers, pointer_shift = lm.EliasFano.build(begins, len(keys), "p")
+        first, end = lm.EliasFano(pointers, "p", pointer_shift, contexts + 1).pair(np.arange(contexts))
+        assert (first == begins[:-1]).all() and (end == begins[1:]).all()
+        shifts = {lm.EliasFano.build(keys, contexts * n_words, "x")[1], *(s for s in (8, 16) if n_words < 1 << 20)}
+        for shift in shifts:  # a universe that asks for this shift
+            arrays, own = lm.EliasFano.build(keys, max(contexts * n_words, len(keys) << shift), "x")
+            children = lm.EliasFano(arrays, "x", own, len(keys))
+            asked = np.sort(np.concatenate([keys, rng.integers(0, contexts * n_words, 2000).astype(np.uint64)]))
+            local = (asked // np.uint64(n_words)).astype(np.int64)
+            base = local.astype(np.uint64) * np.uint64(n_words)
+            at, there = children.child(base, asked - base, n_words, begins[local], begins[local + 1])
+            assert (there == np.isin(asked, keys)).all() and (at[there] == np.searchsorted(keys, asked[there])).all()
+
+
+def test_ngrams_in_order():
+    rng = np.random.default_rng(5)
+    bounds = [(0, 0), (3, 0), (3, 4), (3, 9), (7, 0), (20, 0)]
+    none = np.zeros(len(bounds), dtype=np.int64)
+    shards = lm.Shards(*(np.array(x) for x in zip(*bounds)), none, none, none[:0], none[:0])
+    for n_words, most in ((12, 25), (12, 1 << 40), (1 << 40, 1 << 40)):  # short, long and no common keys
+        context = np.append(rng.integers(0, 25, 500), rng.integers(0, most, 50))
+        word = rng.integers(-1, 12, 550)
+        order, first = lm._in_order(context, word, n_words)
+        pairs = sorted(zip(context.tolist(), word.tolist()))
+        assert list(zip(context[order].tolist(), word[order].tolist())) == pairs
+        assert first.tolist() == [i == 0 or pairs[i] != pairs[i - 1] for i in range(len(pairs))]
+        begins = shards.begins(context[order], word[order])
+        for i, (c, w) in enumerate(pairs):
+            k = max(k for k, bound in enumerate(bounds) if bound <= (c, max(w, 0)))
+            assert begins[k] <= i < begins[k + 1]
+        tallied = lm._tallied(context, np.maximum(word, 0), n_words)
+        counts = Counter((c, max(w, 0)) for c, w in pairs)
+        assert list(zip(*(x.tolist() for x in tallied))) == [(*pair, counts[pair]) for pair in sorted(counts)]
+
+
+def test_look_ups_select_little(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.2, 400) % 3000) for _ in range(50)]
+    model = lm.train(frame(spark, texts), 3)
+    selected, select = [], lm._select
+    monkeypatch.setattr(lm, "_select", lambda words, before, k, ones: selected.append(len(k)) or select(words, before, k, ones))
+    tokens = lm.Tokens.of(pa.array(texts))
+    lm._scores(model, tokens)
+    # selections are for distinct words and contexts, not twice for each n-gram besides
+    assert sum(selected) < 1.6 * len(tokens.h)
+
+
 # ---- decontamination -------------------------------------------------------------------------
 def test_leaks(spark):
     rng = np.random.default_rng(4)
