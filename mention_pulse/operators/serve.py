@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mention_pulse.functions.keys import check_level, key_ts, spread_key, time_key
-from mention_pulse.schemas import COUNTERS
+from mention_pulse.schemas import COUNTERS, TEXTS_AT
 
 # Fixed value: the lower time bound when a caller gives none.
 DEFAULT_START = "2022-10-15 00:00:00"
@@ -112,15 +112,18 @@ def all_metrics(metrics: DataFrame) -> DataFrame:
 
 # ---- recent posts --------------------------------------------------------------------------
 def recent_table(mentions: DataFrame, n_keys: int = 5, run_id: str | None = None) -> DataFrame:
-    """Mentions in the shape of the recent-posts table. Ordering is left to the sink."""
+    """Mentions in the shape of the recent-posts table. Ordering is left to the sink.
+
+    Mentions whose texts are kept apart keep their reference (TEXTS_AT) in place of the texts.
+    """
+    texts = [F.col("tweet_text_text").alias("TEXT"), F.col("tweet_text_clean").alias("CLEANTEXT")]
     out = mentions.select(
         spread_key("tweet_id", n_keys).alias("PARTITION"),
         time_key("tweet_meta_created_at", "tweet_id").alias("TIMESTAMP"),
         F.col("tweet_id").cast("string").alias("ID"),
         F.col("ticker").alias("TICKER"),
         F.col("tweet_text_sentiment").alias("SENTIMENT"),
-        F.col("tweet_text_text").alias("TEXT"),
-        F.col("tweet_text_clean").alias("CLEANTEXT"),
+        *([TEXTS_AT] if TEXTS_AT in mentions.columns else texts),
     )
     return out if run_id is None else out.withColumn("RUN_ID", F.lit(run_id))
 

@@ -19,7 +19,15 @@ from mention_pulse.functions.keys import PARTS
 from mention_pulse.operators import rollup, serve
 from mention_pulse.operators.spam import flag_spam, with_clean_text
 from mention_pulse.operators.tags import tag_mentions, top_tickers
-from mention_pulse.schemas import LEVEL_METRICS, RECENT_POSTS, TABLE_KEYS, TICKER_ROLLUP, TICKER_ROLLUP_KEPT
+from mention_pulse.schemas import (
+    LEVEL_METRICS,
+    RECENT_POSTS,
+    RECENT_POSTS_KEPT,
+    TABLE_KEYS,
+    TEXTS_AT,
+    TICKER_ROLLUP,
+    TICKER_ROLLUP_KEPT,
+)
 from mention_pulse.session import configure
 from mention_pulse.sources import batches, files, tables
 
@@ -101,16 +109,19 @@ def write_clean(mentions: DataFrame, base: str, batch: str, source: str | None =
         return {"n_rows": 0, "n_spam": 0}
 
 
-def read_clean(spark: SparkSession, base: str, spam: bool = False, where: Column | None = None) -> DataFrame:
+def read_clean(
+    spark: SparkSession, base: str, spam: bool = False, where: Column | None = None, with_texts: bool = True
+) -> DataFrame:
     """Clean (or spam) mentions of all batches as they were written last.
 
     `base` is where `write_clean` wrote, or a plain Parquet table of mentions by year, month, day
-    and hour. `where` holds for partition columns only, and prunes before files are listed.
+    and hour. `where` holds for partition columns only, and prunes before files are listed. For `with_texts` see
+    `batches.read_batches`.
     """
     if not batches.is_batched(spark, base):
         return files.read_table(spark, base, where)
     side = F.col(SPAM) == str(spam).lower()
-    return batches.read_batches(spark, base, side if where is None else side & where).drop(SPAM)
+    return batches.read_batches(spark, base, side if where is None else side & where, with_texts).drop(SPAM)
 
 
 def clean_parts(spark: SparkSession, base: str) -> DataFrame:
@@ -148,6 +159,10 @@ class Serving:
     def recent(self) -> str:
         return f"{self.base}/recent_posts"
 
+    @property
+    def texts(self) -> str:
+        return f"{self.base}/recent_texts"
+
     @property
     def replaced(self) -> str:
         return f"{self.base}/recent_replaced"
@@ -214,12 +229,12 @@ def refuse_committed(spark: SparkSession, manifest: str, run_id: str) -> None:
 
 
 def _mentions_of(spark: SparkSession, clean_path: str, parts: Sequence[str]) -> DataFrame:
-    """Clean mentions of some parts: a scan that lists just their days and batches."""
+    """Clean mentions of some parts: a scan that lists just their days and batches, and leaves texts that lie apart there."""
     if not batches.is_batched(spark, clean_path):
         clean = files.read_table(spark, clean_path)
         return clean.filter(part_of(clean.columns).isin(list(parts)))
     keys = [BATCH, batches.ATTEMPT, *PARTS]
-    return read_clean(spark, clean_path, where=part_of(keys).isin(list(parts)))
+    return read_clean(spark, clean_path, where=part_of(keys).isin(list(parts)), with_texts=False)
 
 
 def _write_rollup(rows: DataFrame, out: Serving, run_id: str) -> None:
@@ -244,15 +259,31 @@ def _delivered_once(recent: DataFrame, out: Serving, run_id: str) -> DataFrame:
         return recent
     named = twice.select(*(F.col(k).alias(f"_{k}") for k in RECENT_KEYS))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in RECENT_KEYS))
-    order = Window.partitionBy(*RECENT_KEYS).orderBy(F.xxhash64(*recent.columns))
-    chosen = recent.join(named, same, "left_semi").withColumn("_nth", F.row_number().over(order)).filter("_nth = 1")
-    return recent.join(named, same, "left_anti").unionByName(chosen.drop("_nth"))
-
-
-def _write_recent(mentions: DataFrame, out: Serving, run_id: str, n_keys: int, rebuilt: Sequence[str] = ()) -> tuple[str | None, str | None]:
-    """Recent posts of a run, and the keys of earlier runs' posts that it replaces; gives the bounds of its keys."""
+    chosen = recent.join(named, same, "left_semi")
+    # by the whole row: texts that are kept apart are read for that, and left again
+    whole = [c for c in recent.columns if c != TEXTS_AT]
+    if TEXTS_AT in recent.columns:
+        at = F.col(TEXTS_AT).alias("_at")
+        chosen = tables.with_texts(chosen.select("*", at), tables.TEXTS, out.texts).withColumnRenamed("_at", TEXTS_AT)
+        whole += tables.TEXTS
+    chosen = chosen.withColumn("_order", F.xxhash64(*whole)).select(*recent.columns, "_order")
+    order = Window.partitionBy(*RECENT_KEYS).orderBy("_order")
+    chosen = chosen.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1")
+    return recent.join(named, same, "left_anti").unionByName(chosen.select(*recent.columns))
+
+
+def _write_recent(
+    mentions: DataFrame, clean_path: str, out: Serving, run_id: str, n_keys: int, rebuilt: Sequence[str] = ()
+) -> tuple[str | None, str | None]:
+    """Recent posts of a run, and the keys of earlier runs' posts that it replaces; gives the bounds of its keys.
+
+    Where the mentions have their texts apart, the serving side takes a copy of these files and never moves a text.
+    """
     spark = mentions.sparkSession
-    once = _delivered_once(serve.recent_table(mentions, n_keys), out, run_id)
+    recent = serve.recent_table(mentions, n_keys)
+    if TEXTS_AT in recent.columns:
+        recent = tables.take_texts(recent, clean_path, out.texts)
+    once = _delivered_once(recent, out, run_id)
     tables.write_snapshot(tables.recency_layout(once), out.recent, run_id, compression="zstd")
     mine = tables.read_snapshot(spark, out.recent, run_id, RECENT_POSTS)
     first, last = mine.agg(F.min("TIMESTAMP"), F.max("TIMESTAMP")).first()
@@ -300,7 +331,7 @@ def aggregate(
         tables.write_snapshot(rollup.metrics_from_hours(hours), out.metrics, run_id)
     finally:
         hours.unpersist()
-    bounds = _write_recent(mentions, out, run_id, n_keys)
+    bounds = _write_recent(mentions, clean_path, out, run_id, n_keys)
     tables.commit_run(spark, out.manifest, run_id, parts, chain=[*chain, run_id], bounds=bounds)
     return True
 
@@ -346,7 +377,7 @@ def rebuild_days(
     _write_rollup(rollup.replace_days(old, fresh, days), out, run_id)
     rebuilt = tables.read_snapshot(spark, out.rollup, run_id, TICKER_ROLLUP)
     tables.write_snapshot(rollup.metrics_of_rollup(rebuilt), out.metrics, run_id)
-    bounds = _write_recent(mentions, out, run_id, n_keys, days)
+    bounds = _write_recent(mentions, clean_path, out, run_id, n_keys, days)
     tables.commit_run(spark, out.manifest, run_id, parts, rebuilt=days, bounds=bounds)
 
 
@@ -447,13 +478,14 @@ def _live_recent(
     """Recent posts that stand, of all committed runs or of some, RUN_ID being the run that wrote each.
 
     Void are those of days rebuilt since, and those whose key a later run wrote again. Both are known
-    by small tables, so posts themselves are only filtered: nothing sorts or shuffles them.
+    by small tables, so posts themselves are only filtered: nothing sorts or shuffles them. Texts that lie apart
+    are left there; see `_with_texts`.
     """
     runs = tables.read_manifest(spark, out.manifest)
     stamps = runs.select(F.col("run_id").alias(tables.RUN), "committed_at")
     if runs.isEmpty():
-        return spark.createDataFrame([], RECENT_POSTS)
-    rows = spark.read.schema(RECENT_POSTS).parquet(out.recent)
+        return spark.createDataFrame([], RECENT_POSTS_KEPT)
+    rows = spark.read.schema(RECENT_POSTS_KEPT).parquet(out.recent)
     if run_ids is not None:
         rows = rows.filter(F.col(tables.RUN).isin(list(run_ids)))
     if bounds is not None:
@@ -465,7 +497,12 @@ def _live_recent(
     if again is not None:
         same = [F.col(k) == F.col(f"_{k}") for k in RECENT_KEYS]
         rows = rows.join(again, [*same, F.col("committed_at") < F.col("replaced_at")], "left_anti")
-    return rows.select(*RECENT_POSTS.fieldNames())
+    return rows.select(*RECENT_POSTS_KEPT.fieldNames())
+
+
+def _with_texts(recent: DataFrame, out: Serving, run: str | None) -> DataFrame:
+    """Rows of `_live_recent` as they are served by a run, texts and all."""
+    return tables.with_texts(recent, tables.TEXTS, out.texts).withColumn(tables.RUN, F.lit(run)).select(*RECENT_POSTS.fieldNames())
 
 
 def _replaced_keys(spark: SparkSession, out: Serving, stamps: DataFrame, bounds: tuple[str, str] | None) -> DataFrame | None:
@@ -489,7 +526,7 @@ def read_recent(spark: SparkSession, base: str) -> DataFrame:
     """Recent posts of all committed runs as of the current one; a post delivered again is shown as it came last."""
     out = Serving(base)
     run = tables.current_run(spark, out.manifest)
-    return _live_recent(spark, out).withColumn(tables.RUN, F.lit(run)) if run else spark.createDataFrame([], RECENT_POSTS)
+    return _with_texts(_live_recent(spark, out), out, run) if run else spark.createDataFrame([], RECENT_POSTS)
 
 
 def read_newest(
@@ -524,9 +561,8 @@ def read_newest(
     times = [r[RECENT_KEYS.index("TIMESTAMP")] for r in best]
     found = _live_recent(spark, out, sorted({r[-1] for r in best}), (min(times), max(times)))
     chosen = spark.createDataFrame(best, T.StructType([RECENT_POSTS[k] for k in keys]))
-    return serve.recent_posts(found.join(F.broadcast(chosen), keys, "left_semi"), n, start, end, ticker).withColumn(
-        tables.RUN, F.lit(current)
-    )
+    newest = serve.recent_posts(found.join(F.broadcast(chosen), keys, "left_semi"), n, start, end, ticker)
+    return _with_texts(newest, out, current)
 
 
 def _newness(row: dict[str, str]) -> tuple[str, str, str]:

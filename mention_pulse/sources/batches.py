@@ -20,9 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mention_pulse.sources.tables import write_partitioned
+from mention_pulse.schemas import TEXTS_REF
+from mention_pulse.sources import tables
 
 BATCH, ATTEMPT = "batch", "attempt"
+# below an attempt; readers of its rows pass over it
+TEXTS_FOLDER = "_texts"
 ENTRIES = T.StructType(
     [
         T.StructField(BATCH, T.StringType()),
@@ -33,6 +36,7 @@ ENTRIES = T.StructType(
         T.StructField("schema", T.StringType()),  # of the rows, in the entry of the attempt itself
         T.StructField("keys", T.ArrayType(T.StringType())),
         T.StructField("source", T.StringType()),  # attempt of the same batch elsewhere that it was made from
+        T.StructField("texts", T.ArrayType(T.StringType())),  # text columns that lie beside the rows, in TEXTS_FOLDER
     ]
 )
 
@@ -67,17 +71,19 @@ def write_batch(
     """Write a batch, in place of what it held before, partitioned by `keys`.
 
     `source` is the attempt, of the batch of that name in another table, that it was made from; see `stale`.
-    `texts` are columns that travel packed; see `write_partitioned`.
+    `texts` are columns that are written beside the rows, and never moved; see `tables.put_texts`.
     """
     if not re.fullmatch(r"[\w.-]+", batch):
         raise ValueError(f"{batch!r} is no name for a batch: letters, digits, _, . and - only")
     spark = df.sparkSession
     attempt = uuid.uuid4().hex
     folder = _folder(base, batch, attempt)
-    write_partitioned(df, folder, keys, texts=texts)
+    texts = [c for c in texts if c in df.columns]
+    rows = tables.put_texts(df, texts, base, f"{BATCH}={batch}/{ATTEMPT}={attempt}/{TEXTS_FOLDER}") if texts else df
+    tables.write_partitioned(rows, folder, keys)
     own = spark.createDataFrame(
-        [(None, None, df.schema.json(), list(keys), source)],
-        "file string, bytes long, schema string, keys array<string>, source string",
+        [(None, None, df.schema.json(), list(keys), source, texts)],
+        "file string, bytes long, schema string, keys array<string>, source string, texts array<string>",
     )
     entry = own.unionByName(_files(spark, folder), allowMissingColumns=True)
     entry = entry.withColumns({BATCH: F.lit(batch), ATTEMPT: F.lit(attempt), "committed_at": F.current_timestamp()})
@@ -127,10 +133,11 @@ def live_files(spark: SparkSession, base: str, keys: Sequence[str]) -> DataFrame
     return _with_keys(live_entries(spark, base), keys).select(BATCH, ATTEMPT, "file", "bytes", *keys)
 
 
-def read_batches(spark: SparkSession, base: str, where: Column | None = None) -> DataFrame:
+def read_batches(spark: SparkSession, base: str, where: Column | None = None, with_texts: bool = True) -> DataFrame:
     """Rows of all live batches; `where` is a predicate on batch, attempt and partition values (as text).
 
-    Only folders whose live files `where` holds for are listed, whole upper folders where it holds for all in
+    Texts that lie beside the rows are put in, or, with `with_texts` false and where all batches have them so, stay
+    where they are, the rows having TEXTS_AT instead. Only folders whose live files `where` holds for are listed, whole upper folders where it holds for all in
     them. The list of these folders, and no row, passes through the driver. Before the first batch the schema is not known, so that is an error.
     """
     live = live_entries(spark, base).persist()
@@ -139,6 +146,7 @@ def read_batches(spark: SparkSession, base: str, where: Column | None = None) ->
         if last is None:
             raise ValueError(f"no batch has been committed to {base}")
         keys = last["keys"]
+        apart = [row["texts"] or [] for row in live.filter("file IS NULL").select("texts").distinct().collect()]
         folder = F.regexp_extract("file", r"^(.*)/[^/]*$", 1)
         found = _with_keys(live, keys).withColumn("whole", F.lit(True) if where is None else F.coalesce(where, F.lit(False)))
         place = F.when(F.col("whole"), folder)
@@ -153,11 +161,18 @@ def read_batches(spark: SparkSession, base: str, where: Column | None = None) ->
     fields = {f.name: f for f in T.StructType.fromJson(json.loads(last["schema"])).fields}
     data = [f for name, f in fields.items() if name not in keys]
     placed = [T.StructField(BATCH, T.StringType()), T.StructField(ATTEMPT, T.StringType()), *(fields[k] for k in keys)]
-    schema = T.StructType([*data, *placed])
-    if not places:
-        return spark.createDataFrame([], schema)
+    texts = max(apart, key=len)
+    if not with_texts and all(apart):
+        data = [f for f in data if f.name not in texts]
+    schema = T.StructType([*data, *([TEXTS_REF] if texts else []), *placed])
     paths = [f"{_folder(base, p[BATCH], p[ATTEMPT])}/{p['folder']}" for p in places]
-    return spark.read.schema(schema).option("basePath", base).parquet(*sorted(paths))
+    if paths:
+        rows = spark.read.schema(schema).option("basePath", base).parquet(*sorted(paths))
+    else:
+        rows = spark.createDataFrame([], schema)
+    if not texts or (not with_texts and all(apart)):
+        return rows
+    return tables.with_texts(rows, texts, base).select(*(f.name for f in [*data, *placed]))
 
 
 def vacuum(spark: SparkSession, base: str, older_than_hours: float = 168) -> list[str]:

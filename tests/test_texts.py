@@ -55,3 +55,55 @@ def test_without_a_shared_folder_rows_move_whole(spark, monkeypatch):
     recent = serve.recent_table(mentions(spark, range(5)))
     laid = tables.recency_layout(recent, 2)
     assert rows(laid) == rows(recent) and "MapInArrow" not in plan(laid)
+
+
+@pytest.fixture
+def late(spark, tmp_path):
+    """A batch merged, and a late one of the same day and the next, not merged yet."""
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    jobs.write_clean(mentions(spark, range(60)), clean, "b1")
+    assert jobs.aggregate(spark, clean, base, "r1", DAY)
+    jobs.write_clean(mentions(spark, range(60, 90)).unionByName(mentions(spark, range(90, 120), "29")), clean, "b2")
+    return base, clean
+
+
+def served_as(spark, clean, run, base):
+    whole = serve.recent_table(jobs.read_clean(spark, clean), 5, run)
+    recent = jobs.read_recent(spark, base)
+    assert rows(recent) == rows(whole.select(*recent.columns))
+
+
+def test_merged_batches_keep_each_text_once_a_side(spark, late):
+    base, clean = late
+    assert jobs.aggregate(spark, clean, base, "r2", DAY)
+    served_as(spark, clean, "r2", base)
+    texts = held(clean, "*.texts")
+    assert held(base, "*.texts") == texts and sum(texts.values()) < SIZE * 120 * 0.7
+    assert sum(held(clean, "*.parquet").values()) + sum(held(base + "/recent_posts", "*.parquet").values()) < SIZE * 120 * 0.5
+    # a roll-up reads no text, a reader who asks for none opens none
+    assert "ArrowEvalPython" in plan(jobs.read_clean(spark, clean))
+    assert "ArrowEvalPython" not in plan(jobs.read_clean(spark, clean).groupBy("day").count())
+
+
+def test_batches_written_with_their_texts_inside_are_read_along(spark, tmp_path):
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    odd = {0: None, 1: "", 2: "ü\U0001f600"}
+
+    def text(i):
+        return noise(i) if i not in odd else odd[i] or ""
+
+    first = mentions(spark, range(10), text=text)
+    first = first.withColumn("tweet_text_text", F.when(F.col("tweet_id") != 0, F.col("tweet_text_text")))
+    batches.write_batch(first, clean, "old", jobs.CLEAN_KEYS)
+    served = []
+    for run, batch in (("r1", None), ("r2", first.withColumn("tweet_id", F.col("tweet_id") + 10))):
+        if batch is not None:
+            jobs.write_clean(batch, clean, "new")
+            served = rows(jobs.read_recent(spark, base).drop("RUN_ID"))
+        assert jobs.aggregate(spark, clean, base, run, DAY)
+        served_as(spark, clean, run, base)
+    assert set(served) < set(rows(jobs.read_recent(spark, base).drop("RUN_ID")))
+    # once no batch has its texts inside, runs refer to them; earlier runs stay as they are
+    jobs.write_clean(first, clean, "old")
+    assert jobs.aggregate(spark, clean, base, "r3", DAY)
+    served_as(spark, clean, "r3.rebuild", base)
