@@ -85,6 +85,17 @@ def test_merged_batches_keep_each_text_once_a_side(spark, late):
     assert "ArrowEvalPython" not in plan(jobs.read_clean(spark, clean).groupBy("day").count())
 
 
+def test_rebuilt_days_take_no_text_again(spark, late):
+    base, clean = late
+    jobs.rebuild_days(spark, clean, base, "r2", ["2022-10-28", "2022-10-29"])
+    served_as(spark, clean, "r2", base)
+    before = held(base, "*.texts")
+    assert before == held(clean, "*.texts")
+    jobs.rebuild_days(spark, clean, base, "r3", ["2022-10-28"])
+    assert held(base, "*.texts") == before
+    served_as(spark, clean, "r3", base)
+
+
 def test_batches_written_with_their_texts_inside_are_read_along(spark, tmp_path):
     base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
     odd = {0: None, 1: "", 2: "ü\U0001f600"}
