@@ -96,6 +96,17 @@ def test_rebuilt_days_take_no_text_again(spark, late):
     served_as(spark, clean, "r3", base)
 
 
+def test_newest_posts_come_with_their_texts_from_few_entries(spark, late):
+    base, clean = late
+    assert jobs.aggregate(spark, clean, base, "r2", DAY)
+    newest = jobs.read_newest(spark, base, 7)
+    assert rows(newest) == rows(serve.recent_posts(jobs.read_recent(spark, base), 7))
+    assert [r["TEXT"] for r in newest.collect()] == [noise(i) for i in (119, 119, 118, 118, 117, 117, 116)]
+    # rows are chosen by their keys: texts are opened above the choice
+    text = plan(newest)
+    assert 0 <= text.find("ArrowEvalPython") < text.find("Sort [TIMESTAMP") < text.find("LeftSemi")
+
+
 def test_batches_written_with_their_texts_inside_are_read_along(spark, tmp_path):
     base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
     odd = {0: None, 1: "", 2: "ü\U0001f600"}
