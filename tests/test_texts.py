@@ -96,6 +96,14 @@ def test_rebuilt_days_take_no_text_again(spark, late):
     served_as(spark, clean, "r3", base)
 
 
+def test_the_serving_side_outlives_the_batches_it_was_made_from(spark, late):
+    base, clean = late
+    want = rows(jobs.read_recent(spark, base))
+    jobs.write_clean(mentions(spark, range(3)), clean, "b1")
+    assert batches.vacuum(spark, clean, older_than_hours=-1)
+    assert rows(jobs.read_recent(spark, base)) == want
+
+
 def test_newest_posts_come_with_their_texts_from_few_entries(spark, late):
     base, clean = late
     assert jobs.aggregate(spark, clean, base, "r2", DAY)
@@ -129,3 +137,13 @@ def test_batches_written_with_their_texts_inside_are_read_along(spark, tmp_path)
     jobs.write_clean(first, clean, "old")
     assert jobs.aggregate(spark, clean, base, "r3", DAY)
     served_as(spark, clean, "r3.rebuild", base)
+
+
+def test_posts_delivered_twice_are_told_apart_by_their_texts(spark, tmp_path):
+    base, clean = str(tmp_path / "serving"), str(tmp_path / "clean")
+    twice = mentions(spark, range(4)).unionByName(mentions(spark, range(2), text=lambda i: f"other {i}"))
+    jobs.write_clean(twice, clean, "b1")
+    assert jobs.aggregate(spark, clean, base, "r1", DAY)
+    whole = serve.recent_table(jobs.read_clean(spark, clean), 5)
+    want = whole.groupBy("ID", "TICKER").agg(F.min_by("TEXT", F.xxhash64(*whole.columns)))
+    assert rows(jobs.read_recent(spark, base), "ID", "TICKER", "TEXT") == rows(want)
