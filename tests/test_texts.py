@@ -147,3 +147,12 @@ def test_posts_delivered_twice_are_told_apart_by_their_texts(spark, tmp_path):
     whole = serve.recent_table(jobs.read_clean(spark, clean), 5)
     want = whole.groupBy("ID", "TICKER").agg(F.min_by("TEXT", F.xxhash64(*whole.columns)))
     assert rows(jobs.read_recent(spark, base), "ID", "TICKER", "TEXT") == rows(want)
+
+
+def test_a_compacted_chain_leaves_texts_alone(spark, late):
+    base, clean = late
+    assert jobs.aggregate(spark, clean, base, "r2", DAY)
+    before = held(base, "*.texts")
+    assert before == held(clean, "*.texts") and jobs.compact(spark, base, "c1", longest=1)
+    assert held(base, "*.texts") == before
+    served_as(spark, clean, "c1", base)
