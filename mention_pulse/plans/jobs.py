@@ -502,7 +502,7 @@ def _live_recent(
 
 def _with_texts(recent: DataFrame, out: Serving, run: str | None) -> DataFrame:
     """Rows of `_live_recent` as they are served by a run, texts and all."""
-    return tables.with_texts(recent, tables.TEXTS, out.texts).withColumn(tables.RUN, F.lit(run)).select(*RECENT_POSTS.fieldNames())
+    return tables.open_texts(recent.withColumn(tables.RUN, F.lit(run)), RECENT_POSTS, tables.TEXTS, out.texts)
 
 
 def _replaced_keys(spark: SparkSession, out: Serving, stamps: DataFrame, bounds: tuple[str, str] | None) -> DataFrame | None:

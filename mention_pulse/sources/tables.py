@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark.errors import AnalysisException
@@ -216,7 +217,12 @@ def move_rows(df: DataFrame, texts: Sequence[str], move: Callable[[DataFrame], D
         at = F.col(f"{TEXTS_AT}.at")
         # a column more keeps Spark from taking both shuffles for one
         rows = rows.repartition(TEXTS_AT).withColumn("_at", at)
-    moved, names = move(rows), df.schema.fieldNames()
+    return open_texts(move(rows), df.schema, texts, root)
+
+
+def open_texts(df: DataFrame, schema: T.StructType, texts: Sequence[str], root: str) -> DataFrame:
+    """As `with_texts`, in a schema and in one step over whole rows, some MB of text at a time: every text is opened."""
+    names, own = schema.fieldNames(), [c for c in texts if c in df.columns]
     found = _texts_at(qualified(df.sparkSession, root), len(texts))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,9 +231,10 @@ def move_rows(df: DataFrame, texts: Sequence[str], move: Callable[[DataFrame], D
             for n, columns in found(batch.column(TEXTS_AT)):
                 part, texts_of = batch.slice(begin, n), dict(zip(texts, columns))
                 begin += n
+                texts_of |= {c: pc.coalesce(part.column(c), texts_of[c]) for c in own}
                 yield pa.RecordBatch.from_arrays([texts_of[c] if c in texts_of else part.column(c) for c in names], names)
 
-    return moved.mapInArrow(unpack, df.schema)
+    return df.mapInArrow(unpack, schema)
 
 
 # ---- plain tables --------------------------------------------------------------------------
